@@ -1,0 +1,233 @@
+"""Sources, sinks and the stages end to end on small drops."""
+
+import datetime as dt
+import gzip
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shelfledger import session
+from shelfledger.mapping import default_mapping, load_mapping
+from shelfledger.operators import checks, conform, merge
+from shelfledger.plans import jobs
+from shelfledger.plans.denormalize import denormalize
+from shelfledger.sources import csv, sinks, tables, workspace
+
+MAPPING = default_mapping()
+
+
+def write(path, text, opener=open):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with opener(path, "wt") as file:
+        file.write(text)
+    return str(path)
+
+
+def test_mapping_file(spark, tmp_path):
+    """The default mapping, written out in the form of a mapping file, reads back the same."""
+    text = {
+        t.name: {"source_table_name": t.source, "columns": {
+            c.key: {"src": c.raw, "dest": c.output} for c in t.columns}}
+        for t in MAPPING.tables.values()
+    }
+    path = write(f"{tmp_path}/mapping.json", json.dumps(text, indent=2))
+    assert load_mapping(spark, path).tables == MAPPING.tables
+
+
+def test_custom_mapping(spark, tmp_path):
+    path = write(f"{tmp_path}/m.json", json.dumps({"returns": {
+        "source_table_name": "BACK", "columns": {
+            "sku": {"src": "ITEM", "dest": "SKU"}, "return_units": {"src": "N", "dest": "BACK_N"}}}}))
+    mapping = load_mapping(spark, path)
+    df = spark.createDataFrame([(1, 2.0, "x")], "ITEM int, N double, extra string")
+    found = conform.conform(df, mapping, "returns")
+    assert found.columns == ["SKU", "RETURN_UNITS"]
+    assert mapping.rename_output(found).columns == ["SKU", "BACK_N"]
+    assert mapping.by_source("BACK").name == "returns"
+
+
+def test_csv_plain_gzip_and_quotes(spark, tmp_path):
+    a = write(f"{tmp_path}/a.csv", 'SKU,UNITS,TRAN_DATE\n1,2.5,2023-01-01\n"2"," ",\n')
+    b = write(f"{tmp_path}/b.csv.gz", "SKU,UNITS,TRAN_DATE\n3.0,x,2023-01-02\n", gzip.open)
+    raw = csv.read_raw_csv(spark, [a, b])
+    assert rows(raw, "SKU", "UNITS", "TRAN_DATE") == [
+        ("1", "2.5", "2023-01-01"), ("2", " ", None), ("3.0", "x", "2023-01-02")
+    ]
+    assert raw.select("file").distinct().count() == 2
+    typed = csv.read_typed_csv(spark, [a, b], MAPPING["returns"])
+    assert rows(typed, "SKU", "UNITS") == [(1, 2.5), (2, None), (3, None)]
+
+
+def test_csv_with_other_header(spark, tmp_path):
+    a = write(f"{tmp_path}/a.csv", "SKU,UNITS\n1,2\n")
+    b = write(f"{tmp_path}/b.csv", "UNITS,SKU,MORE\n3,4,5\n")
+    with pytest.raises(Exception, match="CSV header"):
+        csv.read_raw_csv(spark, [a, b]).collect()
+    mixed = csv.read_raw_csv(spark, [a, b], mixed_headers=True)
+    assert rows(mixed, "SKU", "UNITS", "MORE") == [("1", "2", None), ("4", "3", "5")]
+
+
+def test_historical_dates(spark):
+    df = spark.createDataFrame([(1, "2023-01-31"), (2, "1/31/2023"), (3, "x")],
+                               "SKU int, TRAN_DATE string")
+    day = dt.date(2023, 1, 31)
+    assert rows(conform.conform(df, MAPPING, "returns", True)) == [(1, day), (2, day), (3, None)]
+    assert rows(conform.conform(df, MAPPING, "returns")) == [(1, day), (2, None), (3, None)]
+
+
+def test_partition_pruning_and_replacement(spark, tmp_path):
+    path = f"{tmp_path}/FD_SALES.parquet"
+    df = spark.createDataFrame([(i, 25 * i, 1.0) for i in range(8)],
+                               "SKU int, LOCATION int, UNITS double")
+    sinks.write_partitioned(sinks.with_location_group(df), path)
+    assert os.path.isdir(f"{path}/LOCATION_GROUP=2.0")
+    read = tables.read_table(spark, str(tmp_path), MAPPING, "sales", [2.0])
+    assert rows(read, "SKU", "LOCATION_GROUP") == [(3, 2.0), (4, 2.0)]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "LOCATION_GROUP" in plan.split("PartitionFilters")[1]
+    newer = sinks.with_location_group(df.filter("SKU = 3").withColumn("UNITS", F.lit(9.0)))
+    sinks.write_partitioned(newer, path)
+    again = tables.read_table(spark, str(tmp_path), MAPPING, "sales")
+    assert again.count() == 7 and again.filter("LOCATION_GROUP = 2.0").count() == 1
+
+
+def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+    try:
+        df = spark.range(0, 200_000, 1, 8).selectExpr(
+            "CASE WHEN id % 100 < 99 THEN 1.0D ELSE 2.0D END AS LOCATION_GROUP",
+            "uuid() AS text")
+        sinks.write_partitioned(df, f"{tmp_path}/hot")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = [f for f in os.listdir(f"{tmp_path}/hot/LOCATION_GROUP=1.0") if f.endswith("parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(f"{tmp_path}/hot").count() == 200_000
+
+
+def test_merge_twice_is_the_same(spark, tmp_path):
+    path, day = f"{tmp_path}/all", dt.date(2023, 1, 1)
+    first = spark.createDataFrame([(1, 10, day, 1.0), (1, 60, day, 2.0)],
+                                  "SKU int, LOCATION int, DATE date, N double")
+    batch = first.filter("LOCATION = 60").withColumn("N", F.lit(5.0))
+    for df in (first, batch, batch):
+        merge.merge_partitions(df, path)
+    assert rows(spark.read.parquet(path), "LOCATION", "N") == [(10, 1.0), (60, 5.0)]
+
+
+def test_work_dir_is_the_named_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = workspace.work_dir(spark, "x"), workspace.work_dir(spark, "x")
+    assert one.startswith(base) and two.startswith(base) and one != two
+    assert rows(workspace.materialize(spark.range(3), "x")) == [(0,), (1,), (2,)]
+
+
+def test_shuffle_partitions():
+    assert session.shuffle_partitions(1) == 200
+    assert session.shuffle_partitions(10**12) == 3726
+    assert session.shuffle_partitions(100 * 10**12) == session.MOST_PARTITIONS
+
+
+def test_checks_find_faults(spark, small):
+    from entry_queries.queries import conformed
+
+    t = conformed(spark, small)
+    snapshot = t["inventory_snapshot"]
+    wide = denormalize(t)
+    assert {r.failures for r in checks.denorm_checks(wide, snapshot).collect()} == {0}
+    faulty = wide.union(wide.limit(1)).withColumn(
+        "SALES_UNITS", F.when(F.col("SKU") > 0, F.col("SALES_UNITS")))
+    found = {r.check: r.failures for r in checks.denorm_checks(faulty, snapshot).collect()}
+    assert found["duplicate_keys"] == 1 and found["row_count"] == 1 and found["nulls_filled"] > 0
+
+
+def test_repeated_snapshot_rows_are_kept(spark, small):
+    from entry_queries.queries import conformed
+
+    t = conformed(spark, small)
+    once = denormalize(t).count()
+    t["inventory_snapshot"] = t["inventory_snapshot"].union(t["inventory_snapshot"])
+    assert denormalize(t).count() == 2 * once
+
+
+@pytest.fixture
+def drop(tmp_path):
+    """Two days, three stores in two groups, one file too bad to use."""
+    root = f"{tmp_path}/ok"
+    inv = "SKU,LOCATION,DATE,IP_QTY_BOP_INTRANS,IP_QTY_EOP_SOH,IP_QTY_EOP_INTRANS,IP_QTY_BOP_SOH\n"
+    files = [
+        write(f"{root}/FD_STORE_INV/FD_STORE_INV-01072023-1.csv",
+              inv + "1,10,2023-07-01,0,8,1,10\n1,60,2023-07-01,1,5,0,5\n"),
+        write(f"{root}/FD_STORE_INV/FD_STORE_INV-03072023-1.csv.gz",
+              inv + "1,10,2023-07-03,0,7,0,8\n", gzip.open),
+        write(f"{root}/FD_SALES/FD_SALES-01072023-1.csv",
+              "SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL\n1,10,2023-07-01,2,5.0\n"
+              "1,10,2023-07-01,4,10.5\n"),
+        write(f"{root}/FD_SALES/FD_SALES-01072023-2.csv",
+              "SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL\n1,60,never,2,5.0\n"),
+        write(f"{root}/FD_SKU_MASTER/FD_SKU_MASTER-01072023-1.csv",
+              "SKU,SKU_WDTH,LOB\n1,2.5,7\n"),
+    ]
+    return f"{tmp_path}", root, files
+
+
+def run(stage, **arguments):
+    argv = [stage]
+    for key, value in arguments.items():
+        argv += [f"--{key}", value]
+    jobs.main(argv)
+
+
+def test_stages(spark, drop):
+    base, root, files = drop
+    days = "{'20230701': 'None', '20230703': 'None'}"
+    run("ingest", date_missing_files=days, input_path=root, error_path=f"{base}/err",
+        output_path=f"{base}/in", log_path=f"{base}/log", run_date="20230705")
+    routed = spark.read.option("header", True).csv(f"{base}/in/routes")
+    assert routed.count() == 5
+    log = spark.read.option("header", True).csv(f"{base}/log")
+    assert rows(log, "file_date", "status") == [("20230701", "success"), ("20230703", "success")]
+
+    blank = ["", "null", " "]
+    rules = {
+        table: {"columns": [{"name": "SKU", "validations": [
+            {"name": "data_type", "values": ["int"]}, {"name": "null_check", "values": blank}]}]
+            + ([{"name": "TRAN_DATE", "validations": [
+                {"name": "date_format", "values": ["%Y-%m-%d"]}]}] if table == "FD_SALES" else [])}
+        for table in ("FD_STORE_INV", "FD_SALES")
+    }
+    rules_path = write(f"{base}/rules.json", json.dumps(rules))
+    run("validate", date_missing_files=str({"01072023": "None"}), input_path=",".join(files),
+        error_path=f"{base}/err", report_path=f"{base}/report", json_path=rules_path)
+    routes = {r.uri.rsplit("/", 1)[-1]: r.route for r in
+              spark.read.option("header", True).csv(f"{base}/err/routes").collect()}
+    assert routes["FD_STORE_INV-03072023-1.csv.gz"] == "pass"
+    assert routes["FD_SALES-01072023-2.csv"] == "validation_threshold_error/required_files"
+    invalid = spark.read.option("header", True).csv(f"{base}/err/invalid_rows/FD_SALES")
+    assert rows(invalid, "LOCATION", "TRAN_DATE") == [("60", "never")]
+
+    good = [f for f in files if not f.endswith("FD_SALES-01072023-2.csv")]
+    run("preprocess", input_path=",".join(good), output_path=f"{base}/tables",
+        master_output_path=f"{base}/master")
+    assert rows(tables.location_groups(spark, f"{base}/tables", MAPPING)) == [(0.0,), (1.0,)]
+
+    for mode, expected in (("N", 3), ("Y", 4)):
+        run("denormalize", src_path=f"{base}/tables", master_src_path=f"{base}/master",
+            dest_path=f"{base}/wide{mode}", historical_mode=mode)
+        wide = spark.read.parquet(f"{base}/wide{mode}")
+        assert wide.count() == expected
+    first = spark.read.parquet(f"{base}/wideN").filter("LOCATION = 10 AND DATE = '2023-07-01'")
+    row = first.first()
+    assert (row.SALES_UNITS, row.SALES_UNIT_RETAIL, row.BULK_SALES_UNITS) == (6.0, 2.58, 4.0)
+    assert (row.SKU_WDTH, row.LOB, row.ONHAND_RECORDED) == (2.5, 7, 4.0)
+
+    run("denormalize", src_path=f"{base}/tables", master_src_path=f"{base}/master",
+        dest_path=f"{base}/group", historical_mode="N", location_groups="1.0")
+    assert rows(spark.read.parquet(f"{base}/group"), "LOCATION") == [(60,)]
+    run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all")
+    run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all", location_group_list="1.0")
+    assert spark.read.parquet(f"{base}/all").count() == 3
