@@ -300,11 +300,10 @@ def file_error_rates(spark, sf_dir):
 @query
 def quarantine_routes(spark, sf_dir):
     """A day counts as incomplete where no store had a return on it."""
-    rows = views.text_rows(spark, sf_dir)
-    path = F.concat(F.lit("drop/in/"), F.substring_index("file", "/", -1))
-    manifest = rows.select(path.alias("path")).distinct()
+    counts = file_error_counts(spark, sf_dir)
+    manifest = counts.select(F.col("uri").alias("path"))
     missing = routing.missing_mandatory(manifest, ("FD_RETURNS", "FD_SALES"))
-    return quarantine.quarantine_routes(file_error_counts(spark, sf_dir), missing)
+    return quarantine.quarantine_routes(counts, missing)
 
 
 # ---- files, days and the run log -----------------------------------------------------------

@@ -166,11 +166,12 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("ORD")
     source = F.when(F.col("RF") == "R", "FD_RETURNS").otherwise("FD_SALES")
     number = F.floor(F.col("SKU") / 5) + 1
+    day = F.col("DATE").cast("string")
     file = F.concat(
         F.lit("drop/"), source, F.lit("/"), source, F.lit("-"),
-        F.date_format("DATE", "ddMMyyyy"), F.lit("-"), number.cast("string"), F.lit(".csv"),
+        F.substring(day, 9, 2), F.substring(day, 6, 2), F.substring(day, 1, 4),
+        F.lit("-"), number.cast("string"), F.lit(".csv"),
     )
-    day = F.date_format("DATE", "yyyy-MM-dd")
     return mv.select(
         file.alias("file"),
         F.col("SKU").cast("string").alias("SKU"),

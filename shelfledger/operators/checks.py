@@ -53,3 +53,10 @@ def denorm_checks(wide: DataFrame, snapshot: DataFrame) -> DataFrame:
         for k, v in checks.items()
     ]
     return both.select(F.inline(F.array(*lines)))
+
+
+def require_clean(checks: DataFrame) -> None:
+    """Stop where any check fails; there are only as many rows as checks."""
+    failed = {r["check"]: r["failures"] for r in checks.filter("failures > 0").collect()}
+    if failed:
+        raise ValueError(f"the wide table must not be merged: {failed}")

@@ -46,7 +46,8 @@ def _calendar(spine: DataFrame, openings: DataFrame) -> DataFrame:
 
     Each opening is stated twice, for its own day and as the closing of the day before, and
     summed up per day. There is no window over a series, so a long or hot series is spread
-    over its days, and copies of a day combine before the shuffle.
+    over its days, and copies of a day combine before the shuffle. ``deliveries`` stays NULL
+    on the day before a series begins, which only a closing names.
     """
     nothing = F.lit(None).cast("double")
     own = F.struct(
@@ -57,22 +58,21 @@ def _calendar(spine: DataFrame, openings: DataFrame) -> DataFrame:
     )
     day_before = F.struct(
         F.date_sub("DATE", 1).alias("DATE"),
-        F.lit(0).alias("deliveries"),
+        F.lit(None).cast("int").alias("deliveries"),
         *[nothing.alias(a) for a in _OPENING],
         *[F.col(a).alias(b) for a, b in _OPENING.items()],
     )
     stated = openings.select(*SERIES, F.inline(F.array(own, day_before)))
-    days = spine.withColumns({"in_spine": F.lit(True), "deliveries": F.lit(0)})
+    days = spine.withColumn("deliveries", F.lit(0))
     balances = [*_OPENING, *_OPENING.values()]
     return (
         days.unionByName(stated, allowMissingColumns=True)
         .groupBy(*KEYS)
         .agg(
-            F.max("in_spine").alias("in_spine"),
             F.sum("deliveries").alias("deliveries"),
             *[F.max(c).alias(c) for c in balances],
         )
-        .filter("in_spine")
+        .filter("deliveries IS NOT NULL")
         .select(*KEYS, "deliveries", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in balances])
     )
 

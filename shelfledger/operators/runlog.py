@@ -64,10 +64,14 @@ def run_log_rows(
         "permitted", F.lower(extension(name)).isin(*extensions)
     )
     tables = sorted({*required, *special})
-    came = hits.filter("permitted").groupBy("file_date").agg(
-        *[F.max(name.contains(t)).alias(t) for t in tables]
+    wrong = ~F.col("permitted") & (F.size(tables_named_in(name, tuple(tables))) > 0)
+    came = hits.groupBy("file_date").agg(
+        *[F.max(F.col("permitted") & name.contains(t)).alias(t) for t in tables],
+        F.ceil(F.count_if(wrong) / names_per_row).alias("pieces"),
+    )
+    state = skew_safe_left_join(
+        days.select("file_date").distinct(), came.drop("pieces"), ["file_date"]
     )
-    state = skew_safe_left_join(days.select("file_date").distinct(), came, ["file_date"])
     got = {t: F.coalesce(F.col(t), F.lit(False)) for t in tables}
     missed = F.array_compact(F.array(*[F.when(~got[t], t) for t in required]))
     processed = F.array_compact(F.array(*[F.when(got[t], t) for t in tables]))
@@ -86,20 +90,17 @@ def run_log_rows(
     success = _log_row(
         **common, status=F.lit("success"), processed_files=_listed(processed)
     )
-    gap = F.when(F.size(missed) == len(required), failure(*fixed.ALL_MISSED)).when(
-        F.size(missed) > 0, failure(*fixed.SOME_MISSED)
-    )
+    gap = F.when(F.size(missed) > 0, F.when(
+        F.size(missed) == len(required), failure(*fixed.ALL_MISSED)
+    ).otherwise(failure(*fixed.SOME_MISSED)))
     rows = state.select(
         "file_date",
         F.inline(F.array_compact(F.array(gap, F.when(F.size(processed) > 0, success)))),
     )
 
-    wrong = hits.filter(~F.col("permitted") & (F.size(tables_named_in(name, tuple(tables))) > 0))
-    totals = wrong.groupBy("file_date").agg(
-        F.ceil(F.count(F.lit(1)) / names_per_row).alias("pieces")
-    )
+    totals = came.select("file_date", "pieces")
     pieces = (
-        skew_safe_left_join(wrong, totals, ["file_date"])
+        skew_safe_left_join(hits.filter(wrong), totals, ["file_date"])
         .groupBy("file_date", F.pmod(F.xxhash64("name"), F.col("pieces")).alias("piece"))
         .agg(F.sort_array(F.collect_list("name")).alias("names"))
     )

@@ -8,7 +8,9 @@ import ast
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfledger.mapping import Mapping, default_mapping, load_mapping
+from shelfledger.operators.checks import denorm_checks, require_clean
 from shelfledger.operators.conform import GROUP
+from shelfledger.operators.inventory import densify_inventory
 from shelfledger.operators.merge import merge_denorm
 from shelfledger.operators.routing import route_files
 from shelfledger.operators.runlog import run_log_rows
@@ -19,7 +21,7 @@ from shelfledger.plans.validation import validate_files
 from shelfledger.session import build_session
 from shelfledger.sources.manifest import file_manifest
 from shelfledger.sources.sinks import with_location_group, write_csv, write_partitioned
-from shelfledger.sources.tables import read_all
+from shelfledger.sources.tables import read_all, read_table
 
 
 def _mapping(spark: SparkSession, path: str | None) -> Mapping:
@@ -72,6 +74,15 @@ def run_denormalize(spark: SparkSession, args: argparse.Namespace) -> None:
     write_partitioned(mapping.rename_output(wide), args.dest_path)
 
 
+def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
+    mapping = _mapping(spark, args.mapping_path)
+    groups = [float(g) for g in args.location_groups.split(",")] if args.location_groups else None
+    historical = args.historical_mode == "Y"
+    wide = spark.read.parquet(args.source_path)
+    snapshot = read_table(spark, args.src_path, mapping, "inventory_snapshot", groups, historical)
+    require_clean(denorm_checks(wide, densify_inventory(snapshot) if historical else snapshot))
+
+
 def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
     groups = args.location_group_list
     merge_denorm(
@@ -99,6 +110,10 @@ STAGES = {
         ["location_groups?", "mapping_path?", "src_path", "master_src_path", "dest_path",
          "historical_mode"],
     ),
+    "check": (
+        run_check,
+        ["source_path", "src_path", "historical_mode", "mapping_path?", "location_groups?"],
+    ),
     "merge": (run_merge, ["source_path", "dest_path", "load_date?", "location_group_list?"]),
 }
 

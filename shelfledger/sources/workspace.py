@@ -17,8 +17,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{tempfile.gettempdir()}/run-{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -220,6 +220,8 @@ def test_stages(spark, drop):
             dest_path=f"{base}/wide{mode}", historical_mode=mode)
         wide = spark.read.parquet(f"{base}/wide{mode}")
         assert wide.count() == expected
+        run("check", source_path=f"{base}/wide{mode}", src_path=f"{base}/tables",
+            historical_mode=mode)
     first = spark.read.parquet(f"{base}/wideN").filter("LOCATION = 10 AND DATE = '2023-07-01'")
     row = first.first()
     assert (row.SALES_UNITS, row.SALES_UNIT_RETAIL, row.BULK_SALES_UNITS) == (6.0, 2.58, 4.0)
@@ -228,6 +230,8 @@ def test_stages(spark, drop):
     run("denormalize", src_path=f"{base}/tables", master_src_path=f"{base}/master",
         dest_path=f"{base}/group", historical_mode="N", location_groups="1.0")
     assert rows(spark.read.parquet(f"{base}/group"), "LOCATION") == [(60,)]
+    with pytest.raises(ValueError, match="row_count"):
+        run("check", source_path=f"{base}/group", src_path=f"{base}/tables", historical_mode="N")
     run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all")
     run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all", location_group_list="1.0")
     assert spark.read.parquet(f"{base}/all").count() == 3
