@@ -5,10 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfledger.fixed_values import VALIDATED_TABLES
 from shelfledger.operators.quarantine import quarantine_routes
-from shelfledger.operators.validate import ColumnRule, validate
+from shelfledger.operators.validate import FILE, ColumnRule, file_error_counts, validate
 from shelfledger.sources.csv import read_raw_csv, readable
 from shelfledger.sources.sinks import write_csv
 
@@ -17,6 +18,18 @@ def files_of_table(paths: list[str], table: str) -> list[str]:
     return [p for p in paths if readable(p) and table in p.rsplit("/", 1)[-1]]
 
 
+def rowless_counts(spark: SparkSession, files: list[str], counts: DataFrame) -> DataFrame:
+    """Zero counts for files that hold no row and so do not occur in ``counts``."""
+    listed = spark.read.format("binaryFile").load(files).select(
+        F.col("_metadata.file_path").alias(FILE)
+    )
+    rowless = listed.join(counts.select(F.col("uri").alias(FILE)), FILE, "left_anti")
+    zero = F.lit(0).cast("bigint")
+    return file_error_counts(
+        rowless.withColumns({"rows": zero, "bad": zero, "failed": F.lit(None).cast("int")})
+    )
+
+
 def validate_files(
     spark: SparkSession,
     paths: list[str],
@@ -41,6 +54,7 @@ def validate_files(
         write_csv(result.invalid, f"{error_path.rstrip('/')}/invalid_rows/{table}")
         write_csv(result.report, f"{report_path.rstrip('/')}/{table}")
         counts.append(result.counts)
+        counts.append(rowless_counts(spark, files, result.counts))
     if not counts:
         raise ValueError("no file belongs to a table with rules")
     analysis = f"{error_path.rstrip('/')}/analysis"

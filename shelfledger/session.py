@@ -18,13 +18,15 @@ def build_session(
 ) -> SparkSession:
     """Session with adaptive planning on: it coalesces small shuffle partitions, splits hot
     ones in joins and writes, and turns joins into broadcasts by measured size. An item
-    master or a count schedule fits the raised broadcast limit; a fact table does not."""
+    master or a count schedule fits the raised broadcast limit, which is compared with four
+    times the compressed file size; a fact table does not."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", "64MB")
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
     )
     if shuffled_bytes is not None:
         builder = builder.config(

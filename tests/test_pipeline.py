@@ -4,10 +4,12 @@ import datetime as dt
 import gzip
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from bench_shapes import wide_of
 from conftest import rows
 from shelfledger import session
 from shelfledger.mapping import default_mapping, load_mapping
@@ -62,8 +64,8 @@ def test_csv_plain_gzip_and_quotes(spark, tmp_path):
 
 
 def test_csv_with_other_header(spark, tmp_path):
-    a = write(f"{tmp_path}/a.csv", "SKU,UNITS\n1,2\n")
-    b = write(f"{tmp_path}/b.csv", "UNITS,SKU,MORE\n3,4,5\n")
+    a = write(f"{tmp_path}/a b.csv", "SKU,UNITS\n1,2\n")
+    b = write(f"{tmp_path}/b.csv", 'UNITS,SKU,"MORE"\n3,4,5\n')
     with pytest.raises(Exception, match="CSV header"):
         csv.read_raw_csv(spark, [a, b]).collect()
     mixed = csv.read_raw_csv(spark, [a, b], mixed_headers=True)
@@ -154,6 +156,52 @@ def test_repeated_snapshot_rows_are_kept(spark, small):
     assert denormalize(t).count() == 2 * once
 
 
+def random_tables(spark, seed):
+    """Small tables with missing keys and values and with repeated rows."""
+    rng = random.Random(seed)
+
+    def key():
+        return (rng.choice([1, 2, 3, None]), rng.choice([10, 60, None]),
+                rng.choice([None] + [dt.date(2023, 1, n) for n in range(1, 9)]))
+
+    def number():
+        return rng.choice([None, 0.0, float(rng.randrange(-9, 10)), float(rng.randrange(20))])
+
+    def frame(columns, count, make):
+        data = [make() for _ in range(count)]
+        return spark.createDataFrame(data + data[:5], "SKU int, LOCATION int, DATE date, " + columns)
+
+    balances = ("IP_QTY_BOP_INTRANS", "IP_QTY_BOP_SOH", "IP_QTY_EOP_INTRANS", "IP_QTY_EOP_SOH")
+    t = {
+        "inventory_snapshot": frame(", ".join(f"{c} double" for c in balances), 90,
+                                    lambda: key() + tuple(number() for _ in balances)),
+        "inventory_adjustment": frame(
+            "ADJ_QTY double, REASON int", 90,
+            lambda: key() + (number(), rng.choice([None, 1, 4, 9, 10, 11, 14, 99]))),
+        "sales": frame("SALES_UNITS double, SALES_TOTAL_RETAIL double", 90,
+                       lambda: key() + (number(), number())),
+        "returns": frame("RETURN_UNITS double", 90, lambda: key() + (number(),)),
+        "store_transfers": frame("TRANSFER_CODE int, TRANSFER_UNITS double", 90,
+                                 lambda: key() + (rng.choice([20, 30, 40, None]), number())),
+        "store_invoice": frame("DSD_INVC_QTY_RCPT double", 90, lambda: key() + (number(),)),
+    }
+    t["yearly_audit_schedule"] = t["sales"].selectExpr("LOCATION", "DATE AS AUDIT_DATE", "DATE")
+    t["sku"] = spark.createDataFrame(
+        [(1, 2.0, None, 1.0), (3, None, 4.0, 1.0)],
+        "SKU int, SKU_WDTH double, SKU_HGT double, SKU_DPTH double")
+    return t
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_wide_table_against_single_joins(spark, seed):
+    """One shuffle for all facts gives what one left join per fact gives."""
+    t = random_tables(spark, seed)
+    ours, stepwise = denormalize(t), wide_of(t)
+    assert sorted(ours.columns) == sorted(stepwise.columns)
+    assert rows(ours, *sorted(ours.columns)) == rows(stepwise, *sorted(ours.columns))
+    assert ours.count() == t["inventory_snapshot"].count()
+
+
 @pytest.fixture
 def drop(tmp_path):
     """Two days, three stores in two groups, one file too bad to use."""
@@ -169,6 +217,8 @@ def drop(tmp_path):
               "1,10,2023-07-01,4,10.5\n"),
         write(f"{root}/FD_SALES/FD_SALES-01072023-2.csv",
               "SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL\n1,60,never,2,5.0\n"),
+        write(f"{root}/FD_SALES/FD_SALES-02072023-1.csv",
+              "SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL\n"),
         write(f"{root}/FD_SKU_MASTER/FD_SKU_MASTER-01072023-1.csv",
               "SKU,SKU_WDTH,LOB\n1,2.5,7\n"),
     ]
@@ -184,11 +234,11 @@ def run(stage, **arguments):
 
 def test_stages(spark, drop):
     base, root, files = drop
-    days = "{'20230701': 'None', '20230703': 'None'}"
+    days = "{'20230701': 'None', '20230703': 'None'}"  # as the scheduler passes it
     run("ingest", date_missing_files=days, input_path=root, error_path=f"{base}/err",
         output_path=f"{base}/in", log_path=f"{base}/log", run_date="20230705")
     routed = spark.read.option("header", True).csv(f"{base}/in/routes")
-    assert routed.count() == 5
+    assert routed.count() == 6
     log = spark.read.option("header", True).csv(f"{base}/log")
     assert rows(log, "file_date", "status") == [("20230701", "success"), ("20230703", "success")]
 
@@ -201,11 +251,12 @@ def test_stages(spark, drop):
         for table in ("FD_STORE_INV", "FD_SALES")
     }
     rules_path = write(f"{base}/rules.json", json.dumps(rules))
-    run("validate", date_missing_files=str({"01072023": "None"}), input_path=",".join(files),
+    run("validate", date_missing_files=str({"01072023": "None", "02072023": "X"}), input_path=",".join(files),
         error_path=f"{base}/err", report_path=f"{base}/report", json_path=rules_path)
     routes = {r.uri.rsplit("/", 1)[-1]: r.route for r in
               spark.read.option("header", True).csv(f"{base}/err/routes").collect()}
     assert routes["FD_STORE_INV-03072023-1.csv.gz"] == "pass"
+    assert routes["FD_SALES-02072023-1.csv"] == "missed_files"
     assert routes["FD_SALES-01072023-2.csv"] == "validation_threshold_error/required_files"
     invalid = spark.read.option("header", True).csv(f"{base}/err/invalid_rows/FD_SALES")
     assert rows(invalid, "LOCATION", "TRAN_DATE") == [("60", "never")]
