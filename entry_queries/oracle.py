@@ -108,7 +108,7 @@ PARTS = {
                "IP_QTY_EOP_INV" - "IP_QTY_EOP_INTRANS" AS "IP_QTY_EOP_SOH"
         FROM closed""",
     "truck0": """
-        SELECT CAST(o_custkey AS INTEGER) AS ship, CAST(o_orderkey AS INTEGER) AS stop,
+        SELECT o_custkey AS ship, o_orderkey AS stop,
                CASE WHEN o_orderpriority LIKE '5%' THEN 0
                     ELSE CAST(25 * (o_custkey % 10) AS INTEGER) END AS loc,
                DATE '2021-01-01' + CAST((CAST(o_orderdate AS DATE) - DATE '1995-01-01') % 33 * 11

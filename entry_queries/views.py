@@ -130,8 +130,8 @@ def raw_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = F.concat(F.lit("FD.FDS_"), F.lpad((customer % 10 * 25).cast("string"), 5, "0"))
     depot = F.col("o_orderpriority").startswith("5")
     return table(spark, sf_dir, "orders").select(
-        customer.cast("int").alias("SHIPMENT_XID"),
-        F.col("o_orderkey").cast("int").alias("STOP_NUM"),
+        customer.alias("SHIPMENT_XID"),
+        F.col("o_orderkey").alias("STOP_NUM"),
         F.when(depot, "FD.9540").otherwise(store).alias("LOCATION_GID"),
         text(F.when(customer % 2 == 0, F.date_add(day, 1))).alias("ESTIMATED_ARRIVAL"),
         text(F.when(customer % 3 == 0, F.date_add(day, 2))).alias("PLANNED_ARRIVAL"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,12 @@ from shelfledger.fixed_values import CRITICAL, HOLIDAYS, INGESTION_COMPONENT
 DAY = "yyyyMMdd"
 
 
+def run_day(offset: int = 0, now: dt.date | None = None) -> str:
+    """Day of a run: today for 0 and 1, days ahead beyond 1, days back below 0."""
+    day = now or dt.date.today()
+    return f"{day + dt.timedelta(offset - 1 if offset > 0 else offset):%Y%m%d}"
+
+
 def latest_failures(
     run_log: DataFrame,
     component: str = INGESTION_COMPONENT,

@@ -17,6 +17,7 @@ _DAY_COLUMNS = [
     "ESTIMATED_ARRIVAL", "PLANNED_ARRIVAL", "ACTUAL_ARRIVAL", "START_TIME", "END_TIME",
 ]
 STOPS_PER_CHUNK = 1000
+CHUNK_LEVELS = 2
 
 
 def parse_carrier_days(df: DataFrame) -> DataFrame:
@@ -26,52 +27,68 @@ def parse_carrier_days(df: DataFrame) -> DataFrame:
     })
 
 
-def neighbour_arrivals(df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK) -> DataFrame:
-    """Arrival at the stop before and after, one row per (SHIPMENT_XID, STOP_NUM).
+def _neighbours(runs: DataFrame, width: int, levels: int) -> DataFrame:
+    """``before`` and ``after`` of each run (SHIPMENT_XID, position, first, last).
 
-    A shipment is cut into ranges of stop numbers. Neighbours inside a range come from a
-    window over the range; across a border they come from a window over the borders alone.
-    No window therefore holds more than one range of stops, whatever one shipment id holds.
-    Copies of a stop count once, with the latest arrival they state.
+    A run's neighbours are the last value of the run before it and the first of the one
+    after. Inside a chunk of ``width`` positions a window finds them. At its borders they are
+    the neighbours of the chunk, which is again a run, at the position of its number.
     """
-    stops = (
-        df.groupBy("SHIPMENT_XID", "STOP_NUM")
-        .agg(F.max("ACTUAL_ARRIVAL").alias("arrival"))
-        .withColumn("position", F.coalesce("STOP_NUM", F.lit(-(2**31))).cast("bigint"))
-        .withColumn("chunk", F.floor(F.col("position") / stops_per_chunk))
-    )
-    borders = stops.groupBy("SHIPMENT_XID", "chunk").agg(
-        F.min_by("arrival", "position").alias("first"),
-        F.max_by("arrival", "position").alias("last"),
-    )
-    over_borders = Window.partitionBy("SHIPMENT_XID").orderBy("chunk")
-    borders = borders.select(
-        F.col("SHIPMENT_XID").alias("border_shipment"),
-        F.col("chunk").alias("border_chunk"),
-        F.lag("last").over(over_borders).alias("last_before"),
-        F.lead("first").over(over_borders).alias("first_after"),
+    neighbours = {"before": F.lag("last"), "after": F.lead("first")}
+    if not levels:
+        series = Window.partitionBy("SHIPMENT_XID").orderBy("position")
+        found = {name: value.over(series) for name, value in neighbours.items()}
+        return runs.select("SHIPMENT_XID", "position", *[v.alias(n) for n, v in found.items()])
+
+    chunked = runs.withColumn("chunk", F.floor(F.col("position") / width))
+    chunks = chunked.groupBy("SHIPMENT_XID", "chunk").agg(
+        F.min_by("first", "position").alias("first"),
+        F.max_by("last", "position").alias("last"),
+    ).withColumnRenamed("chunk", "position")
+    around = _neighbours(chunks, width, levels - 1).select(
+        F.col("SHIPMENT_XID").alias("chunk_shipment"),
+        F.col("position").alias("chunk_number"),
+        F.col("before").alias("before_chunk"),
+        F.col("after").alias("after_chunk"),
     )
     in_chunk = Window.partitionBy("SHIPMENT_XID", "chunk").orderBy("position")
-    inside = stops.select(
-        "*",
-        F.lag("arrival").over(in_chunk).alias("inside_before"),
-        F.lead("arrival").over(in_chunk).alias("inside_after"),
-        F.lag(F.lit(True)).over(in_chunk).alias("has_before"),
-        F.lead(F.lit(True)).over(in_chunk).alias("has_after"),
+    inside = chunked.select(
+        "SHIPMENT_XID", "chunk", "position",
+        *[value.over(in_chunk).alias(name) for name, value in neighbours.items()],
+        F.lag(F.lit(True), 1, False).over(in_chunk).alias("has_before"),
+        F.lead(F.lit(True), 1, False).over(in_chunk).alias("has_after"),
     )
-    joined = inside.join(
-        borders,
-        F.col("SHIPMENT_XID").eqNullSafe(F.col("border_shipment"))
-        & (F.col("chunk") == F.col("border_chunk")),
-        "left",
+    same_chunk = F.col("SHIPMENT_XID").eqNullSafe(F.col("chunk_shipment")) & (
+        F.col("chunk") == F.col("chunk_number")
+    )
+    return inside.join(around, same_chunk, "left").select(
+        "SHIPMENT_XID", "position",
+        *[
+            F.when(F.col(f"has_{n}"), F.col(n)).otherwise(F.col(f"{n}_chunk")).alias(n)
+            for n in neighbours
+        ],
     )
-    return joined.select(
+
+
+def neighbour_arrivals(
+    df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK, levels: int = CHUNK_LEVELS
+) -> DataFrame:
+    """Arrival at the stop before and after, one row per (SHIPMENT_XID, STOP_NUM).
+
+    Whatever one shipment id holds, no window sees more than ``stops_per_chunk`` stops; only
+    the last one goes over a whole shipment, and sees one row per stops_per_chunk ** levels
+    stop numbers. Copies of a stop count once, with the latest arrival they state.
+    """
+    position = F.coalesce(F.col("STOP_NUM").cast("bigint"), F.lit(-(2**62)))
+    stops = df.groupBy("SHIPMENT_XID", "STOP_NUM").agg(F.max("ACTUAL_ARRIVAL").alias("first"))
+    runs = stops.select("SHIPMENT_XID", position.alias("position"), "first",
+                        F.col("first").alias("last"))
+    found = _neighbours(runs, stops_per_chunk, levels)
+    return found.select(
         "SHIPMENT_XID",
-        "STOP_NUM",
-        F.when(F.col("has_before"), F.col("inside_before"))
-        .otherwise(F.col("last_before")).alias("arrival_before"),
-        F.when(F.col("has_after"), F.col("inside_after"))
-        .otherwise(F.col("first_after")).alias("arrival_after"),
+        F.when(F.col("position") != -(2**62), F.col("position")).alias("STOP_NUM"),
+        F.col("before").alias("arrival_before"),
+        F.col("after").alias("arrival_after"),
     )
 
 

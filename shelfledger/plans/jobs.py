@@ -8,6 +8,7 @@ import ast
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfledger.mapping import Mapping, default_mapping, load_mapping
+from shelfledger.operators.calendar import plan_dates, run_day
 from shelfledger.operators.checks import denorm_checks, require_clean
 from shelfledger.operators.conform import GROUP
 from shelfledger.operators.inventory import densify_inventory
@@ -40,7 +41,10 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     write_csv(routes.filter("class = 'all_valid'"), f"{args.output_path}/routes")
     write_csv(routes.filter("class <> 'all_valid'"), f"{args.error_path}/routes")
     days = _missing(spark, args.date_missing_files).select("file_date")
-    write_csv(run_log_rows(manifest, days, args.run_date), args.log_path, "append")
+    run_date = args.run_date or run_day()
+    if args.earlier_log:
+        days = plan_dates(spark.read.option("header", True).csv(args.earlier_log), days, run_date)
+    write_csv(run_log_rows(manifest, days, run_date), args.log_path, "append")
 
 
 def run_validation(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -95,7 +99,8 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
 STAGES = {
     "ingest": (
         ingest,
-        ["date_missing_files", "input_path", "error_path", "output_path", "log_path", "run_date"],
+        ["date_missing_files", "input_path", "error_path", "output_path", "log_path",
+         "run_date?", "earlier_log?"],
     ),
     "validate": (
         run_validation,

@@ -37,8 +37,8 @@ def test_dropped_file(spark, tmp_path):
     assert carriers.carrier_arrivals(df).count() == 4
 
 
-@pytest.mark.parametrize("stops_per_chunk", [1, 2, 3, 1000])
-def test_neighbours_against_loops(spark, stops_per_chunk):
+@pytest.mark.parametrize("stops_per_chunk,levels", [(1, 1), (2, 2), (3, 3), (1000, 2), (9, 0)])
+def test_neighbours_against_loops(spark, stops_per_chunk, levels):
     rng = random.Random(3)
     start = dt.date(2022, 3, 1)
     data = []
@@ -49,7 +49,7 @@ def test_neighbours_against_loops(spark, stops_per_chunk):
     data.append((1, None, start))
     found = carriers.neighbour_arrivals(
         spark.createDataFrame(data, "SHIPMENT_XID int, STOP_NUM int, ACTUAL_ARRIVAL date"),
-        stops_per_chunk,
+        stops_per_chunk, levels,
     )
     expected = {}
     for shipment in (1, 2, None):

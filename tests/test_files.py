@@ -94,6 +94,11 @@ def test_earlier_log(spark, log):
         runlog.require_same(found, found.filter("missing = ''"))
 
 
+@pytest.mark.parametrize("offset,day", [(0, "05"), (1, "05"), (3, "07"), (-2, "03")])
+def test_run_day(offset, day):
+    assert calendar.run_day(offset, dt.date(2023, 7, 5)) == f"202307{day}"
+
+
 def test_planned_days(spark, log):
     asked = spark.createDataFrame([("20230705",)], "file_date string")
     planned = calendar.plan_dates(log, asked, "20230705")

@@ -242,6 +242,14 @@ def test_stages(spark, drop):
     log = spark.read.option("header", True).csv(f"{base}/log")
     assert rows(log, "file_date", "status") == [("20230701", "success"), ("20230703", "success")]
 
+    run("ingest", date_missing_files=days, input_path=root, error_path=f"{base}/err",
+        output_path=f"{base}/in", log_path=f"{base}/log2", run_date="20230705",
+        earlier_log=f"{base}/log")
+    log = spark.read.option("header", True).csv(f"{base}/log2")
+    assert rows(log, "file_date", "error_code") == [
+        ("20230701", None), ("20230703", None), ("20230705", "DATA_ING_ERR_001")
+    ]
+
     blank = ["", "null", " "]
     rules = {
         table: {"columns": [{"name": "SKU", "validations": [
