@@ -14,21 +14,26 @@ from shelfledger.operators.routing import listed_files, tables_named_in
 NAMES_PER_ROW = 1000
 
 
-def files_of_days(manifest: DataFrame, days: DataFrame) -> DataFrame:
-    """(file_date, name) where the name holds the day as ddMMyyyy or yyyyMMdd anywhere.
+def _matches(manifest: DataFrame, days: DataFrame) -> DataFrame:
+    """(file_date, name), twice where a name holds both spellings of a day.
 
     "Contains" is turned into an equi-join: every eight-digit piece of a name is looked up
     among the two spellings of each day.
     """
     pieces = F.expr(
-        "array_distinct(filter(transform(sequence(1, greatest(length(name) - 7, 1)),"
-        " i -> substring(name, i, 8)), p -> p rlike '^[0-9]{8}$'))"
+        "array_distinct(flatten(transform(regexp_extract_all(name, '[0-9]{8,}', 0),"
+        " run -> transform(sequence(1, length(run) - 7), i -> substring(run, i, 8)))))"
     )
     named = listed_files(manifest).select("name", F.explode(pieces).alias("spelling"))
     day = F.to_date("file_date", DAY)
     spellings = F.array(F.date_format(day, "ddMMyyyy"), F.date_format(day, DAY))
     wanted = days.select("file_date", F.explode(F.array_distinct(spellings)).alias("spelling"))
-    return named.join(wanted, "spelling").select("file_date", "name").distinct()
+    return named.join(wanted, "spelling").select("file_date", "name")
+
+
+def files_of_days(manifest: DataFrame, days: DataFrame) -> DataFrame:
+    """(file_date, name) where the name holds the day as ddMMyyyy or yyyyMMdd anywhere."""
+    return _matches(manifest, days).distinct()
 
 
 def _listed(names: Column) -> Column:
@@ -60,7 +65,7 @@ def run_log_rows(
     many rows as keep a row near ``names_per_row`` names, so no day is gathered whole.
     """
     name = F.col("name")
-    hits = files_of_days(manifest, days).withColumn(
+    hits = _matches(manifest, days).withColumn(
         "permitted", F.lower(extension(name)).isin(*extensions)
     )
     tables = sorted({*required, *special})
@@ -102,7 +107,7 @@ def run_log_rows(
     pieces = (
         skew_safe_left_join(hits.filter(wrong), totals, ["file_date"])
         .groupBy("file_date", F.pmod(F.xxhash64("name"), F.col("pieces")).alias("piece"))
-        .agg(F.sort_array(F.collect_list("name")).alias("names"))
+        .agg(F.sort_array(F.collect_set("name")).alias("names"))
     )
     moderate = _log_row(
         **common, status=F.lit("failed"), priority=F.lit("moderate"),

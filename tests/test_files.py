@@ -158,6 +158,12 @@ def test_day_anywhere_in_name(spark):
     assert rows(found, "name") == [("A-0107202312-1.csv",), ("B-9920230701-1.csv",)]
 
 
+def test_both_spellings_count_once(spark):
+    found = log_of(spark, ["FD_SALES-01072023-20230701.txt"], ["20230701"], names_per_row=1)
+    wrong = found.filter("priority = 'moderate'")
+    assert rows(wrong, "unpermitted_files") == [("['FD_SALES-01072023-20230701.txt']",)]
+
+
 def test_hot_day_is_logged_in_pieces(spark):
     names = [f"FD_SALES-01072023-{i}.txt" for i in range(500)]
     found = log_of(spark, names, ["20230701"], names_per_row=50)
