@@ -59,11 +59,11 @@ def dense_stepwise(t: dict[str, DataFrame]) -> None:
         inventory.inventory_snapshot(df), KEYS, "left"
     ).na.fill(0.0, ["IP_QTY_BOP_INV", "IP_QTY_BOP_INTRANS"])
     series = Window.partitionBy("SKU", "LOCATION").orderBy("DATE")
-    run_all(filled.select(
-        *KEYS, "IP_QTY_BOP_INV", "IP_QTY_BOP_INTRANS",
-        F.coalesce(F.lead("IP_QTY_BOP_INV").over(series), F.lit(0.0)).alias("IP_QTY_EOP_INV"),
-        F.coalesce(F.lead("IP_QTY_BOP_INTRANS").over(series), F.lit(0.0)).alias("IP_QTY_EOP_INTRANS"),
-    ))
+    closings = {"IP_QTY_EOP_INV": "IP_QTY_BOP_INV", "IP_QTY_EOP_INTRANS": "IP_QTY_BOP_INTRANS"}
+    run_all(filled.select(*KEYS, *closings.values(), *[
+        F.coalesce(F.lead(opening).over(series), F.lit(0.0)).alias(closing)
+        for closing, opening in closings.items()
+    ]))
 
 
 def dense(t: dict[str, DataFrame]) -> None:

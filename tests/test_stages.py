@@ -42,7 +42,8 @@ def test_mapping_file(spark, tmp_path):
 def test_custom_mapping(spark, tmp_path):
     path = write(f"{tmp_path}/m.json", json.dumps({"returns": {
         "source_table_name": "BACK", "columns": {
-            "sku": {"src": "ITEM", "dest": "SKU"}, "return_units": {"src": "N", "dest": "BACK_N"}}}}))
+            "sku": {"src": "ITEM", "dest": "SKU"},
+            "return_units": {"src": "N", "dest": "BACK_N"}}}}))
     mapping = load_mapping(spark, path)
     df = spark.createDataFrame([(1, 2.0, "x")], "ITEM int, N double, extra string")
     found = conform.conform(df, mapping, "returns")
@@ -169,7 +170,8 @@ def random_tables(spark, seed):
 
     def frame(columns, count, make):
         data = [make() for _ in range(count)]
-        return spark.createDataFrame(data + data[:5], "SKU int, LOCATION int, DATE date, " + columns)
+        schema = "SKU int, LOCATION int, DATE date, " + columns
+        return spark.createDataFrame(data + data[:5], schema)
 
     balances = ("IP_QTY_BOP_INTRANS", "IP_QTY_BOP_SOH", "IP_QTY_EOP_INTRANS", "IP_QTY_EOP_SOH")
     t = {
