@@ -24,8 +24,8 @@ FENCE = 6.0
 #: Feature -> least distance above the median that counts as unusual, in the feature's unit:
 #: where nearly all documents agree, the quartile distance is 0 and says nothing.
 MARGINS = {
-    "symbol_share": 0.8,
-    "dup_line_share": 0.25,
+    "symbol_share": 0.3,
+    "dup_line_share": 0.45,
     "repeat_share": 0.4,
     "word_length": 2.5,
 }
@@ -174,15 +174,13 @@ def adaptive_cutoffs(shares: DataFrame, language: str, source: str) -> DataFrame
 
     own = wide(fine, group, "0")
     lang = wide(merged([language]), [language], "1").withColumnRenamed(language, "_l")
-    overall = wide(merged([]), [], "2")
+    overall = {r["feature"]: r["cutoff"] for r in cutoffs(merged([]), []).collect()}  # 4 rows
     return (
-        own.join(lang, own[language].eqNullSafe(lang["_l"]), "left").crossJoin(
-            F.broadcast(overall)  # one row
-        )
+        own.join(lang, own[language].eqNullSafe(lang["_l"]), "left")
         .select(language, source, *(
             F.when(F.col("_n0") >= LEAST_GROUP, F.col(f"_{name}0"))
             .when(F.col("_n1") >= LEAST_GROUP, F.col(f"_{name}1"))
-            .otherwise(F.col(f"_{name}2")).alias(name)
+            .otherwise(F.lit(overall.get(name)).cast("double")).alias(name)
             for name in MARGINS
         ))
     )

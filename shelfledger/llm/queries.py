@@ -1,9 +1,17 @@
 """The queries of the operators and, where SQL can express them, the same in SQL."""
 
+from shelfledger.llm.fingerprints import op5_fingerprints
+from shelfledger.llm.languages import op7_languages
+from shelfledger.llm.mixing import op6_mixing
 from shelfledger.llm.quality import op4_quality
+from shelfledger.llm.secrets import op8_secrets
 
 QUERIES = {
     "op4_quality": op4_quality,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_mixing": op6_mixing,
+    "op7_languages": op7_languages,
+    "op8_secrets": op8_secrets,
 }
 
 ORACLE: dict[str, str] = {}
