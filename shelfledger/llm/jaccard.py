@@ -456,5 +456,34 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     )
 
 
+def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """One row of each group of near copies, with all columns as they are.
+
+    The row with the least doc_id stays, of equal ids the one whose text has the least hash, of
+    equal rows any. Documents without words stay, repeated rows of them too. A row without
+    doc_id stays only where its whole group has none.
+    """
+    found = near_copies(docs.select(
+        F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text"
+    ), like)
+    # groups are few rows against all: name those that go, by id and text
+    of_row = found.groupBy("doc_id").agg(
+        F.min("component_id").alias("keep"), F.max("n_shingles").alias("n"),
+        F.count(F.lit(1)).alias("times"),
+    )
+    name = of_row.select(
+        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.h").alias("__h"), "times",
+        (F.col("n") == 0).alias("__blank"),
+        F.col("doc_id").eqNullSafe(F.col("keep")).alias("__first"),
+    ).where("__first or __blank")
+    marked = docs.withColumn("__hash", F.xxhash64("text"))
+    kept = marked.join(
+        name, marked["doc_id"].eqNullSafe(name["__id"]) & (F.col("__hash") == F.col("__h"))
+    )
+    once = kept.where("times = 1 or __blank").select(*docs.columns)
+    again = kept.where("times > 1 and not __blank").dropDuplicates(["__id", "__h"])
+    return once.union(again.select(*docs.columns))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(documents(spark, sf_dir))

@@ -237,6 +237,22 @@ def _with_fill(chosen: DataFrame, fill: DataFrame) -> DataFrame:
     )
 
 
+def copies_of(docs: DataFrame) -> DataFrame:
+    """Documents repeated as often as the mix takes them, with all columns as they are."""
+    t = F.coalesce(F.col("text"), F.lit(""))
+    numbered = written(docs.withColumns({
+        "__row": F.monotonically_increasing_id(), "__size": word_count(t),
+        "__key": F.xxhash64("doc_id", t),
+    }), "numbered")
+    mixed = mix_sized(numbered.select(
+        F.col("__row").alias("row"), "doc_id", "source", F.col("__size").alias("size"),
+        F.col("__key").alias("key"),
+    )).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
+    return numbered.join(mixed, "__row").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    ).select(*docs.columns)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
