@@ -11,6 +11,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -187,8 +188,6 @@ def learn(docs: DataFrame, rows: int = TRAINING_ROWS) -> Model:
 
 def predict_column(model: Model):
     """A pandas UDF from text to struct(lang, score)."""
-    import pandas as pd
-
     @F.pandas_udf("lang string, score double")
     def predicted(texts: pd.Series) -> pd.DataFrame:
         batch = pa.RecordBatch.from_arrays(
