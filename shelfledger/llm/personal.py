@@ -318,10 +318,12 @@ def joined(spans: Column) -> Column:
 
 
 def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def number_of(kind: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
     return extract(documents(spark, sf_dir)).select(
         "doc_id",
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-          for k, name in enumerate(KINDS)),
+        *(number_of(k).alias(f"n_{name}") for k, name in enumerate(KINDS)),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )

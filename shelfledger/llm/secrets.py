@@ -235,12 +235,14 @@ def joined(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def number_of(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     found = scan(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_RULES))
     return found.select(
         "doc_id",
-        *(F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long")
-          .alias(f"n_{r.kind}") for n, r in enumerate(BASE_RULES)),
+        *(number_of(n).alias(f"n_{r.kind}") for n, r in enumerate(BASE_RULES)),
         F.sha2(joined(base, RULES), 256).alias("base_sha256"),
         joined(F.col("spans"), RULES).alias("spans"),
     )
