@@ -123,30 +123,32 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def following(docs: DataFrame) -> DataFrame:
-    """(key, next_key, next_hash, need): each distinct key with the next lower one.
+    """(id, blank, need, next_id, next_blank, next_hash): each distinct id with the next lower.
 
-    After the lowest comes the highest. Keys are put in order in ranges between quantiles, and
-    the ends of the ranges are joined up; a range is a few longs per key, and equal keys are
-    one row. ``next_hash`` names the row of the next key that is taken: the least text hash.
+    After the lowest comes the highest; ``blank`` marks the missing id, the lowest of all. Ids
+    are put in order in ranges between quantiles, and the ends of the ranges are joined up; a
+    range is a few longs per id, and equal ids are one row. ``next_hash`` names the row of the
+    next id that is taken: the least text hash. ``need`` is the most that a row of the id takes.
     """
-    keys = written(
-        docs.groupBy("key").agg(F.min("hash").alias("hash"), F.max("need").alias("need")), "keys"
+    ids = written(
+        docs.groupBy("id", "blank").agg(
+            F.min(F.xxhash64("text")).alias("hash"),
+            F.max(F.floor(F.length("text") / 3)).cast("int").alias("need"),
+        ), "ids",
     )
-    cuts = keys.agg(F.percentile_approx(
-        "key", [i / RANGES for i in range(1, RANGES)], 10000
+    cuts = ids.where("not blank").agg(F.percentile_approx(
+        "id", [i / RANGES for i in range(1, RANGES)], 10000
     )).first()[0]
-    part = F.size(F.filter(
+    part = F.when(F.col("blank"), -1).otherwise(F.size(F.filter(
         F.array(*(F.lit(c) for c in sorted(set(cuts or [])))).cast("array<long>"),
-        lambda c: c < F.col("key"),
-    ))
-    parted = keys.withColumn("part", part)
-    down = Window.partitionBy("part").orderBy(F.desc("key"))
-    inner = parted.select(
-        "part", "key", "need",
-        F.lead(F.struct("key", "hash")).over(down).alias("next"),
-    )
-    # at most RANGES rows: the highest key of each range follows the lowest of the one above
-    heads = parted.groupBy("part").agg(F.max(F.struct("key", "hash")).alias("head"))
+        lambda c: c < F.col("id"),
+    )))
+    parted = ids.withColumn("part", part)
+    name = F.struct("id", "blank", "hash")
+    down = Window.partitionBy("part").orderBy(F.desc("id"))
+    inner = parted.select("part", "id", "blank", "need", F.lead(name).over(down).alias("next"))
+    # at most RANGES rows: the highest id of each range follows the lowest of the one above
+    heads = parted.groupBy("part").agg(F.max_by(name, "id").alias("head"))
     around = Window.orderBy(F.desc("part"))
     ends = heads.select(
         F.col("part").alias("_part"),
@@ -158,9 +160,10 @@ def following(docs: DataFrame) -> DataFrame:
         ).alias("after"),
     )
     return inner.join(F.broadcast(ends), F.col("part") == F.col("_part")).select(
-        "key", "need", F.coalesce("next", "after").alias("next"),
+        "id", "blank", "need", F.coalesce("next", "after").alias("next"),
     ).select(
-        "key", "need", F.col("next.key").alias("next_key"), F.col("next.hash").alias("next_hash")
+        "id", "blank", "need", F.col("next.id").alias("next_id"),
+        F.col("next.blank").alias("next_blank"), F.col("next.hash").alias("next_hash"),
     )
 
 
@@ -170,32 +173,37 @@ def edited(docs: DataFrame) -> DataFrame:
     Takes doc_id and text; returns doc_id, n_chars, text, edited, vec and next_vec, one row per
     input row. The edited text has the last third of the code points replaced by the first as
     many of the next document in descending doc_id; after the last comes the first. A null
-    text is empty, a null doc_id counts as the smallest long. Of several rows with one doc_id,
-    the one with the least text hash stands for it as a next document. A single document is
-    its own next. An empty table gives no rows.
+    text is empty, a null doc_id comes last. Of several rows with one doc_id, the one with the
+    least text hash stands for it as a next document. A single document is its own next. An
+    empty table gives no rows.
     """
-    t = F.coalesce(F.col("text"), F.lit(""))
+    # both joins below shuffle exactly these columns by the id, so they share one exchange
     base = docs.select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("key"), t.alias("text"),
-    ).withColumns({
-        "hash": F.xxhash64("text"), "n_chars": F.length("text").cast("long"),
-    }).withColumn("need", F.floor(F.col("n_chars") / 3).cast("int"))
-    follow = written(following(base), "following")
+        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("blank"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    follow = written(following(base), "following").select(
+        F.col("id").alias("to_id"), F.col("blank").alias("to_blank"), "need",
+        "next_id", "next_blank", "next_hash",
+    )
     # the text of each next document, cut to what is needed, goes to the row before it
     patch = base.join(
-        follow.select(
-            F.col("key").alias("to_key"), F.col("next_key").alias("key"),
-            F.col("next_hash").alias("hash"), F.col("need").alias("most"),
-        ), ["key", "hash"],
+        follow,
+        (F.col("id") == F.col("next_id")) & (F.col("blank") == F.col("next_blank"))
+        & (F.xxhash64("text") == F.col("next_hash")),
     ).select(
-        F.col("to_key").alias("key"), F.expr("substring(text, 1, most)").alias("patch"),
+        "to_id", "to_blank", F.expr("substring(text, 1, need)").alias("patch"),
         vector(F.col("text")).alias("next_vec"),
-    ).dropDuplicates(["key"])
-    return base.join(patch, "key").select(
-        "doc_id", "n_chars", "text",
+    ).dropDuplicates(["to_id", "to_blank"])
+    third = F.floor(F.length("text") / 3).cast("int")
+    return base.join(
+        patch, (F.col("id") == F.col("to_id")) & (F.col("blank") == F.col("to_blank"))
+    ).select(
+        F.when(~F.col("blank"), F.col("id")).alias("doc_id"),
+        F.length("text").cast("long").alias("n_chars"), "text",
         F.concat(
-            F.expr("substring(text, 1, cast(n_chars as int) - need)"),
-            F.expr("substring(patch, 1, need)"),
+            F.substr(F.col("text"), F.lit(1), F.length("text") - third),
+            F.substr(F.col("patch"), F.lit(1), third),
         ).alias("edited"),
         vector(F.col("text")).alias("vec"), "next_vec",
     )
