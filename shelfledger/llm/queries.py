@@ -3,20 +3,24 @@
 from shelfledger.llm.fingerprints import op5_fingerprints
 from shelfledger.llm.jaccard import op10_jaccard_join
 from shelfledger.llm.languages import op7_languages
+from shelfledger.llm.licenses import op3_licenses
 from shelfledger.llm.mixing import op6_mixing
 from shelfledger.llm.packing import op2_packing
 from shelfledger.llm.personal import op1_personal_data
 from shelfledger.llm.quality import op4_quality
 from shelfledger.llm.secrets import op8_secrets
+from shelfledger.llm.warc import op9_warc
 
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_fingerprints": op5_fingerprints,
     "op6_mixing": op6_mixing,
     "op7_languages": op7_languages,
     "op8_secrets": op8_secrets,
+    "op9_warc": op9_warc,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
