@@ -20,9 +20,9 @@ from shelfledger.llm.batches import BATCH_BYTES, map_texts, slices, text_bytes
 from shelfledger.llm.common import documents
 
 #: Number of hashed features.
-FEATURES = 1 << 13
+FEATURES = 1 << 12
 #: Training rows per language; rows are chosen by a hash of their text, over the whole table.
-TRAINING_ROWS = 1500
+TRAINING_ROWS = 500
 #: Passes over the training rows and strength of the regularisation.
 EPOCHS, PENALTY = 6, 1e-5
 #: The value for texts that have no language.
@@ -54,7 +54,7 @@ def features(array: pa.Array) -> np.ndarray:
             if len(b) < 3:
                 continue
             code = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
-            bins = ((code * np.uint32(2654435761)) >> np.uint32(32 - 13)) & (FEATURES - 1)
+            bins = ((code * np.uint32(2654435761)) >> np.uint32(32 - 12)) & (FEATURES - 1)
             out[i] += np.bincount(bins, minlength=FEATURES)
     out = np.sqrt(out)
     size = np.linalg.norm(out, axis=1, keepdims=True)
@@ -210,7 +210,7 @@ def predict_texts(model: Model, texts: pa.Array) -> tuple[list[str], list[float]
     if not model.families:
         return [UNDETERMINED] * len(has), [0.0] * len(has)
     lang, score = [], []
-    for at in range(0, len(has), 512):  # 512 vectors are 16 MB
+    for at in range(0, len(has), 512):  # 512 vectors are 8 MB
         a, b = model.predict(features(texts.slice(at, 512)))
         lang += a
         score += b.tolist()
