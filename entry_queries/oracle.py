@@ -41,9 +41,9 @@ PARTS = {
     "invoices": """
         SELECT "SKU", "LOCATION", "DATE" + 1 AS "DATE", "UNITS" FROM mv WHERE "LS" = 'O'""",
     "sched": """
-        SELECT DISTINCT "LOCATION",
-               "DATE" - CASE WHEN "LS" = 'O' THEN 2 ELSE 3 END AS "AUDIT_DATE", "DATE"
-        FROM mv WHERE day("DATE") = 15""",
+        SELECT DISTINCT "LOCATION", m - CASE WHEN "LS" = 'O' THEN 2 ELSE 3 END AS "AUDIT_DATE",
+               m AS "DATE"
+        FROM (SELECT *, CAST(date_trunc('month', "DATE") AS DATE) + 14 AS m FROM mv)""",
     "audits": """
         SELECT "SKU", "LOCATION", "DATE" - 2 AS "AUDIT_DATE", "UNITS" AS "AUDIT_UNITS"
         FROM mv WHERE "RF" = 'A'""",
@@ -108,22 +108,28 @@ PARTS = {
                "IP_QTY_EOP_INV" - "IP_QTY_EOP_INTRANS" AS "IP_QTY_EOP_SOH"
         FROM closed""",
     "truck0": """
-        SELECT o_custkey AS ship, o_orderkey AS stop,
+        SELECT CASE WHEN o_custkey % 13 <> 0 THEN o_custkey END AS ship, o_orderkey AS stop,
+               again,
                CASE WHEN o_orderpriority LIKE '5%' THEN 0
                     ELSE CAST(25 * (o_custkey % 10) AS INTEGER) END AS loc,
                DATE '2021-01-01' + CAST((CAST(o_orderdate AS DATE) - DATE '1995-01-01') % 33 * 11
                  AS INTEGER) AS d, o_orderstatus AS st, o_custkey AS c
-        FROM orders""",
+        FROM orders, (VALUES (false), (true)) x(again) WHERE NOT again OR o_orderkey % 5 = 0""",
     "truck1": """
-        SELECT *, CASE WHEN st <> 'P' THEN d END AS actual,
+        SELECT *, CASE WHEN again THEN CASE WHEN st = 'O' THEN d + 1 END
+                       WHEN st <> 'P' THEN d END AS actual,
                CASE WHEN c % 2 = 0 THEN d + 1 END AS estimated,
                CASE WHEN c % 3 = 0 THEN d + 2 END AS planned,
                CASE WHEN st = 'F' THEN d - 1 ELSE d + 1 END AS started, d + 1 AS ended
         FROM truck0""",
+    "stop0": """
+        SELECT ship, stop, max(actual) AS own FROM truck1 WHERE ship IS NOT NULL GROUP BY 1, 2""",
+    "stop1": """
+        SELECT *, lag(own) OVER w AS before, lead(own) OVER w AS after
+        FROM stop0 WINDOW w AS (PARTITION BY ship ORDER BY stop)""",
     "truck2": """
-        SELECT *, coalesce(actual, lag(actual) OVER w, lead(actual) OVER w, estimated, planned,
-                           ended) AS best
-        FROM truck1 WINDOW w AS (PARTITION BY ship ORDER BY stop)""",
+        SELECT x.*, coalesce(actual, own, before, after, estimated, planned, ended) AS best
+        FROM truck1 x LEFT JOIN stop1 y ON x.ship = y.ship AND x.stop = y.stop""",
     "trucks": """
         SELECT ship AS "SHIPMENT_XID", stop AS "STOP_NUM", loc AS "LOCATION",
                CASE WHEN best < started THEN ended ELSE best END AS "ACTUAL_ARRIVAL"
@@ -144,10 +150,13 @@ PARTS = {
         SELECT x."SKU", x."LOCATION", y."DATE", x."AUDIT_UNITS"
         FROM audits x LEFT JOIN (SELECT DISTINCT * FROM sched) y
              ON x."LOCATION" = y."LOCATION" AND x."AUDIT_DATE" = y."AUDIT_DATE" """,
+    "audited": """
+        SELECT "SKU", "LOCATION", "DATE", sum("AUDIT_UNITS") AS "AUDIT_UNITS"
+        FROM dated WHERE "DATE" IS NOT NULL GROUP BY 1, 2, 3""",
     "raw": """
-        SELECT 'drop/' || src || '/' || src || '-' || strftime("DATE", '%d%m%Y') || '-' ||
-                 CAST(no AS VARCHAR) || '.csv' AS file,
-               strftime("DATE", '%d%m%Y') AS fd, src,
+        SELECT 'drop/' || src || '/' || src || '-' || fd || '-' || CAST(no AS VARCHAR) || '.csv'
+                 AS file,
+               "DATE", fd, src,
                CAST("SKU" AS VARCHAR) AS "SKU", CAST("LOCATION" AS VARCHAR) AS "LOCATION",
                CASE WHEN "ORD" % 211 = 0 THEN '2021-13-01' WHEN "ORD" % 307 = 0 THEN ''
                     ELSE strftime("DATE", '%Y-%m-%d') END AS "TRAN_DATE",
@@ -155,8 +164,10 @@ PARTS = {
                     ELSE CAST(CAST("UNITS" AS BIGINT) AS VARCHAR) END END AS "UNITS",
                CASE WHEN day("DATE") = 13 AND no = 1 THEN 'n/a'
                     ELSE CAST(CAST("CENTS" AS BIGINT) AS VARCHAR) END AS "TOTAL_RETAIL"
-        FROM (SELECT *, "SKU" // 5 + 1 AS no,
-                     CASE WHEN "RF" = 'R' THEN 'FD_RETURNS' ELSE 'FD_SALES' END AS src FROM mv)""",
+        FROM (SELECT *, CASE WHEN no % 3 = 0 THEN strftime("DATE", '%Y%m%d')
+                             ELSE strftime("DATE", '%d%m%Y') END AS fd
+              FROM (SELECT *, "SKU" // 5 + 1 AS no,
+                     CASE WHEN "RF" = 'R' THEN 'FD_RETURNS' ELSE 'FD_SALES' END AS src FROM mv))""",
     "flags": """
         SELECT *, "SKU" IS NULL OR "SKU" IN ('', ' ') AS n0,
                "TRAN_DATE" IS NULL OR "TRAN_DATE" IN ('', ' ') AS n1,
@@ -165,7 +176,8 @@ PARTS = {
                "TRAN_DATE" NOT IN ('', ' ') AND try_strptime("TRAN_DATE", '%Y-%m-%d') IS NULL AS d1
         FROM raw""",
     "stats": """
-        SELECT file, any_value(fd) AS fd, any_value(src) AS src, count(*) AS n,
+        SELECT file, any_value(fd) AS fd, any_value("DATE") AS day, any_value(src) AS src,
+               count(*) AS n,
                count(*) FILTER (n0 OR n1 OR n2 OR n3 OR d1) AS bad,
                count(*) FILTER (n0) AS n0, count(*) FILTER (n1) AS n1,
                count(*) FILTER (n2) AS n2, count(*) FILTER (n3) AS n3,
@@ -180,7 +192,7 @@ PARTS = {
                OR file IN (SELECT file FROM stats WHERE failed IS NOT NULL) AS is_invalid
         FROM flags f""",
     "counts": """
-        SELECT fd AS file_date, file AS uri, src AS "table",
+        SELECT strftime(day, '%Y%m%d') AS file_date, file AS uri, src AS "table",
                CASE WHEN failed IS NOT NULL THEN n ELSE bad END AS error_row_count,
                n AS original_row_count
         FROM stats""",
@@ -203,7 +215,7 @@ PARTS = {
                event_id % 11 AS defect, CAST(event_id AS VARCHAR) AS no
         FROM events""",
     "dropped": """
-        SELECT src, defect, CASE defect
+        SELECT src, defect, d, CASE defect
             WHEN 0 THEN src || '-' || strftime(d, '%d%m%Y') || '-' || no || '.txt'
             WHEN 1 THEN src || '-' || strftime(d, '%d%m%Y') || '_' || no || '-23.csv'
             WHEN 2 THEN src || '_ERROR-' || strftime(d, '%d%m%Y') || '12-' || no || '.csv'
@@ -215,7 +227,8 @@ PARTS = {
     "received": """
         SELECT CASE WHEN defect = 2 THEN src || '_ERROR' ELSE src END AS "table",
                CASE WHEN defect = 1 THEN split_part(name, '-', 2)
-                    WHEN defect = 2 THEN spelled || '12' ELSE spelled END AS file_date
+                    WHEN defect = 2 THEN spelled || '12' ELSE strftime(d, '%Y%m%d') END
+                 AS file_date
         FROM dropped""",
     "days": """
         SELECT DISTINCT strftime(dd, '%Y%m%d') AS file_date, strftime(dd, '%d%m%Y') AS other
@@ -252,10 +265,9 @@ PARTS = {
     "logged_wrong": """
         SELECT file_date, 'failed' AS status, 'moderate' AS priority, '' AS error_code,
                '' AS error_message, '' AS missed_files, '' AS processed_files,
-               '[''' || string_agg(name, ''', ''' ORDER BY name) || ''']' AS unpermitted_files
+               '[''' || name || ''']' AS unpermitted_files
         FROM hits WHERE name LIKE '%.txt'
-          AND EXISTS (SELECT 1 FROM known WHERE contains(name, ref))
-        GROUP BY file_date""",
+          AND EXISTS (SELECT 1 FROM known WHERE contains(name, ref))""",
     "log_rows": """
         SELECT '' AS sub_proc_id, '' AS run_id, '' AS task_id, 'Data Ingestion' AS component,
                '20240215' AS run_date, *, '' AS extra
@@ -323,12 +335,12 @@ ZEROES = """coalesce("ADJ_QTY", 0) AS "ADJ_QTY", coalesce("DAMAGE_QTY", 0) AS "D
 KEYS = '"SKU", "LOCATION", "DATE"'
 
 
-def wide(snapshot: str) -> str:
+def wide(snapshot: str, columns: str = "", joins: str = "") -> str:
     return f"""
-        SELECT b.*, {ZEROES}
+        SELECT b.*, {ZEROES}{columns}
         FROM {snapshot} b LEFT JOIN a USING ({KEYS}) LEFT JOIN s USING ({KEYS})
         LEFT JOIN r USING ({KEYS}) LEFT JOIN t USING ({KEYS}) LEFT JOIN v USING ({KEYS})
-        LEFT JOIN f USING ("LOCATION", "DATE") LEFT JOIN items USING ("SKU")"""
+        LEFT JOIN f USING ("LOCATION", "DATE") LEFT JOIN items USING ("SKU") {joins}"""
 
 
 def measured(rows: str) -> str:
@@ -452,11 +464,11 @@ BODIES = {
     "joined_facts": wide("snapshot"),
     "denormalized": measured(wide("snapshot")),
     "denormalized_historical": measured(wide("dense")),
-    "denormalized_with_arrivals": f"""
-        SELECT {KEYS}, coalesce("INTRANSIT_RECORDED", 0) AS "INTRANSIT_RECORDED",
-               coalesce("DC_TRANSFERRED_UNITS", 0) AS "DC_TRANSFERRED_UNITS", "AUDIT_UNITS"
-        FROM snapshot LEFT JOIN t USING ({KEYS}) LEFT JOIN moved USING ({KEYS})
-        LEFT JOIN dated USING ({KEYS})""",
+    "denormalized_with_arrivals": measured(wide(
+        "snapshot",
+        ', coalesce("DC_TRANSFERRED_UNITS", 0) AS "DC_TRANSFERRED_UNITS", "AUDIT_UNITS"',
+        f"LEFT JOIN moved USING ({KEYS}) LEFT JOIN audited USING ({KEYS})",
+    )),
     "derived_measures": measured("""
         SELECT "ORD", "LN", "UNITS" AS "IP_QTY_BOP_INV", CAST("LN" * 7 AS DOUBLE)
                  AS "IP_QTY_EOP_INV", "UNITS" - "LN" AS "IP_QTY_BOP_SOH",
@@ -474,6 +486,22 @@ BODIES = {
                  AS failures FROM inv
           UNION ALL VALUES ('row_count', 0), ('nulls_filled', 0), ('price_units', 0),
                            ('delivery_balance', 0))""",
+    "faulty_denorm_checks": f"""
+        SELECT "check", CAST(failures AS BIGINT) AS failures FROM (
+          WITH w AS (SELECT * FROM ({measured(wide("snapshot"))})),
+          x AS (SELECT * REPLACE (CASE WHEN "SKU" % 7 <> 0 THEN "SALES_UNITS" END AS "SALES_UNITS",
+                  "IP_QTY_EOP_INV" + CASE WHEN "LOCATION" % 3 = 0 THEN 1 ELSE 0 END
+                    AS "IP_QTY_EOP_INV")
+                FROM (SELECT * FROM w UNION ALL SELECT * FROM w WHERE "SKU" % 5 = 0))
+          SELECT 'duplicate_keys' AS "check", count(*) - (SELECT count(*) FROM inv) AS failures
+          FROM x
+          UNION ALL SELECT 'row_count', count(*) - (SELECT count(*) FROM inv) FROM x
+          UNION ALL SELECT 'nulls_filled', count(*) FROM x WHERE "SALES_UNITS" IS NULL
+          UNION ALL SELECT 'price_units', count(*) FROM x
+            WHERE "SALES_UNIT_RETAIL" <> 0 AND "SALES_UNITS" = 0
+          UNION ALL SELECT 'delivery_balance', count(*) FROM x
+            WHERE ("DSD_RECORDED" > 0 OR "DSD_INVC_QTY_RCPT" > 0) AND abs("IP_QTY_EOP_INV" -
+              ("IP_QTY_BOP_INV" - "SALES_UNITS" + "ADJ_QTY" + "DSD_TRANSFERRED_UNITS")) > 1e-6)""",
     "validation_report": """
         SELECT file, 'SKU' AS "column", CASE WHEN failed = 0 THEN n ELSE 0 END AS data_type,
                n0 AS null_check, CAST(0 AS BIGINT) AS date_format FROM stats
@@ -541,6 +569,15 @@ BODIES = {
                CAST(try_strptime("TRAN_DATE", '%Y-%m-%d') AS DATE) AS "DATE",
                TRY_CAST("UNITS" AS DOUBLE) AS "SALES_UNITS",
                TRY_CAST("TOTAL_RETAIL" AS DOUBLE) AS "SALES_TOTAL_RETAIL" FROM raw""",
+    "mixed_header_scan": """
+        SELECT "SKU", "LOCATION", nullif("TRAN_DATE", '') AS "TRAN_DATE", "UNITS",
+               CASE WHEN "LOCATION" <> '25' THEN "TOTAL_RETAIL" END AS "TOTAL_RETAIL" FROM raw""",
+    "manifest_tables": 'SELECT DISTINCT src AS "table" FROM raw',
+    "preprocess_passed": """
+        SELECT CAST("SKU" AS INTEGER) AS "SKU", CAST("LOCATION" AS INTEGER) AS "LOCATION",
+               nullif("TRAN_DATE", '') AS "TRAN_DATE", TRY_CAST("UNITS" AS DOUBLE) AS "UNITS",
+               "TOTAL_RETAIL", round(CAST("LOCATION" AS INTEGER) / 50) AS "LOCATION_GROUP"
+        FROM raw WHERE src = 'FD_RETURNS'""",
     "invalid_rows_csv": """
         SELECT file AS dropped, "SKU", "LOCATION", nullif("TRAN_DATE", '') AS "TRAN_DATE", "UNITS",
                "TOTAL_RETAIL" FROM judged WHERE is_invalid""",

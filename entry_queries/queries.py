@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entry_queries import views
-from shelfledger.functions import dates, measures
+from shelfledger.functions import dates, measures, names
 from shelfledger.mapping import default_mapping
 from shelfledger.operators import (
     asof, audit, calendar, carriers, checks, conform, facts, inventory, merge, quarantine,
     routing, runlog, validate,
 )
+from shelfledger.plans import preprocess, validation
 from shelfledger.plans.denormalize import denormalize, join_facts
-from shelfledger.sources import csv, sinks, tables
+from shelfledger.sources import csv, manifest, sinks, tables
 from shelfledger.sources.workspace import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,9 +34,9 @@ def query(function: Query) -> Query:
     return function
 
 
-def conformed(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+def conformed(spark: SparkSession, sf_dir: str, *wanted: str) -> dict[str, DataFrame]:
     raw = views.raw_tables(spark, sf_dir)
-    return {n: conform.conform(raw[n], MAPPING, n) for n in names or raw}
+    return {n: conform.conform(raw[n], MAPPING, n) for n in wanted or raw}
 
 
 def one(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +44,13 @@ def one(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rules() -> list[validate.ColumnRule]:
-    return validate.parse_rules({"any": views.TEXT_RULES})["any"]
+    rule, unfilled = validate.ColumnRule, ("", "null", " ")
+    return [
+        rule("SKU", ("int",), unfilled),
+        rule("TRAN_DATE", ("string",), unfilled, ("%Y-%m-%d",)),
+        rule("UNITS", ("double",), unfilled),
+        rule("TOTAL_RETAIL", ("double",), unfilled),
+    ]
 
 
 # ---- projections -------------------------------------------------------------------------
@@ -237,12 +244,11 @@ def denormalized_historical(spark, sf_dir):
 def denormalized_with_arrivals(spark, sf_dir):
     """With the optional arrival-dated transfers and audited units."""
     t = conformed(spark, sf_dir)
-    wide = denormalize(
+    return denormalize(
         t,
         arrivals=carriers.carrier_arrivals(t["carrier_master"]),
         actuals=audit.audit_actuals(t["yearly_audit"], t["yearly_audit_schedule"]),
     )
-    return wide.select(*facts.KEYS, "INTRANSIT_RECORDED", "DC_TRANSFERRED_UNITS", "AUDIT_UNITS")
 
 
 @query
@@ -270,6 +276,20 @@ def post_denorm_checks(spark, sf_dir):
     return checks.denorm_checks(denormalize(t), t["inventory_snapshot"])
 
 
+@query
+def faulty_denorm_checks(spark, sf_dir):
+    """The checks on a wide table with faults worked in: every fifth item's rows twice, no
+    sales units for every seventh item, closing totals off by one for every third store."""
+    t = conformed(spark, sf_dir)
+    wide = denormalize(t)
+    faulty = wide.union(wide.filter("SKU % 5 = 0")).withColumns({
+        "SALES_UNITS": F.when(F.col("SKU") % 7 != 0, F.col("SALES_UNITS")),
+        "IP_QTY_EOP_INV": F.col("IP_QTY_EOP_INV")
+        + F.when(F.col("LOCATION") % 3 == 0, 1.0).otherwise(0.0),
+    })
+    return checks.denorm_checks(faulty, t["inventory_snapshot"])
+
+
 # ---- validation --------------------------------------------------------------------------
 
 @query
@@ -301,8 +321,8 @@ def file_error_rates(spark, sf_dir):
 def quarantine_routes(spark, sf_dir):
     """A day counts as incomplete where no store had a return on it."""
     counts = file_error_counts(spark, sf_dir)
-    manifest = counts.select(F.col("uri").alias("path"))
-    missing = routing.missing_mandatory(manifest, ("FD_RETURNS", "FD_SALES"))
+    dropped = counts.select(F.col("uri").alias("path"))
+    missing = routing.missing_mandatory(dropped, ("FD_RETURNS", "FD_SALES"))
     return quarantine.quarantine_routes(counts, missing)
 
 
@@ -385,11 +405,11 @@ def written_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def written_tables(spark: SparkSession, sf_dir: str, *names: str) -> str:
+def written_tables(spark: SparkSession, sf_dir: str, *wanted: str) -> str:
     """Raw tables as the preprocessor leaves them: by store group, masters whole."""
     root = work_dir(spark, "tables")
     raw = views.raw_tables(spark, sf_dir)
-    for name in names:
+    for name in wanted:
         path = tables.table_path(root, MAPPING[name].source)
         if name in tables.MASTERS:
             sinks.write_master(raw[name], path)
@@ -409,6 +429,57 @@ def typed_csv_scan(spark, sf_dir):
     return conform.conform(typed, MAPPING, "sales")
 
 
+def written_drop(spark: SparkSession, sf_dir: str) -> str:
+    """The text rows as dropped CSV files, one folder per table."""
+    root = work_dir(spark, "dropped")
+    for source in ("FD_SALES", "FD_RETURNS"):
+        rows = views.text_rows(spark, sf_dir).filter(F.col("file").contains(f"/{source}/"))
+        sinks.write_csv(rows.drop("file"), f"{root}/{source}")
+    return root
+
+
+@query
+def mixed_header_scan(spark, sf_dir):
+    """Two layouts in one folder; each file is read by its own header."""
+    root, rows = work_dir(spark, "mixed"), views.text_rows(spark, sf_dir).drop("file")
+    sinks.write_csv(rows.filter("LOCATION <> '25'"), f"{root}/a")
+    sinks.write_csv(
+        rows.filter("LOCATION = '25'").select("UNITS", "LOCATION", "SKU", "TRAN_DATE"), f"{root}/b"
+    )
+    return csv.read_raw_csv(spark, [f"{root}/a", f"{root}/b"], mixed_headers=True).drop("file")
+
+
+@query
+def manifest_tables(spark, sf_dir):
+    """The tables whose files lie in a written drop."""
+    files = manifest.file_manifest(spark, written_drop(spark, sf_dir))
+    return files.filter(F.col("path").endswith(".csv")).select(
+        names.folder_name(F.col("path")).alias("table")
+    ).distinct()
+
+
+@query
+def preprocess_passed(spark, sf_dir):
+    """A drop is validated and routed, and the files that passed are preprocessed: sales are
+    over the limit of errors, returns are let through."""
+    root, out = written_drop(spark, sf_dir), work_dir(spark, "passed")
+    path = F.col("path")
+    files = manifest.file_manifest(spark, root).filter(path.endswith(".csv")).select(
+        "path", names.folder_name(path).alias("table"), F.lit("20230701").alias("file_date")
+    )
+    missing = spark.createDataFrame([("01072023", "None")], "file_date string, missing string")
+    routes = validation.validate_files(
+        spark, root, files, {"FD_SALES": rules()}, missing, f"{out}/err", f"{out}/report"
+    )
+    preprocess.preprocess(
+        spark, root, preprocess.passed_files(routes), f"{out}/tables", f"{out}/master", MAPPING
+    )
+    found = spark.read.parquet(f"{out}/tables/FD_RETURNS.parquet")
+    if preprocess.tables_of(preprocess.passed_files(routes)) != ["FD_RETURNS"]:
+        raise ValueError("a file that was held back has passed")
+    return found
+
+
 @query
 def invalid_rows_csv(spark, sf_dir):
     path = work_dir(spark, "invalid")

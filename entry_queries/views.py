@@ -91,9 +91,11 @@ def raw_invoices(mv: DataFrame) -> DataFrame:
 
 
 def raw_schedule(mv: DataFrame) -> DataFrame:
-    counted = F.when(F.col("LS") == "O", F.date_sub("DATE", 2)).otherwise(F.date_sub("DATE", 3))
-    return mv.filter(F.dayofmonth("DATE") == 15).select(
-        "LOCATION", counted.alias("INVENTORY_DATE"), F.col("DATE").alias("RECONCILIATION_DATE")
+    """Each movement names the middle of its month, counted two or three days before."""
+    middle = F.date_add(F.trunc("DATE", "month"), 14)
+    counted = F.when(F.col("LS") == "O", F.date_sub(middle, 2)).otherwise(F.date_sub(middle, 3))
+    return mv.select(
+        "LOCATION", counted.alias("INVENTORY_DATE"), middle.alias("RECONCILIATION_DATE")
     ).distinct()
 
 
@@ -129,13 +131,19 @@ def raw_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     store = F.concat(F.lit("FD.FDS_"), F.lpad((customer % 10 * 25).cast("string"), 5, "0"))
     depot = F.col("o_orderpriority").startswith("5")
-    return table(spark, sf_dir, "orders").select(
-        customer.alias("SHIPMENT_XID"),
+    orders = table(spark, sf_dir, "orders").withColumn("copy", F.lit(False))
+    # every fifth stop is listed again, mostly without the arrival its other row states
+    again = orders.filter("o_orderkey % 5 = 0").withColumn("copy", F.lit(True))
+    arrived = F.when(F.col("copy"), F.when(status == "O", F.date_add(day, 1))).otherwise(
+        F.when(status != "P", day)
+    )
+    return orders.union(again).select(
+        F.when(customer % 13 != 0, customer).alias("SHIPMENT_XID"),
         F.col("o_orderkey").alias("STOP_NUM"),
         F.when(depot, "FD.9540").otherwise(store).alias("LOCATION_GID"),
         text(F.when(customer % 2 == 0, F.date_add(day, 1))).alias("ESTIMATED_ARRIVAL"),
         text(F.when(customer % 3 == 0, F.date_add(day, 2))).alias("PLANNED_ARRIVAL"),
-        text(F.when(status != "P", day)).alias("ACTUAL_ARRIVAL"),
+        text(arrived).alias("ACTUAL_ARRIVAL"),
         text(F.when(status == "F", F.date_sub(day, 1)).otherwise(F.date_add(day, 1)))
         .alias("START_TIME"),
         text(F.date_add(day, 1)).alias("END_TIME"),
@@ -167,9 +175,11 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = F.when(F.col("RF") == "R", "FD_RETURNS").otherwise("FD_SALES")
     number = F.floor(F.col("SKU") / 5) + 1
     day = F.col("DATE").cast("string")
+    spelled = F.when(number % 3 == 0, F.date_format("DATE", "yyyyMMdd")).otherwise(
+        F.date_format("DATE", "ddMMyyyy")
+    )
     file = F.concat(
-        F.lit("drop/"), source, F.lit("/"), source, F.lit("-"),
-        F.substring(day, 9, 2), F.substring(day, 6, 2), F.substring(day, 1, 4),
+        F.lit("drop/"), source, F.lit("/"), source, F.lit("-"), spelled,
         F.lit("-"), number.cast("string"), F.lit(".csv"),
     )
     return mv.select(
@@ -185,25 +195,6 @@ def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TEXT_RULES = {
-    "columns": [
-        {"name": "SKU", "validations": [
-            {"name": "data_type", "values": ["int"]},
-            {"name": "null_check", "values": ["", "null", " "]}]},
-        {"name": "TRAN_DATE", "validations": [
-            {"name": "data_type", "values": ["string"]},
-            {"name": "null_check", "values": ["", "null", " "]},
-            {"name": "date_format", "values": ["%Y-%m-%d"]}]},
-        {"name": "UNITS", "validations": [
-            {"name": "data_type", "values": ["double"]},
-            {"name": "null_check", "values": ["", "null", " "]}]},
-        {"name": "TOTAL_RETAIL", "validations": [
-            {"name": "data_type", "values": ["double"]},
-            {"name": "null_check", "values": ["", "null", " "]}]},
-    ]
-}
-
-
 def drop_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dropped file per event, some with a wrong name or extension."""
     user, kind = F.col("user_id"), F.col("event_type")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ISO = "yyyy-MM-dd"
+DAY = "yyyyMMdd"
+DAY_FIRST = "ddMMyyyy"
 SLASHED = "M/d/yyyy"
 DAY_MONTH_NAME = "dd-MMM-yy"
 
@@ -32,6 +34,29 @@ def date_columns(names: list[str]) -> list[str]:
     return [n for n in names if is_date_name(n)]
 
 
+def named_day(text: Column) -> Column:
+    """Day of eight digits, as yyyyMMdd or ddMMyyyy; NULL for any other text.
+
+    No text is a day of this century or the last one in both spellings: read the other way
+    round its year would be a month.
+    """
+    eight = F.when(text.rlike("^[0-9]{8}$"), text)
+    return F.coalesce(F.try_to_date(eight, DAY), F.try_to_date(eight, DAY_FIRST))
+
+
+def file_day(text: Column) -> Column:
+    """``named_day`` that stops on a text which is no day."""
+    wrong = F.concat(F.lit("not a day as yyyyMMdd or ddMMyyyy: "), text)
+    return F.when(text.isNull(), F.lit(None).cast("date")).otherwise(
+        F.coalesce(named_day(text), F.raise_error(wrong).cast("date"))
+    )
+
+
+def day_text(text: Column) -> Column:
+    """A day in either spelling as yyyyMMdd; any other text as it is."""
+    return F.coalesce(F.date_format(named_day(text), DAY), text)
+
+
 def parse_date(column: Column, data_type: T.DataType, *formats: str) -> Column:
     """Day of a date, timestamp or text column; NULL where no format fits."""
     if isinstance(data_type, T.DateType):

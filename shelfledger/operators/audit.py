@@ -25,7 +25,3 @@ def audit_actuals(audits: DataFrame, schedule: DataFrame) -> DataFrame:
         ["LOCATION", "AUDIT_DATE"],
     )
     return dated.select(*KEYS, "AUDIT_UNITS")
-
-
-def with_audit_units(wide: DataFrame, actuals: DataFrame) -> DataFrame:
-    return skew_safe_left_join(wide, actuals, KEYS)

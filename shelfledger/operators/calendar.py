@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.fixed_values import CRITICAL, HOLIDAYS, INGESTION_COMPONENT
-
-DAY = "yyyyMMdd"
+from shelfledger.functions.dates import DAY, file_day
 
 
 def run_day(offset: int = 0, now: dt.date | None = None) -> str:
@@ -26,16 +25,19 @@ def latest_failures(
     """Run-log rows of the component with these priorities, at their latest run date."""
     rows = run_log.filter(
         (F.col("component") == component) & F.col("priority").isin(*priorities)
-    ).withColumn("_run_day", F.try_to_date("run_date", DAY))
+    ).withColumn("_run_day", file_day(F.col("run_date")))
     latest = rows.agg(F.max("_run_day").alias("_run_day"))
     return rows.join(F.broadcast(latest), "_run_day", "left_semi").drop("_run_day")
 
 
 def fill_dates(logged: DataFrame, requested: DataFrame) -> DataFrame:
-    """Both sets of days; where neither is empty, also every day from first to last."""
+    """Both sets of days; where neither is empty, also every day from first to last.
+
+    Days are yyyyMMdd or ddMMyyyy; anything else stops the job.
+    """
     stated = logged.select("file_date", F.lit("logged").alias("origin")).union(
         requested.select("file_date", F.lit("requested").alias("origin"))
-    ).withColumn("day", F.try_to_date("file_date", DAY))
+    ).withColumn("day", file_day(F.col("file_date")))
     span = stated.agg(
         F.count_distinct("origin").alias("origins"),
         F.min("day").alias("first"),
@@ -59,7 +61,7 @@ def plan_dates(
     open_days = latest_failures(run_log, component, priorities).select("file_date")
     days = fill_dates(open_days, requested)
     current = days.sparkSession.createDataFrame([(today,)], "file_date string").select(
-        F.to_date("file_date", DAY).alias("day")
+        file_day(F.col("file_date")).alias("day")
     )
     return (
         days.union(current)

@@ -16,8 +16,6 @@ STORE_PREFIX = "FD.FDS_"
 _DAY_COLUMNS = [
     "ESTIMATED_ARRIVAL", "PLANNED_ARRIVAL", "ACTUAL_ARRIVAL", "START_TIME", "END_TIME",
 ]
-STOPS_PER_CHUNK = 1000
-CHUNK_LEVELS = 2
 
 
 def parse_carrier_days(df: DataFrame) -> DataFrame:
@@ -27,92 +25,47 @@ def parse_carrier_days(df: DataFrame) -> DataFrame:
     })
 
 
-def _neighbours(runs: DataFrame, width: int, levels: int) -> DataFrame:
-    """``before`` and ``after`` of each run (SHIPMENT_XID, position, first, last).
+def neighbour_arrivals(df: DataFrame) -> DataFrame:
+    """Arrival at a stop, the one before and the one after, per (SHIPMENT_XID, STOP_NUM).
 
-    A run's neighbours are the last value of the run before it and the first of the one
-    after. Inside a chunk of ``width`` positions a window finds them. At its borders they are
-    the neighbours of the chunk, which is again a run, at the position of its number.
+    Copies of a stop count once, with the latest arrival they state. A trip has tens of stops,
+    so one window goes over it. Rows without a shipment id are of no trip and have no
+    neighbours; they are left out here, however many there are.
     """
-    neighbours = {"before": F.lag("last"), "after": F.lead("first")}
-    if not levels:
-        series = Window.partitionBy("SHIPMENT_XID").orderBy("position")
-        found = {name: value.over(series) for name, value in neighbours.items()}
-        return runs.select("SHIPMENT_XID", "position", *[v.alias(n) for n, v in found.items()])
-
-    chunked = runs.withColumn("chunk", F.floor(F.col("position") / width))
-    chunks = chunked.groupBy("SHIPMENT_XID", "chunk").agg(
-        F.min_by("first", "position").alias("first"),
-        F.max_by("last", "position").alias("last"),
-    ).withColumnRenamed("chunk", "position")
-    around = _neighbours(chunks, width, levels - 1).select(
-        F.col("SHIPMENT_XID").alias("chunk_shipment"),
-        F.col("position").alias("chunk_number"),
-        F.col("before").alias("before_chunk"),
-        F.col("after").alias("after_chunk"),
+    stops = df.filter(F.col("SHIPMENT_XID").isNotNull()).groupBy("SHIPMENT_XID", "STOP_NUM").agg(
+        F.max("ACTUAL_ARRIVAL").alias("arrival")
     )
-    in_chunk = Window.partitionBy("SHIPMENT_XID", "chunk").orderBy("position")
-    inside = chunked.select(
-        "SHIPMENT_XID", "chunk", "position",
-        *[value.over(in_chunk).alias(name) for name, value in neighbours.items()],
-        F.lag(F.lit(True), 1, False).over(in_chunk).alias("has_before"),
-        F.lead(F.lit(True), 1, False).over(in_chunk).alias("has_after"),
-    )
-    same_chunk = F.col("SHIPMENT_XID").eqNullSafe(F.col("chunk_shipment")) & (
-        F.col("chunk") == F.col("chunk_number")
-    )
-    return inside.join(around, same_chunk, "left").select(
-        "SHIPMENT_XID", "position",
-        *[
-            F.when(F.col(f"has_{n}"), F.col(n)).otherwise(F.col(f"{n}_chunk")).alias(n)
-            for n in neighbours
-        ],
-    )
-
-
-def neighbour_arrivals(
-    df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK, levels: int = CHUNK_LEVELS
-) -> DataFrame:
-    """Arrival at the stop before and after, one row per (SHIPMENT_XID, STOP_NUM).
-
-    Whatever one shipment id holds, no window sees more than ``stops_per_chunk`` stops; only
-    the last one goes over a whole shipment, and sees one row per stops_per_chunk ** levels
-    stop numbers. Copies of a stop count once, with the latest arrival they state.
-    """
-    position = F.coalesce(F.col("STOP_NUM").cast("bigint"), F.lit(-(2**62)))
-    stops = df.groupBy("SHIPMENT_XID", "STOP_NUM").agg(F.max("ACTUAL_ARRIVAL").alias("first"))
-    runs = stops.select("SHIPMENT_XID", position.alias("position"), "first",
-                        F.col("first").alias("last"))
-    found = _neighbours(runs, stops_per_chunk, levels)
-    return found.select(
-        "SHIPMENT_XID",
-        F.when(F.col("position") != -(2**62), F.col("position")).alias("STOP_NUM"),
-        F.col("before").alias("arrival_before"),
-        F.col("after").alias("arrival_after"),
+    trip = Window.partitionBy("SHIPMENT_XID").orderBy("STOP_NUM")
+    return stops.select(
+        "SHIPMENT_XID", "STOP_NUM", "arrival",
+        F.lag("arrival").over(trip).alias("arrival_before"),
+        F.lead("arrival").over(trip).alias("arrival_after"),
     )
 
 
-def resolved_arrivals(df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK) -> DataFrame:
+def resolved_arrivals(df: DataFrame) -> DataFrame:
     """Per carrier row the store and the best known arrival day.
 
-    Own arrival, else the neighbours', else estimate, plan or end; an arrival before the
-    start is replaced by the end. Rows that are not for a store get LOCATION 0.
+    The row's own arrival, else the latest one stated for its stop, else the neighbours', else
+    estimate, plan or end; an arrival before the start is replaced by the end. Rows that are
+    not for a store get LOCATION 0.
     """
     rows = parse_carrier_days(df)
-    near = neighbour_arrivals(rows, stops_per_chunk).select(
+    near = neighbour_arrivals(rows).select(
         F.col("SHIPMENT_XID").alias("near_shipment"),
         F.col("STOP_NUM").alias("near_stop"),
+        "arrival",
         "arrival_before",
         "arrival_after",
     )
     known = rows.join(
         near,
-        F.col("SHIPMENT_XID").eqNullSafe(F.col("near_shipment"))
+        (F.col("SHIPMENT_XID") == F.col("near_shipment"))
         & F.col("STOP_NUM").eqNullSafe(F.col("near_stop")),
         "left",
     )
     best = F.coalesce(
-        "ACTUAL_ARRIVAL", "arrival_before", "arrival_after",
+        "ACTUAL_ARRIVAL", "arrival", "arrival_before", "arrival_after",
         "ESTIMATED_ARRIVAL", "PLANNED_ARRIVAL", "END_TIME",
     )
     gid = F.col("LOCATION_GID")
@@ -126,9 +79,9 @@ def resolved_arrivals(df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK) ->
     )
 
 
-def carrier_arrivals(df: DataFrame, stops_per_chunk: int = STOPS_PER_CHUNK) -> DataFrame:
+def carrier_arrivals(df: DataFrame) -> DataFrame:
     """Distinct (LOCATION, ACTUAL_ARRIVAL)."""
-    return resolved_arrivals(df, stops_per_chunk).select("LOCATION", "ACTUAL_ARRIVAL").distinct()
+    return resolved_arrivals(df).select("LOCATION", "ACTUAL_ARRIVAL").distinct()
 
 
 def rescheduled_rows(

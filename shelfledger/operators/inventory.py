@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfledger.functions.measures import closing_total, opening_total
 from shelfledger.operators.facts import KEYS
-from shelfledger.operators.joins import skew_safe_left_join
 
 SERIES = ["SKU", "LOCATION"]
 _OPENING = {"IP_QTY_BOP_INV": "IP_QTY_EOP_INV", "IP_QTY_BOP_INTRANS": "IP_QTY_EOP_INTRANS"}
@@ -41,52 +40,56 @@ def _openings(df: DataFrame) -> DataFrame:
     )
 
 
-def _calendar(spine: DataFrame, openings: DataFrame) -> DataFrame:
-    """One row per spine day: how often it was delivered, its opening, and its closing.
+def _days(df: DataFrame) -> DataFrame:
+    """One row per series and day: its deliveries and opening, and the next such day's.
 
-    Each opening is stated twice, for its own day and as the closing of the day before, and
-    summed up per day. There is no window over a series, so a long or hot series is spread
-    over its days, and copies of a day combine before the shuffle. ``deliveries`` stays NULL
-    on the day before a series begins, which only a closing names.
+    Copies of a day combine before the shuffle, so a series is at most one row per calendar
+    day when the window goes over it. A series with a missing key matches no delivery: its
+    days count none and open with 0.
     """
-    nothing = F.lit(None).cast("double")
-    own = F.struct(
-        F.col("DATE"),
-        F.lit(1).alias("deliveries"),
-        *[F.col(a).alias(a) for a in _OPENING],
-        *[nothing.alias(b) for b in _OPENING.values()],
-    )
-    day_before = F.struct(
-        F.date_sub("DATE", 1).alias("DATE"),
-        F.lit(None).cast("int").alias("deliveries"),
-        *[nothing.alias(a) for a in _OPENING],
-        *[F.col(a).alias(b) for a, b in _OPENING.items()],
-    )
-    stated = openings.select(*SERIES, F.inline(F.array(own, day_before)))
-    days = spine.withColumn("deliveries", F.lit(0))
-    balances = [*_OPENING, *_OPENING.values()]
-    return (
-        days.unionByName(stated, allowMissingColumns=True)
-        .groupBy(*KEYS)
+    whole = F.col("SKU").isNotNull() & F.col("LOCATION").isNotNull()
+    days = (
+        df.select(*KEYS, opening_total().alias("IP_QTY_BOP_INV"), "IP_QTY_BOP_INTRANS")
+        .filter("DATE IS NOT NULL").groupBy(*KEYS)
         .agg(
-            F.sum("deliveries").alias("deliveries"),
-            *[F.max(c).alias(c) for c in balances],
+            F.count_if(whole).alias("deliveries"),
+            *[F.max(F.when(whole, F.coalesce(c, F.lit(0.0)))).alias(c) for c in _OPENING],
         )
-        .filter("deliveries IS NOT NULL")
-        .select(*KEYS, "deliveries", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in balances])
     )
+    series = Window.partitionBy(*SERIES).orderBy("DATE")
+    return days.select(
+        *KEYS, "deliveries", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in _OPENING],
+        F.lead("DATE").over(series).alias("next_date"),
+        *[F.coalesce(F.lead(c).over(series), F.lit(0.0)).alias(f"next_{c}") for c in _OPENING],
+    )
+
+
+def _closing(day: Column) -> list[Column]:
+    """Closings of a day: the openings of the next day of its series if that follows, else 0."""
+    follows = F.date_add(day, 1) == F.col("next_date")
+    return [
+        F.when(follows, F.col(f"next_{a}")).otherwise(0.0).alias(b) for a, b in _OPENING.items()
+    ]
+
+
+def _single_rows(openings: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of days delivered several times, each with its own opening and its day's
+    closings."""
+    day = days.filter("deliveries > 1").select(*KEYS, *_closing(F.col("DATE")))
+    return openings.join(day, KEYS).select(*KEYS, *_OPENING, *_OPENING.values())
 
 
 def closing_from_opening(df: DataFrame) -> DataFrame:
-    """Closing total and in-transit of a day = opening of the next calendar day, else 0."""
-    openings = _openings(df)
-    closings = (
-        openings.dropna(subset=KEYS)
-        .select(*SERIES, F.date_sub("DATE", 1).alias("DATE"), *_OPENING)
-        .groupBy(*KEYS)
-        .agg(*[F.max(a).alias(b) for a, b in _OPENING.items()])
-    )
-    return skew_safe_left_join(openings, closings, KEYS).na.fill(0.0, list(_OPENING.values()))
+    """Closing total and in-transit of a day = opening of the next calendar day, else 0.
+
+    A row without a key closes with 0.
+    """
+    openings, days = _openings(df), _days(df)
+    once = days.filter("deliveries = 1").select(*KEYS, *_OPENING, *_closing(F.col("DATE")))
+    keyless = openings.filter(
+        F.col("SKU").isNull() | F.col("LOCATION").isNull() | F.col("DATE").isNull()
+    ).withColumns({b: F.lit(0.0) for b in _OPENING.values()})
+    return once.unionByName(_single_rows(openings, days)).unionByName(keyless)
 
 
 def densify_inventory(df: DataFrame) -> DataFrame:
@@ -96,27 +99,29 @@ def densify_inventory(df: DataFrame) -> DataFrame:
     before a gap closes with 0; the last day closes with 0. Snapshot rows without a date are
     left out, and every other row is kept.
 
-    The calendar row of a day delivered at most once is already that day's result. Only days
-    delivered several times go back to the snapshot, for their single rows. There, the rows
-    are compared with the largest opening of their day; that is always true and makes both
-    uses of the calendar read the same columns, hence the same shuffle.
+    The gap after a day is laid out from the day itself, so there is no calendar to join. Only
+    days delivered several times go back to the snapshot, for their single rows.
     """
-    openings = _openings(df).dropna(subset=KEYS)
-    calendar = _calendar(calendar_spine(df), openings)
-    once = calendar.filter("deliveries < 2").drop("deliveries")
-    day = calendar.filter("deliveries > 1").alias("day")
-    row = openings.alias("row")
-    same_day = F.lit(True)
-    for key in KEYS:
-        same_day = same_day & F.col(f"row.{key}").eqNullSafe(F.col(f"day.{key}"))
-    for balance in _OPENING:
-        same_day = same_day & (F.col(f"row.{balance}") <= F.col(f"day.{balance}"))
-    repeated = row.join(day, same_day).select(
-        "row.*", *[f"day.{c}" for c in _OPENING.values()]
+    days = _days(df)
+    own = F.struct(
+        "DATE", "deliveries", *[F.col(a) for a in _OPENING], *_closing(F.col("DATE"))
+    )
+    gap = F.when(
+        F.col("next_date") > F.date_add("DATE", 1),
+        F.transform(
+            F.sequence(F.date_add("DATE", 1), F.date_sub("next_date", 1)),
+            lambda day: F.struct(
+                day.alias("DATE"), F.lit(0).cast("bigint").alias("deliveries"),
+                *[F.lit(0.0).alias(a) for a in _OPENING], *_closing(day),
+            ),
+        ),
     )
+    filled = days.select(
+        *SERIES, F.inline(F.concat(F.array(own), F.coalesce(gap, F.array())))
+    ).filter("deliveries < 2").drop("deliveries")
     total_open, transit_open = F.col("IP_QTY_BOP_INV"), F.col("IP_QTY_BOP_INTRANS")
     total_close, transit_close = F.col("IP_QTY_EOP_INV"), F.col("IP_QTY_EOP_INTRANS")
-    return once.unionByName(repeated).withColumns({
+    return filled.unionByName(_single_rows(_openings(df), days)).withColumns({
         "IP_QTY_BOP_SOH": total_open - transit_open,
         "IP_QTY_EOP_SOH": total_close - transit_close,
     })

@@ -5,28 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_SPREAD = 4096
-
 
 def skew_safe_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Plain left equi-join on ``keys``, planned so that no single key can fill one task.
 
-    Two things go wrong at scale in a bare left join to an aggregate. Rows with a NULL key
-    never match, yet all hash to one partition; and adaptive execution can only split a hot
-    key when both join inputs are plain exchanges, which an aggregate's output is not. One
-    extra join key handles both: it is 0 on the right and for every left row that can match,
-    and a hash of the row where a key is missing. It spreads the hopeless rows and makes
-    Spark exchange the aggregated side again, so hot keys on the left are split at run time.
+    Adaptive execution splits a hot partition of the left side, be it one key or all the rows
+    whose key is missing, but only where both join inputs are plain exchanges, which an
+    aggregate's output is not. One extra join key, 0 on both sides, makes Spark exchange the
+    aggregated side again. It is written over the keys, so no other column is kept alive by it.
     Where the right side is small Spark broadcasts it, by its own size check, and none of
     this costs a shuffle.
     """
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(_SPREAD).cast("bigint")) + 1
-    salted = left.withColumn("_spread", F.when(missing, spread).otherwise(F.lit(0).cast("bigint")))
-    # Written over the keys so that the optimizer keeps it as a join key, not a constant.
+    # Not a plain 0, which the optimizer would take out of the join keys.
     zero = F.xxhash64(*keys).bitwiseAND(F.lit(0).cast("bigint"))
-    joined = salted.join(right.withColumn("_spread", zero), [*keys, "_spread"], "left")
+    joined = left.withColumn("_zero", zero).join(
+        right.withColumn("_zero", zero), [*keys, "_zero"], "left"
+    )
     added = [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger.fixed_values import ERROR_THRESHOLD_PERCENT
+from shelfledger.functions.dates import file_day, named_day
 from shelfledger.operators.joins import skew_safe_left_join
 
 # Folders of the routes; "pass" stays where it is.
@@ -35,12 +36,19 @@ def quarantine_routes(
 ) -> DataFrame:
     """Route of every file; ``missing`` is (file_date, missing) with "None" for complete days.
 
-    Nothing is moved: readers keep the files whose route is "pass".
+    Days are compared as days, however they are spelled; a calendar entry that is no day stops
+    the job, a file whose name states none belongs to no late day. Nothing is moved: later
+    stages keep the files whose route is "pass".
     """
     rates = error_rates(counts, threshold).select(*_UNIT, "over_threshold")
-    late = missing.filter(F.col("missing") != "None").select("file_date").distinct()
+    late = missing.filter(F.col("missing") != "None").select(
+        file_day(F.col("file_date")).alias("day")
+    ).distinct()
     rated = skew_safe_left_join(counts.select("uri", *_UNIT), rates, _UNIT)
-    dated = skew_safe_left_join(rated, late.withColumn("late", F.lit(True)), ["file_date"])
+    dated = skew_safe_left_join(
+        rated.withColumn("day", named_day(F.col("file_date"))),
+        late.withColumn("late", F.lit(True)), ["day"],
+    )
     over = F.coalesce("over_threshold", F.lit(False))
     is_late = F.coalesce("late", F.lit(False))
     route = (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfledger.fixed_values import (
     PERMITTED_EXTENSIONS, README_NAME, REQUIRED_TABLES, SPECIAL_TABLES,
 )
+from shelfledger.functions.dates import day_text
 from shelfledger.functions.names import extension, file_name, stem
 
 ALL_TABLES = (*REQUIRED_TABLES, *SPECIAL_TABLES)
@@ -71,12 +72,15 @@ def route_files(
 
 
 def received_files(manifest: DataFrame) -> DataFrame:
-    """Table and date text of each file: the parts of its name between "-" and "."."""
+    """Table and day of each file: the parts of its name between "-" and ".".
+
+    A day is given as yyyyMMdd, however the name spells it; a text that is none stays.
+    """
     parts = F.split(F.col("name"), "[-.]")
     return (
         listed_files(manifest)
         .filter(F.size(parts) > 1)
-        .select(parts[0].alias("table"), parts[1].alias("file_date"), "path")
+        .select(parts[0].alias("table"), day_text(parts[1]).alias("file_date"), "path")
     )
 
 

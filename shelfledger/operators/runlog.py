@@ -6,14 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfledger import fixed_values as fixed
+from shelfledger.functions.dates import DAY, file_day
 from shelfledger.functions.names import extension
-from shelfledger.operators.calendar import DAY
 from shelfledger.operators.joins import skew_safe_left_join
 from shelfledger.operators.routing import listed_files, tables_named_in
 
-NAMES_PER_ROW = 1000
-
-
 def _matches(manifest: DataFrame, days: DataFrame) -> DataFrame:
     """(file_date, name), twice where a name holds both spellings of a day.
 
@@ -25,7 +22,7 @@ def _matches(manifest: DataFrame, days: DataFrame) -> DataFrame:
         " run -> transform(sequence(1, length(run) - 7), i -> substring(run, i, 8)))))"
     )
     named = listed_files(manifest).select("name", F.explode(pieces).alias("spelling"))
-    day = F.to_date("file_date", DAY)
+    day = file_day(F.col("file_date"))
     spellings = F.array(F.date_format(day, "ddMMyyyy"), F.date_format(day, DAY))
     wanted = days.select("file_date", F.explode(F.array_distinct(spellings)).alias("spelling"))
     return named.join(wanted, "spelling").select("file_date", "name")
@@ -56,27 +53,23 @@ def run_log_rows(
     special: tuple[str, ...] = fixed.SPECIAL_TABLES,
     extensions: tuple[str, ...] = fixed.PERMITTED_EXTENSIONS,
     ids: tuple[str, str, str] = ("", "", ""),
-    names_per_row: int = NAMES_PER_ROW,
 ) -> DataFrame:
     """Log rows per day: a critical failure where required tables are missing, a success
-    with the tables that came, and a moderate failure with files of a wrong extension.
+    with the tables that came, and a moderate failure for each file of a wrong extension.
 
-    Tables are listed once each and sorted. The names of wrong-extension files go into as
-    many rows as keep a row near ``names_per_row`` names, so no day is gathered whole.
+    Tables are listed once each and sorted. Every wrong-extension file has a row of its own,
+    so no day's files are gathered, however many there are.
     """
     name = F.col("name")
-    hits = _matches(manifest, days).withColumn(
+    hits = files_of_days(manifest, days).withColumn(
         "permitted", F.lower(extension(name)).isin(*extensions)
     )
     tables = sorted({*required, *special})
     wrong = ~F.col("permitted") & (F.size(tables_named_in(name, tuple(tables))) > 0)
     came = hits.groupBy("file_date").agg(
-        *[F.max(F.col("permitted") & name.contains(t)).alias(t) for t in tables],
-        F.ceil(F.count_if(wrong) / names_per_row).alias("pieces"),
-    )
-    state = skew_safe_left_join(
-        days.select("file_date").distinct(), came.drop("pieces"), ["file_date"]
+        *[F.max(F.col("permitted") & name.contains(t)).alias(t) for t in tables]
     )
+    state = skew_safe_left_join(days.select("file_date").distinct(), came, ["file_date"])
     got = {t: F.coalesce(F.col(t), F.lit(False)) for t in tables}
     missed = F.array_compact(F.array(*[F.when(~got[t], t) for t in required]))
     processed = F.array_compact(F.array(*[F.when(got[t], t) for t in tables]))
@@ -103,17 +96,11 @@ def run_log_rows(
         F.inline(F.array_compact(F.array(gap, F.when(F.size(processed) > 0, success)))),
     )
 
-    totals = came.select("file_date", "pieces")
-    pieces = (
-        skew_safe_left_join(hits.filter(wrong), totals, ["file_date"])
-        .groupBy("file_date", F.pmod(F.xxhash64("name"), F.col("pieces")).alias("piece"))
-        .agg(F.sort_array(F.collect_set("name")).alias("names"))
-    )
     moderate = _log_row(
         **common, status=F.lit("failed"), priority=F.lit("moderate"),
-        unpermitted_files=_listed(F.col("names")),
+        unpermitted_files=_listed(F.array(name)),
     )
-    unpermitted = pieces.select("file_date", F.inline(F.array(moderate)))
+    unpermitted = hits.filter(wrong).select("file_date", F.inline(F.array(moderate)))
     return rows.unionByName(unpermitted).select(*fixed.RUN_LOG_COLUMNS)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.functions.casts import lenient_cast
-from shelfledger.functions.dates import matches_any_format
+from shelfledger.functions.dates import day_text, matches_any_format
 from shelfledger.functions.names import dash_part, file_name, folder_name
 from shelfledger.mapping import read_json
 from shelfledger.operators.joins import skew_safe_left_join
@@ -21,9 +21,6 @@ from shelfledger.sources.workspace import materialize
 
 FILE = "file"
 
-# A path is a few hundred bytes, so this many stay within some ten megabytes.
-MAX_BROADCAST_FILES = 50_000
-
 
 @dataclass(frozen=True)
 class ColumnRule:
@@ -131,10 +128,10 @@ def validation_report(statistics: DataFrame, rules: list[ColumnRule]) -> DataFra
 
 
 def file_error_counts(statistics: DataFrame) -> DataFrame:
-    """Per file: date and table from its path, error rows and all rows."""
+    """Per file: day (yyyyMMdd) and table from its path, error rows and all rows."""
     path = F.col(FILE)
     return statistics.select(
-        dash_part(file_name(path), -2).alias("file_date"),
+        day_text(dash_part(file_name(path), -2)).alias("file_date"),
         path.alias("uri"),
         folder_name(path).alias("table"),
         F.when(F.col("failed").isNotNull(), F.col("rows")).otherwise(F.col("bad"))
@@ -146,21 +143,16 @@ def file_error_counts(statistics: DataFrame) -> DataFrame:
 def flag_rows(df: DataFrame, rules: list[ColumnRule], statistics: DataFrame) -> DataFrame:
     """Rows plus ``is_invalid``: an own error, or a file that failed as a whole.
 
-    The failed files are counted first. Usually there are none and rows are judged in place;
-    a short list is broadcast, so rows are not shuffled; only a long one is joined by file.
+    The failed files are joined by file. Their list is a written table, so Spark knows its
+    size and broadcasts a short one; rows are then not shuffled.
     """
     failed_files = statistics.filter(F.col("failed").isNotNull()).select(
         FILE, F.lit(True).alias("_file_failed")
     )
     rows = _with_rule_columns(df, rules)
     flag = _row_flag(rules)
-    number = failed_files.count()
-    if number:
-        if number <= MAX_BROADCAST_FILES:
-            rows = rows.join(F.broadcast(failed_files), FILE, "left")
-        else:
-            rows = skew_safe_left_join(rows, failed_files, [FILE])
-        flag = flag | F.coalesce("_file_failed", F.lit(False))
+    rows = skew_safe_left_join(rows, failed_files, [FILE])
+    flag = flag | F.coalesce("_file_failed", F.lit(False))
     return rows.withColumn("is_invalid", flag).select(*df.columns, "is_invalid")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from shelfledger.functions.measures import ZERO_FILLED, derive_measures, fill_zero
-from shelfledger.operators.audit import audit_schedule, with_audit_units
+from shelfledger.operators.audit import audit_schedule
 from shelfledger.operators.carriers import rescheduled_rows
 from shelfledger.operators.facts import KEYS, daily_facts
 from shelfledger.operators.inventory import densify_inventory, inventory_snapshot
@@ -21,19 +21,20 @@ def join_facts(
     """Snapshot with all facts, the audit flag and the SKU attributes, zero-filled.
 
     ``arrivals`` (LOCATION, ACTUAL_ARRIVAL) adds DC_TRANSFERRED_UNITS by arrival day, and
-    ``actuals`` adds AUDIT_UNITS; both are off by default.
+    ``actuals`` adds AUDIT_UNITS, summed per key and NULL where nothing was counted; both are
+    off by default. They are further rows of the one grouped sum, so neither adds rows.
     """
     base = tables["inventory_snapshot"]
     snapshot = densify_inventory(base) if historical else inventory_snapshot(base)
     extra = []
     if arrivals is not None:
         extra.append(rescheduled_rows(tables["store_transfers"], arrivals))
+    if actuals is not None:
+        extra.append(actuals.select(*KEYS, "AUDIT_UNITS"))
     wide = skew_safe_left_join(snapshot, daily_facts(tables, *extra), KEYS)
     wide = skew_safe_left_join(
         wide, audit_schedule(tables["yearly_audit_schedule"]), ["LOCATION", "DATE"]
     )
-    if actuals is not None:
-        wide = with_audit_units(wide, actuals)
     wide = skew_safe_left_join(wide, tables["sku"], ["SKU"])
     filled = ZERO_FILLED + (("DC_TRANSFERRED_UNITS",) if arrivals is not None else ())
     return fill_zero(wide, filled)

@@ -6,64 +6,123 @@ import argparse
 import ast
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfledger.fixed_values import (
+    ERROR_THRESHOLD_PERCENT, HOLIDAYS, PERMITTED_EXTENSIONS, REQUIRED_TABLES,
+)
+from shelfledger.functions.dates import day_text, file_day, named_day
 from shelfledger.mapping import Mapping, default_mapping, load_mapping
+from shelfledger.operators.audit import audit_actuals
 from shelfledger.operators.calendar import plan_dates, run_day
+from shelfledger.operators.carriers import carrier_arrivals
 from shelfledger.operators.checks import denorm_checks, require_clean
 from shelfledger.operators.conform import GROUP
 from shelfledger.operators.inventory import densify_inventory
 from shelfledger.operators.merge import merge_denorm
-from shelfledger.operators.routing import route_files
-from shelfledger.operators.runlog import run_log_rows
+from shelfledger.operators.routing import missing_mandatory, route_files
+from shelfledger.operators.runlog import missing_from_log, require_same, run_log_rows
 from shelfledger.operators.validate import read_rules
 from shelfledger.plans.denormalize import denormalize
-from shelfledger.plans.preprocess import preprocess
+from shelfledger.plans.preprocess import passed_files, preprocess
 from shelfledger.plans.validation import validate_files
 from shelfledger.session import build_session
 from shelfledger.sources.manifest import file_manifest
 from shelfledger.sources.sinks import with_location_group, write_csv, write_partitioned
-from shelfledger.sources.tables import read_all, read_table
+from shelfledger.sources.tables import read_all, read_optional, read_table
+from shelfledger.sources.workspace import materialize
 
 
 def _mapping(spark: SparkSession, path: str | None) -> Mapping:
     return load_mapping(spark, path) if path else default_mapping()
 
 
+def _listed(text: str | None, default: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(t for t in text.split(",") if t) if text is not None else default
+
+
 def _missing(spark: SparkSession, literal: str) -> DataFrame:
     """The {date: "None" or "TABLE,TABLE"} literal of the scheduler, one row per day."""
     days = [(str(k), str(v)) for k, v in ast.literal_eval(literal).items()]
     return spark.createDataFrame(days, "file_date string, missing string")
 
 
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).csv(path)
+
+
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Writes the accepted files (output/routes), the others (error/routes), what each day
+    misses (output/missing) and the run log.
+
+    The days are those stated, else those that files came for. A stated calendar must agree
+    with the earlier log, where there is one, on the days both name.
+    """
+    required = _listed(args.required_tables, REQUIRED_TABLES)
+    extensions = _listed(args.extensions, PERMITTED_EXTENSIONS)
+    holidays = _listed(args.holidays, HOLIDAYS)
     manifest = file_manifest(spark, args.input_path)
-    routes = route_files(manifest)
-    write_csv(routes.filter("class = 'all_valid'"), f"{args.output_path}/routes")
+    routes = materialize(route_files(manifest, extensions=extensions), "routes")
+    accepted = routes.filter("class = 'all_valid'")
+    write_csv(accepted, f"{args.output_path}/routes")
     write_csv(routes.filter("class <> 'all_valid'"), f"{args.error_path}/routes")
-    days = _missing(spark, args.date_missing_files).select("file_date")
+    came = materialize(missing_mandatory(accepted.select("path"), required), "missing")
+    stated = _missing(spark, args.date_missing_files) if args.date_missing_files else None
+    write_csv(came if stated is None else _with_stated(came, stated), f"{args.output_path}/missing")
+    days = (came if stated is None else stated).select("file_date")
     run_date = args.run_date or run_day()
     if args.earlier_log:
-        days = plan_dates(spark.read.option("header", True).csv(args.earlier_log), days, run_date)
-    write_csv(run_log_rows(manifest, days, run_date), args.log_path, "append")
+        log = _table(spark, args.earlier_log)
+        if stated is not None and args.check_log:
+            require_same(
+                stated.select("file_date", F.when(F.col("missing") != "None", F.col("missing"))
+                              .otherwise("").alias("missing")),
+                missing_from_log(log, stated),
+            )
+        days = plan_dates(log, days, run_date, holidays)
+    write_csv(
+        run_log_rows(manifest, days, run_date, required=required, extensions=extensions),
+        args.log_path, "append",
+    )
+
+
+def _with_stated(came: DataFrame, stated: DataFrame) -> DataFrame:
+    """What days miss, as stated where that is, else as the files show."""
+    said = stated.withColumn("file_date", day_text(F.col("file_date")))
+    return said.unionByName(came.join(said.select("file_date"), "file_date", "left_anti"))
 
 
 def run_validation(spark: SparkSession, args: argparse.Namespace) -> None:
+    missing = (
+        _missing(spark, args.date_missing_files) if args.date_missing_files
+        else _table(spark, args.missing_path)
+    )
     routes = validate_files(
         spark,
-        args.input_path.split(","),
+        args.input_path,
+        _table(spark, args.routes_path),
         read_rules(spark, args.json_path),
-        _missing(spark, args.date_missing_files),
+        missing,
         args.error_path,
         args.report_path,
         args.mixed_headers,
+        float(args.threshold) if args.threshold else ERROR_THRESHOLD_PERCENT,
     )
     write_csv(routes, f"{args.error_path.rstrip('/')}/routes")
 
 
 def run_preprocess(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Takes the files that validation let through; ``--dates`` limits them to those days."""
+    routes = _table(spark, args.routes_path)
+    if args.dates:
+        days = spark.createDataFrame([(d,) for d in args.dates.split(",")], "day string")
+        wanted = days.select(file_day(F.col("day")).alias("day"))
+        routes = routes.withColumn("day", named_day(F.col("file_date"))).join(
+            wanted, "day", "left_semi"
+        )
     preprocess(
-        spark, args.input_path.split(","), args.output_path, args.master_output_path,
-        _mapping(spark, args.mapping_path), args.mixed_headers,
+        spark, args.input_path, passed_files(routes), args.output_path,
+        args.master_output_path, _mapping(spark, args.mapping_path), args.mixed_headers,
     )
 
 
@@ -72,10 +131,16 @@ def run_denormalize(spark: SparkSession, args: argparse.Namespace) -> None:
     groups = [float(g) for g in args.location_groups.split(",")] if args.location_groups else None
     historical = args.historical_mode == "Y"
     tables = read_all(spark, args.src_path, args.master_src_path, mapping, groups, historical)
-    wide = denormalize(tables, historical)
+    arrivals = actuals = None
+    if args.with_arrivals == "Y":
+        master = read_optional(spark, args.master_src_path, mapping, "carrier_master")
+        arrivals = carrier_arrivals(master)
+    if args.with_audits == "Y":
+        actuals = audit_actuals(tables["yearly_audit"], tables["yearly_audit_schedule"])
+    wide = denormalize(tables, historical, arrivals, actuals)
     if GROUP not in wide.columns:
         wide = with_location_group(wide)
-    write_partitioned(mapping.rename_output(wide), args.dest_path)
+    write_partitioned(mapping.rename_output(wide), args.dest_path, replace_all=groups is None)
 
 
 def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -99,27 +164,35 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
 STAGES = {
     "ingest": (
         ingest,
-        ["date_missing_files", "input_path", "error_path", "output_path", "log_path",
-         "run_date?", "earlier_log?"],
+        ["date_missing_files?", "input_path", "error_path", "output_path", "log_path",
+         "run_date?", "earlier_log?", "check_log?", "required_tables?", "extensions?",
+         "holidays?"],
     ),
     "validate": (
         run_validation,
-        ["date_missing_files", "input_path", "error_path", "report_path", "json_path"],
+        ["date_missing_files?", "missing_path?", "input_path", "routes_path", "error_path",
+         "report_path", "json_path", "threshold?"],
     ),
     "preprocess": (
         run_preprocess,
-        ["input_path", "output_path", "master_output_path", "mapping_path?", "dates?"],
+        ["input_path", "routes_path", "output_path", "master_output_path", "mapping_path?",
+         "dates?"],
     ),
     "denormalize": (
         run_denormalize,
         ["location_groups?", "mapping_path?", "src_path", "master_src_path", "dest_path",
-         "historical_mode"],
+         "historical_mode", "with_arrivals?", "with_audits?"],
     ),
     "check": (
         run_check,
         ["source_path", "src_path", "historical_mode", "mapping_path?", "location_groups?"],
     ),
-    "merge": (run_merge, ["source_path", "dest_path", "load_date?", "location_group_list?"]),
+    "merge": (run_merge, ["source_path", "dest_path", "location_group_list?"]),
+}
+#: What a stage does beyond its name, for the command line's help.
+HELP = {
+    "merge": "replace whole (store group, day) partitions by those of the batch; a partial "
+    "delivery of a day replaces the whole day",
 }
 
 
@@ -127,7 +200,7 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shelfledger")
     stages = parser.add_subparsers(dest="stage", required=True)
     for stage, (_, names) in STAGES.items():
-        sub = stages.add_parser(stage)
+        sub = stages.add_parser(stage, help=HELP.get(stage))
         sub.add_argument("--shuffled_bytes", type=int, default=None)
         sub.add_argument("--mixed_headers", action="store_true")
         for name in names:

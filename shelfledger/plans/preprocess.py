@@ -2,37 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfledger.fixed_values import MASTER_TABLES
 from shelfledger.mapping import LogicalTable, Mapping
-from shelfledger.sources.csv import read_typed_csv, readable
+from shelfledger.operators.quarantine import PASS
+from shelfledger.operators.validate import FILE
+from shelfledger.sources.csv import read_raw_csv, typed
 from shelfledger.sources.sinks import with_location_group, write_master, write_partitioned
 from shelfledger.sources.tables import table_path
 
 
-def paths_by_table(paths: list[str]) -> dict[str, list[str]]:
-    """Files grouped by the folder they lie in, which names their table."""
-    tables: dict[str, list[str]] = {}
-    for path in paths:
-        if readable(path):
-            tables.setdefault(path.split("/")[-2], []).append(path)
-    return tables
+def tables_of(files: DataFrame) -> list[str]:
+    """The tables that occur in a list of files: as many as there are table names."""
+    return sorted(r["table"] for r in files.select("table").distinct().collect())
+
+
+def rows_of_files(
+    spark: SparkSession, root: str, table: str, files: DataFrame, mixed_headers: bool = False
+) -> DataFrame:
+    """Rows of those files (path, table) that lie in the table's folder; the list of files is
+    joined to the scan and never passes through the driver."""
+    rows = read_raw_csv(spark, f"{root.rstrip('/')}/{table}", mixed_headers=mixed_headers)
+    wanted = files.filter(F.col("table") == table).select(F.col("path").alias(FILE)).distinct()
+    return rows.join(wanted, FILE, "left_semi").select(*rows.columns)
+
+
+def passed_files(routes: DataFrame) -> DataFrame:
+    """(path, table) of the files that validation let through."""
+    return routes.filter(F.col("route") == PASS).select(F.col("uri").alias("path"), "table")
 
 
 def preprocess(
     spark: SparkSession,
-    paths: list[str],
+    root: str,
+    files: DataFrame,
     output: str,
     master_output: str,
     mapping: Mapping,
     mixed_headers: bool = False,
 ) -> None:
-    """One job per table over all its files."""
-    for source, files in paths_by_table(paths).items():
+    """One job per table over all its files; each table is replaced as a whole."""
+    for source in tables_of(files):
         table = mapping.by_source(source) or LogicalTable(source, source, ())
-        df = read_typed_csv(spark, files, table, mixed_headers=mixed_headers)
+        df = typed(rows_of_files(spark, root, source, files, mixed_headers).drop(FILE), table)
         if source in MASTER_TABLES:
             write_master(df, table_path(master_output, source))
         else:
-            write_partitioned(with_location_group(df), table_path(output, source))
+            write_partitioned(
+                with_location_group(df), table_path(output, source), replace_all=True
+            )

@@ -7,22 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfledger.fixed_values import VALIDATED_TABLES
-from shelfledger.operators.quarantine import quarantine_routes
+from shelfledger.fixed_values import ERROR_THRESHOLD_PERCENT, VALIDATED_TABLES
+from shelfledger.operators.quarantine import PASS, quarantine_routes
 from shelfledger.operators.validate import FILE, ColumnRule, file_error_counts, validate
-from shelfledger.sources.csv import read_raw_csv, readable
+from shelfledger.plans.preprocess import rows_of_files, tables_of
 from shelfledger.sources.sinks import write_csv
 
 
-def files_of_table(paths: list[str], table: str) -> list[str]:
-    return [p for p in paths if readable(p) and table in p.rsplit("/", 1)[-1]]
-
-
-def rowless_counts(spark: SparkSession, files: list[str], counts: DataFrame) -> DataFrame:
+def rowless_counts(files: DataFrame, table: str, counts: DataFrame) -> DataFrame:
     """Zero counts for files that hold no row and so do not occur in ``counts``."""
-    listed = spark.read.format("binaryFile").load(files).select(
-        F.col("_metadata.file_path").alias(FILE)
-    )
+    listed = files.filter(F.col("table") == table).select(F.col("path").alias(FILE)).distinct()
     rowless = listed.join(counts.select(F.col("uri").alias(FILE)), FILE, "left_anti")
     zero = F.lit(0).cast("bigint")
     return file_error_counts(
@@ -32,31 +26,36 @@ def rowless_counts(spark: SparkSession, files: list[str], counts: DataFrame) ->
 
 def validate_files(
     spark: SparkSession,
-    paths: list[str],
+    root: str,
+    files: DataFrame,
     rules: dict[str, list[ColumnRule]],
     missing: DataFrame,
     error_path: str,
     report_path: str,
     mixed_headers: bool = False,
+    threshold: float = ERROR_THRESHOLD_PERCENT,
 ) -> DataFrame:
     """Writes invalid rows and report per table and the error counts; returns the routes.
 
-    One scan for the statistics and one for the rows per table, whatever the number of files
-    and rules. Tables without rules are left out.
+    ``files`` are the accepted ones (path, table, file_date). One scan for the statistics and
+    one for the rows per table, whatever the number of files and rules. Files of tables without
+    rules are let through.
     """
-    counts = []
-    for table in VALIDATED_TABLES:
-        files = files_of_table(paths, table)
-        if not files or not rules.get(table):
+    counts, judged = [], []
+    for table in tables_of(files):
+        if table not in VALIDATED_TABLES or not rules.get(table):
             continue
-        rows = read_raw_csv(spark, files, mixed_headers=mixed_headers)
-        result = validate(rows, rules[table])
+        judged.append(table)
+        result = validate(rows_of_files(spark, root, table, files, mixed_headers), rules[table])
         write_csv(result.invalid, f"{error_path.rstrip('/')}/invalid_rows/{table}")
         write_csv(result.report, f"{report_path.rstrip('/')}/{table}")
         counts.append(result.counts)
-        counts.append(rowless_counts(spark, files, result.counts))
+        counts.append(rowless_counts(files, table, result.counts))
+    others = files.filter(~F.col("table").isin(judged)).select(
+        F.col("path").alias("uri"), "file_date", "table", F.lit(PASS).alias("route")
+    )
     if not counts:
-        raise ValueError("no file belongs to a table with rules")
+        return others
     analysis = f"{error_path.rstrip('/')}/analysis"
     write_csv(reduce(DataFrame.unionByName, counts), analysis)
     written = spark.read.option("header", True).csv(
@@ -64,5 +63,4 @@ def validate_files(
         schema="file_date string, uri string, table string,"
         " error_row_count bigint, original_row_count bigint",
     )
-    return quarantine_routes(written, missing)
-
+    return quarantine_routes(written, missing, threshold).unionByName(others)

@@ -3,14 +3,19 @@
 from pyspark.sql import SparkSession
 
 MEBIBYTE = 1 << 20
-MOST_PARTITIONS = 50_000
+#: Initial shuffle partitions where the shuffled bytes are not stated; adaptive planning
+#: merges them, and half a terabyte in so many is 256 MiB each.
+UNSTATED_PARTITIONS = 2000
 
 
-def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 256 * MEBIBYTE) -> int:
+def shuffle_partitions(
+    shuffled_bytes: int, target_bytes: int = 256 * MEBIBYTE, most: int | None = None
+) -> int:
     """Initial shuffle partitions of about ``target_bytes``; adaptive planning merges small
-    ones. The upper bound keeps the driver's shuffle bookkeeping small; beyond it partitions
-    grow and spill."""
-    return min(max(200, -(-shuffled_bytes // target_bytes)), MOST_PARTITIONS)
+    ones. ``most`` bounds them where the driver's shuffle bookkeeping must stay small; beyond
+    it partitions grow and spill."""
+    wanted = max(200, -(-shuffled_bytes // target_bytes))
+    return wanted if most is None else min(wanted, most)
 
 
 def build_session(
@@ -28,11 +33,12 @@ def build_session(
         .config("spark.sql.autoBroadcastJoinThreshold", "64MB")
         .config("spark.sql.sources.fileCompressionFactor", "4.0")
     )
-    if shuffled_bytes is not None:
-        builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(shuffle_partitions(shuffled_bytes)),
-        )
+    partitions = (
+        UNSTATED_PARTITIONS if shuffled_bytes is None else shuffle_partitions(shuffled_bytes)
+    )
+    builder = builder.config(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+    )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from csv import reader as csv_lines
-from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +11,11 @@ from pyspark.sql import types as T
 from shelfledger.fixed_values import PERMITTED_EXTENSIONS
 from shelfledger.functions.casts import lenient_cast
 from shelfledger.mapping import LogicalTable
+from shelfledger.operators.joins import skew_safe_left_join
+from shelfledger.sources.workspace import materialize
+
+#: Glob of the dropped files that are tables.
+DROPPED = "*.{" + ",".join(PERMITTED_EXTENSIONS) + "}"
 
 
 def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
@@ -20,28 +23,59 @@ def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", True).csv(path).columns)
 
 
-def header_layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their column names, from one job over all of them.
+def _names(header: str) -> tuple[str, ...]:
+    return tuple(next(csv_lines([header.lstrip("\ufeff")])))
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.option("pathGlobFilter", DROPPED).text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        "value",
+    )
+
 
-    A file's first block lies in one task in file order, so its first line is the header. The
-    driver receives one line per file, as many as the paths it was given.
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, header): the first line of each file.
+
+    A file's first block lies in one task in file order, so its first line is the header.
     """
-    lines = (
-        spark.read.text(paths)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("start"),
-            "value",
-        )
-        .filter("start = 0")
-        .groupBy("path")
+    return (
+        _lines(spark, paths).filter("start = 0").groupBy("file")
         .agg(F.first("value").alias("header"))
     )
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in lines.toLocalIterator():
-        names = tuple(next(csv_lines([row.header.lstrip("\ufeff")])))
-        layouts.setdefault(names, []).append(unquote(row.path))
-    return layouts
+
+
+def read_mixed_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files with any headers as one table; a column that a file lacks is NULL.
+
+    The driver gets the distinct headers, never the files. Lines are scanned once and parsed by
+    the header of their file, which is joined to them; a line that equals its file's header is
+    one.
+    """
+    headers = materialize(file_headers(spark, paths), "headers")
+    layouts = sorted(r.header for r in headers.select("header").distinct().collect())
+    columns = sorted({c for h in layouts for c in _names(h)}, key=_first_seen(layouts))
+    lines = skew_safe_left_join(_lines(spark, paths), headers, ["file"]).filter(
+        "value <> header AND value <> ''"
+    )
+    parsed = F.lit(None)
+    for header in layouts:
+        names = _names(header)
+        row = F.from_csv("value", ", ".join(f"`{c}` STRING" for c in names))
+        whole = F.struct(*[
+            (row[c] if c in names else F.lit(None).cast("string")).alias(c) for c in columns
+        ])
+        parsed = F.when(F.col("header") == header, whole).otherwise(parsed)
+    return lines.select(parsed.alias("row"), "file").select("row.*", "file")
+
+
+def _first_seen(layouts: list[str]):
+    order: dict[str, int] = {}
+    for header in layouts:
+        for name in _names(header):
+            order.setdefault(name, len(order))
+    return order.__getitem__
 
 
 def _scan(spark: SparkSession, paths: list[str], columns: tuple[str, ...]) -> DataFrame:
@@ -50,6 +84,7 @@ def _scan(spark: SparkSession, paths: list[str], columns: tuple[str, ...]) -> Da
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("pathGlobFilter", DROPPED)
         .csv(paths)
         .select("*", F.col("_metadata.file_path").alias("file"))
     )
@@ -63,33 +98,28 @@ def read_raw_csv(
 ) -> DataFrame:
     """All files of a table in one scan: text columns, and the path of each row in ``file``.
 
-    Every file's header is compared with ``columns`` (default: the first file's header) while
-    it is read, and a different one stops the job, since columns would get mixed up. With
-    ``mixed_headers`` the headers are looked at beforehand, files are scanned once per
-    distinct header, and a column that a file lacks is NULL.
+    A path may be a folder; files of other extensions in it are left out. Every file's header
+    is compared with ``columns`` (default: the first file's header) while it is read, and a
+    different one stops the job, since columns would get mixed up. With ``mixed_headers`` the
+    headers are looked at beforehand.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not mixed_headers:
-        return _scan(spark, paths, tuple(columns or header_of(spark, paths[0])))
-    scans = [
-        _scan(spark, files, header)
-        for header, files in sorted(header_layouts(spark, paths).items())
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    if mixed_headers:
+        return read_mixed_csv(spark, paths)
+    return _scan(spark, paths, tuple(columns or header_of(spark, paths[0])))
 
 
 def read_typed_csv(
     spark: SparkSession, paths: str | list[str], table: LogicalTable, **options
 ) -> DataFrame:
     """Raw files with numbers cast as the mapping says; dates stay text until conformed."""
+    return typed(read_raw_csv(spark, paths, **options).drop("file"), table)
+
+
+def typed(raw: DataFrame, table: LogicalTable) -> DataFrame:
     types = table.raw_types()
-    raw = read_raw_csv(spark, paths, **options).drop("file")
     return raw.select([
         lenient_cast(F.col(f"`{c}`"), types[c]).alias(c)
         if types.get(c) in ("int", "double") else F.col(f"`{c}`")
         for c in raw.columns
     ])
-
-
-def readable(path: str) -> bool:
-    return path.rsplit(".", 1)[-1] in PERMITTED_EXTENSIONS

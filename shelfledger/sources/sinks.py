@@ -21,13 +21,18 @@ def with_location_group(df: DataFrame) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, by: tuple[str, ...] = (GROUP,), compression: str = GZIP
+    df: DataFrame,
+    path: str,
+    by: tuple[str, ...] = (GROUP,),
+    compression: str = GZIP,
+    replace_all: bool = False,
 ) -> None:
-    """Replace exactly the partitions that occur in ``df``; all others stay."""
+    """Replace exactly the partitions that occur in ``df``; all others stay, unless the whole
+    table is replaced."""
     (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .option("compression", compression)
         .partitionBy(*by)
         .parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of this machine.
+    Whoever runs the jobs removes what lies there after a run; nothing is read from it again.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = f"{tempfile.gettempdir()}/run-{spark.sparkContext.applicationId}"
+        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

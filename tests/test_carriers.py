@@ -1,13 +1,12 @@
 import datetime as dt
 import random
 
-import pytest
-
 from conftest import rows
 from shelfledger.mapping import default_mapping
 from shelfledger.operators import carriers, conform
 from shelfledger.sources import csv
 
+# The raw columns of a carrier file.
 HEADER = (
     "SHIPMENT_XID,LOCATION_GID,DEST_LOCATION_GID,STOP_NUM,START_TIME,END_TIME,"
     "PLANNED_ARRIVAL,ESTIMATED_ARRIVAL,ACTUAL_ARRIVAL\n"
@@ -17,28 +16,27 @@ HEADER = (
 def test_dropped_file(spark, tmp_path):
     """A trip from a depot to three stores; two stops did not report their arrival."""
     trip = [
-        "7,FD.9540,FD.FDS_00300,1,18-Mar-22,18-Mar-22,18-Mar-22,18-Mar-22,",
-        "7,FD.FDS_00100,FD.FDS_00300,2,18-Mar-22,19-Mar-22,20-Mar-22,20-Mar-22,19-Mar-22",
-        "7,FD.FDS_00200,FD.FDS_00300,3,18-Mar-22,19-Mar-22,21-Mar-22,21-Mar-22,",
-        "7,FD.FDS_00300,FD.FDS_00300,4,23-Mar-22,24-Mar-22,22-Mar-22,22-Mar-22,22-Mar-22",
-        "8,FD.FDS_00300,FD.FDS_00300,1,23-Mar-22,24-Mar-22,22-Mar-22,,",
+        "41,FD.9540,FD.FDS_00725,1,06-Sep-21,06-Sep-21,06-Sep-21,06-Sep-21,",
+        "41,FD.FDS_00150,FD.FDS_00725,2,06-Sep-21,07-Sep-21,08-Sep-21,08-Sep-21,07-Sep-21",
+        "41,FD.FDS_00475,FD.FDS_00725,3,06-Sep-21,07-Sep-21,09-Sep-21,09-Sep-21,",
+        "41,FD.FDS_00725,FD.FDS_00725,4,11-Sep-21,12-Sep-21,10-Sep-21,10-Sep-21,10-Sep-21",
+        "52,FD.FDS_00725,FD.FDS_00725,1,11-Sep-21,12-Sep-21,10-Sep-21,,",
     ]
-    path = tmp_path / "FD_CARRIER_DETAILS-18032022-1.csv"
+    path = tmp_path / "FD_CARRIER_DETAILS-06092021-1.csv"
     path.write_text(HEADER + "\n".join(trip) + "\n")
     raw = csv.read_typed_csv(spark, str(path), default_mapping()["carrier_master"])
     df = conform.conform(raw, default_mapping(), "carrier_master")
-    march = [dt.date(2022, 3, n) for n in range(1, 32)]
+    september = [dt.date(2021, 9, n) for n in range(1, 31)]
     assert rows(
         carriers.resolved_arrivals(df), "SHIPMENT_XID", "STOP_NUM", "LOCATION", "ACTUAL_ARRIVAL"
     ) == [
-        (7, 1, 0, march[18]), (7, 2, 100, march[18]), (7, 3, 200, march[18]),
-        (7, 4, 300, march[23]), (8, 1, 300, march[23]),
+        (41, 1, 0, september[6]), (41, 2, 150, september[6]), (41, 3, 475, september[6]),
+        (41, 4, 725, september[11]), (52, 1, 725, september[11]),
     ]
     assert carriers.carrier_arrivals(df).count() == 4
 
 
-@pytest.mark.parametrize("stops_per_chunk,levels", [(1, 1), (2, 2), (3, 3), (1000, 2), (9, 0)])
-def test_neighbours_against_loops(spark, stops_per_chunk, levels):
+def test_neighbours_against_loops(spark):
     rng = random.Random(3)
     start = dt.date(2022, 3, 1)
     data = []
@@ -48,19 +46,19 @@ def test_neighbours_against_loops(spark, stops_per_chunk, levels):
             data.append((shipment, stop, arrival))
     data.append((1, None, start))
     found = carriers.neighbour_arrivals(
-        spark.createDataFrame(data, "SHIPMENT_XID int, STOP_NUM int, ACTUAL_ARRIVAL date"),
-        stops_per_chunk, levels,
+        spark.createDataFrame(data, "SHIPMENT_XID int, STOP_NUM int, ACTUAL_ARRIVAL date")
     )
     expected = {}
-    for shipment in (1, 2, None):
+    for shipment in (1, 2):
         own = sorted((r for r in data if r[0] == shipment),
                      key=lambda r: (r[1] is not None, r[1] or 0))
         for i, row in enumerate(own):
             before = own[i - 1][2] if i else None
             after = own[i + 1][2] if i + 1 < len(own) else None
-            expected[row[:2]] = (before, after)
+            expected[row[:2]] = (row[2], before, after)
     assert {
-        (r.SHIPMENT_XID, r.STOP_NUM): (r.arrival_before, r.arrival_after) for r in found.collect()
+        (r.SHIPMENT_XID, r.STOP_NUM): (r.arrival, r.arrival_before, r.arrival_after)
+        for r in found.collect()
     } == expected
 
 
@@ -75,6 +73,22 @@ def test_copies_of_a_stop_count_once(spark):
     ]
 
 
+def test_own_stop_comes_before_neighbours(spark):
+    """A stop listed twice, and rows without a shipment id."""
+    days = ["02-May-21", "05-May-21", None, None, "09-May-21"]
+    data = [(s, n, "FD.FDS_00012", a, "01-May-21", "30-May-21")
+            for s, n, a in zip([1, 1, 1, None, None], [1, 2, 2, 7, 8], days, strict=True)]
+    df = spark.createDataFrame(
+        data, "SHIPMENT_XID int, STOP_NUM int, LOCATION_GID string, ACTUAL_ARRIVAL string,"
+        " START_TIME string, END_TIME string",
+    ).selectExpr("*", "CAST(NULL AS STRING) AS ESTIMATED_ARRIVAL",
+                 "CAST(NULL AS STRING) AS PLANNED_ARRIVAL")
+    may = [dt.date(2021, 5, n) for n in range(1, 32)]
+    assert rows(carriers.resolved_arrivals(df), "SHIPMENT_XID", "STOP_NUM", "ACTUAL_ARRIVAL") == [
+        (1, 1, may[1]), (1, 2, may[4]), (1, 2, may[4]), (None, 7, may[29]), (None, 8, may[8])
+    ]
+
+
 def test_start_after_arrival_takes_end(spark):
     data = [(1, 1, "FD.FDS_00012", "x", None, "18-Mar-22", "19-Mar-22", "20-Mar-22"),
             (2, 1, "FD.9540", "18-Mar-22", None, None, "17-Mar-22", "20-Mar-22")]

@@ -78,13 +78,13 @@ def test_densify_against_loops(spark):
     ) == brute_force(data)
 
 
-def test_calendar_is_shuffled_once(spark, small):
-    from entry_queries.queries import QUERIES
+def test_one_window_over_a_series(spark, small):
+    from entry_queries.queries import conformed
 
-    df = QUERIES["densify_inventory"](spark, small)
-    df.collect()
-    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert plan.count("functions=[partial_sum(deliveries") == 1
+    plan = inventory.densify_inventory(
+        conformed(spark, small, "inventory_snapshot")["inventory_snapshot"]
+    )._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") <= 2 and plan.count("Join") == 1
 
 
 def test_no_gaps(spark, small):

@@ -49,20 +49,42 @@ def test_hot_key_is_split(spark):
                 spark.conf.set(key, value)
 
 
-def test_missing_keys_are_spread_and_kept(spark):
+def test_equal_rows_with_missing_keys_are_split(spark):
+    """100,000 equal rows without a key: adaptive execution cuts their partition."""
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in sizes}
     restore = no_broadcast(spark)
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
     try:
-        left = spark.range(4000).selectExpr("CAST(NULL AS INT) AS k", "id AS v").union(
-            spark.range(10).selectExpr("CAST(id AS INT) AS k", "id AS v"))
-        right = spark.range(5).selectExpr("CAST(id AS INT) AS k", "id * 10 AS w")
-        joined = skew_safe_left_join(left, right, ["k"])
-        assert joined.count() == 4010
+        left = spark.range(0, 100_000, 1, 8).selectExpr(
+            "CAST(NULL AS BIGINT) AS k", "repeat('x', 20) AS text"
+        ).union(spark.range(10_000).selectExpr("id AS k", "'y' AS text"))
+        right = spark.range(10_000).selectExpr("id AS k", "id AS w").groupBy("k").agg({"w": "max"})
+        joined = skew_safe_left_join(left, right.withColumnRenamed("max(w)", "w"), ["k"])
+        query = joined._jdf.queryExecution()
+        assert query.toRdd().count() == 110_000
+        assert "skewed" in query.executedPlan().toString()
         assert joined.filter("k IS NULL AND w IS NOT NULL").isEmpty()
-        assert rows(joined.filter("k IS NOT NULL"), "k", "w")[:2] == [(0, 0), (1, 10)]
-        used = joined.filter("k IS NULL").selectExpr("spark_partition_id() AS p").distinct().count()
-        assert used > 1 or spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
     finally:
         restore()
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_join_reads_only_what_is_selected(spark, tmp_path):
+    path = str(tmp_path / "left")
+    spark.range(10).selectExpr("id AS k", "id AS a", "id AS b").write.parquet(path)
+    right = spark.range(5).selectExpr("id AS k", "id * 10 AS w")
+    joined = skew_safe_left_join(spark.read.parquet(path), right, ["k"]).select("k", "w")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint>" in plan
 
 
 def test_asof_golden(spark):

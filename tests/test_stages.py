@@ -132,7 +132,8 @@ def test_work_dir_is_the_named_folder(spark):
 def test_shuffle_partitions():
     assert session.shuffle_partitions(1) == 200
     assert session.shuffle_partitions(10**12) == 3726
-    assert session.shuffle_partitions(100 * 10**12) == session.MOST_PARTITIONS
+    assert session.shuffle_partitions(100 * 10**12) > 300_000
+    assert session.shuffle_partitions(100 * 10**12, most=50_000) == 50_000
 
 
 def test_checks_find_faults(spark, small):
@@ -234,53 +235,83 @@ def run(stage, **arguments):
     jobs.main(argv)
 
 
+RULES = {
+    table: {"columns": [{"name": "SKU", "validations": [
+        {"name": "data_type", "values": ["int"]},
+        {"name": "null_check", "values": ["", "null", " "]}]}]
+        + ([{"name": "TRAN_DATE", "validations": [
+            {"name": "date_format", "values": ["%Y-%m-%d"]}]}] if table == "FD_SALES" else [])}
+    for table in ("FD_STORE_INV", "FD_SALES")
+}
+
+
 def test_stages(spark, drop):
-    base, root, files = drop
-    days = "{'20230701': 'None', '20230703': 'None'}"  # as the scheduler passes it
+    """Each stage takes the tables the one before it wrote; a bad file and a late day, named in
+    either spelling, do not reach the wide table."""
+    base, root, _ = drop
+    write(f"{root}/FD_SALES/FD_SALES-20230704-1.csv",
+          "SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL\n1,10,2023-07-01,100,5.0\n")
+    days = "{'20230701': 'None', '03072023': 'None', '04072023': 'FD_STORE_INV'}"
     run("ingest", date_missing_files=days, input_path=root, error_path=f"{base}/err",
         output_path=f"{base}/in", log_path=f"{base}/log", run_date="20230705")
     routed = spark.read.option("header", True).csv(f"{base}/in/routes")
-    assert routed.count() == 6
+    assert routed.count() == 7
+    missing = spark.read.option("header", True).csv(f"{base}/in/missing")
+    assert rows(missing) == [
+        ("20230701", "None"), ("20230702", "FD_STORE_INV"), ("20230703", "None"),
+        ("20230704", "FD_STORE_INV"),
+    ]
     log = spark.read.option("header", True).csv(f"{base}/log")
-    assert rows(log, "file_date", "status") == [("20230701", "success"), ("20230703", "success")]
-
-    run("ingest", date_missing_files=days, input_path=root, error_path=f"{base}/err",
-        output_path=f"{base}/in", log_path=f"{base}/log2", run_date="20230705",
-        earlier_log=f"{base}/log")
+    assert rows(log, "file_date", "status") == [
+        ("03072023", "success"), ("04072023", "failed"), ("04072023", "success"),
+        ("20230701", "success"),
+    ]
+    run("ingest", date_missing_files="{'20230701': 'None', '20230703': 'None'}",
+        input_path=root, error_path=f"{base}/err2", output_path=f"{base}/in2",
+        log_path=f"{base}/log2", run_date="20230705", earlier_log=f"{base}/log",
+        holidays="20230704")
     log = spark.read.option("header", True).csv(f"{base}/log2")
-    assert rows(log, "file_date", "error_code") == [
-        ("20230701", None), ("20230703", None), ("20230705", "DATA_ING_ERR_001")
+    assert rows(log.filter("status = 'failed'"), "file_date", "error_code") == [
+        ("20230702", "DATA_ING_ERR_001"), ("20230705", "DATA_ING_ERR_001")
     ]
 
-    blank = ["", "null", " "]
-    rules = {
-        table: {"columns": [{"name": "SKU", "validations": [
-            {"name": "data_type", "values": ["int"]}, {"name": "null_check", "values": blank}]}]
-            + ([{"name": "TRAN_DATE", "validations": [
-                {"name": "date_format", "values": ["%Y-%m-%d"]}]}] if table == "FD_SALES" else [])}
-        for table in ("FD_STORE_INV", "FD_SALES")
-    }
-    rules_path = write(f"{base}/rules.json", json.dumps(rules))
-    run("validate", date_missing_files=str({"01072023": "None", "02072023": "X"}), input_path=",".join(files),
-        error_path=f"{base}/err", report_path=f"{base}/report", json_path=rules_path)
+    rules_path = write(f"{base}/rules.json", json.dumps(RULES))
+    run("validate", missing_path=f"{base}/in/missing", input_path=root,
+        routes_path=f"{base}/in/routes", error_path=f"{base}/err",
+        report_path=f"{base}/report", json_path=rules_path)
     routes = {r.uri.rsplit("/", 1)[-1]: r.route for r in
               spark.read.option("header", True).csv(f"{base}/err/routes").collect()}
-    assert routes["FD_STORE_INV-03072023-1.csv.gz"] == "pass"
-    assert routes["FD_SALES-02072023-1.csv"] == "missed_files"
-    assert routes["FD_SALES-01072023-2.csv"] == "validation_threshold_error/required_files"
+    assert routes == {
+        "FD_STORE_INV-01072023-1.csv": "pass", "FD_STORE_INV-03072023-1.csv.gz": "pass",
+        "FD_SALES-01072023-1.csv": "validation_threshold_error/required_files",
+        "FD_SALES-01072023-2.csv": "validation_threshold_error/required_files",
+        "FD_SALES-02072023-1.csv": "missed_files", "FD_SALES-20230704-1.csv": "missed_files",
+        "FD_SKU_MASTER-01072023-1.csv": "pass",
+    }
     invalid = spark.read.option("header", True).csv(f"{base}/err/invalid_rows/FD_SALES")
     assert rows(invalid, "LOCATION", "TRAN_DATE") == [("60", "never")]
 
-    good = [f for f in files if not f.endswith("FD_SALES-01072023-2.csv")]
-    run("preprocess", input_path=",".join(good), output_path=f"{base}/tables",
-        master_output_path=f"{base}/master")
+    # the held-back day is delivered again without the bad file
+    os.remove(f"{root}/FD_SALES/FD_SALES-01072023-2.csv")
+    run("ingest", input_path=root, error_path=f"{base}/err3", output_path=f"{base}/in3",
+        log_path=f"{base}/log3", run_date="20230705",
+        required_tables="FD_STORE_INV")
+    run("validate", missing_path=f"{base}/in3/missing", input_path=root,
+        routes_path=f"{base}/in3/routes", error_path=f"{base}/err3",
+        report_path=f"{base}/report", json_path=rules_path)
+    run("preprocess", input_path=root, routes_path=f"{base}/err3/routes",
+        output_path=f"{base}/tables", master_output_path=f"{base}/master")
     assert rows(tables.location_groups(spark, f"{base}/tables", MAPPING)) == [(0.0,), (1.0,)]
+    sold = spark.read.parquet(f"{base}/tables/FD_SALES.parquet")
+    assert rows(sold, "UNITS") == [(2.0,), (4.0,)]
 
     for mode, expected in (("N", 3), ("Y", 4)):
         run("denormalize", src_path=f"{base}/tables", master_src_path=f"{base}/master",
-            dest_path=f"{base}/wide{mode}", historical_mode=mode)
+            dest_path=f"{base}/wide{mode}", historical_mode=mode, with_arrivals="Y",
+            with_audits="Y")
         wide = spark.read.parquet(f"{base}/wide{mode}")
         assert wide.count() == expected
+        assert {"DC_TRANSFERRED_UNITS", "AUDIT_UNITS"} <= set(wide.columns)
         run("check", source_path=f"{base}/wide{mode}", src_path=f"{base}/tables",
             historical_mode=mode)
     first = spark.read.parquet(f"{base}/wideN").filter("LOCATION = 10 AND DATE = '2023-07-01'")
@@ -296,3 +327,41 @@ def test_stages(spark, drop):
     run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all")
     run("merge", source_path=f"{base}/wideN", dest_path=f"{base}/all", location_group_list="1.0")
     assert spark.read.parquet(f"{base}/all").count() == 3
+
+    # the next drop has no store of group 1: none of yesterday's is left
+    run("preprocess", input_path=root, routes_path=f"{base}/err3/routes", dates="03072023",
+        output_path=f"{base}/tables", master_output_path=f"{base}/master")
+    assert rows(tables.location_groups(spark, f"{base}/tables", MAPPING)) == [(0.0,)]
+
+
+def test_wide_table_with_options_is_clean(spark, small):
+    """Two counts of one item on a day are one row with their sum."""
+    from entry_queries.queries import conformed
+    from shelfledger.operators import audit, carriers
+
+    t = conformed(spark, small)
+    actuals = audit.audit_actuals(t["yearly_audit"], t["yearly_audit_schedule"])
+    wide = denormalize(t, arrivals=carriers.carrier_arrivals(t["carrier_master"]),
+                       actuals=actuals.union(actuals))
+    found = {r.check: r.failures
+             for r in checks.denorm_checks(wide, t["inventory_snapshot"]).collect()}
+    assert set(found.values()) == {0}
+
+
+@pytest.mark.parametrize("text", ["2024-01-03", "20241301", "nope", ""])
+def test_malformed_days_stop(spark, text):
+    from shelfledger.operators import calendar
+
+    empty = spark.createDataFrame([], "file_date string")
+    asked = spark.createDataFrame([("20240104",), (text,)], "file_date string")
+    with pytest.raises(Exception, match="not a day"):
+        calendar.fill_dates(empty, asked).collect()
+
+
+def test_days_in_either_spelling(spark):
+    from shelfledger.functions.dates import file_day
+
+    df = spark.createDataFrame([("20230701",), ("01072023",), (None,)], "t string")
+    assert rows(df.select(file_day(F.col("t")).alias("d")).distinct()) == [
+        (dt.date(2023, 7, 1),), (None,)
+    ]
