@@ -13,7 +13,9 @@ memory beyond a few windows of text; what it costs is one unfilled sequence per
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections import deque
 from collections.abc import Iterator
 
@@ -39,13 +41,23 @@ LONGEST = 32
 POWERS = (256, 512, 1024, 2048)
 #: Tokens planned together; the last windows of a plan are planned again with what follows.
 PLANNED, REPLANNED = 1 << 18, 4
-#: Words whose ids a worker remembers, and the longest such word in bytes.
-REMEMBERED, LONG_WORD = 300_000, 64
+#: Words whose ids a worker remembers.
+REMEMBERED = 600_000
+
+
+#: How the tokenizers that ``Tokens`` has a short way for part a text.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_ASCII_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class Tokens:
     """Ids of texts word by word: the tokenizer never joins what blanks separate, so a word's
-    ids are the same in any text."""
+    ids are the same in any text.
+
+    Where the tokenizer parts text as _SPLIT says, lower-cased and by bytes, a word of printable
+    ASCII goes to its merges piece by piece, and pieces are remembered too. Other words, and
+    all words of other tokenizers, go through the tokenizer as a whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,53 +65,88 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids, as bytes, of words that are not remembered yet."""
+        self.pieces: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            stated = json.load(file)
+        steps = [n["type"] for n in (stated["normalizer"] or {}).get("normalizers", [])]
+        parts = (stated["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.by_pieces = (
+            steps == ["NFC", "Replace", "Lowercase"] and len(parts) == 2
+            and parts[0].get("pattern") == {"Regex": _SPLIT} and parts[0].get("invert") is True
+            and parts[1]["type"] == "ByteLevel" and not parts[1]["use_regex"]
+            and not parts[1]["add_prefix_space"]
+        )
+        special = "|".join(re.escape(t["content"]) for t in stated["added_tokens"])
+        self.special = re.compile((special or "(?!)").encode())
+
+    def _merged(self, word: bytes) -> bytes:
+        found = _ASCII_SPLIT.findall(word.decode("ascii").lower())
+        for piece in found:
+            if piece not in self.pieces:
+                self.pieces[piece] = np.array(
+                    [t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4"
+                ).tobytes()
+        return b"".join([self.pieces[piece] for piece in found])
+
+    def learn(self, words: set[bytes]) -> None:
+        """Looks up the ids of words that are not remembered yet, in large batches."""
         fresh = [w for w in words if w not in self.known]
-        found = {}
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at:at + 10_000]
+        if len(self.known) + len(fresh) > REMEMBERED:
+            self.known, self.pieces = {}, {}
+            fresh = list(words)
+        whole = fresh
+        if self.by_pieces:
+            whole, special = [], self.special.search
+            for w in fresh:
+                # isprintable: no control characters, which may count as blanks
+                if w.isascii() and w.decode("ascii").isprintable() and not special(w):
+                    self.known[w] = self._merged(w)
+                else:
+                    whole.append(w)
+        for at in range(0, len(whole), 20_000):
+            part = whole[at:at + 20_000]
             coded = self.tokenizer.encode_batch_fast(
                 [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
             )
-            for w, c in zip(part, coded, strict=True):
-                found[w] = np.array(c.ids, dtype="<u4").tobytes()
-        if len(self.known) + len(found) > REMEMBERED:
-            self.known = {}
-            return {w: found[w] if w in found else None for w in words} | found
-        self.known.update((w, i) for w, i in found.items() if len(w) <= LONG_WORD)
-        return found
-
-    def encode(self, text: str | None) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """The ids of a document with its end, where it can be cut and what a cut there costs."""
+            sizes = [len(c) for c in coded]
+            flat = np.array([i for c in coded for i in c.ids], dtype="<u4").tobytes()
+            end = 0
+            for w, n in zip(part, sizes, strict=True):
+                self.known[w] = flat[end:end + 4 * n]
+                end += 4 * n
+
+    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
+        """For each text its ids with the end of a document, where it can be cut, and what a
+        cut there costs."""
+        split = [
+            [line.split() for line in (t or "").encode("utf-8", "replace").split(b"\n")]
+            for t in texts
+        ]
+        self.learn({w for lines in split for words in lines for w in words})
+        for lines in split:
+            yield self._document(lines)
+
+    def _document(self, lines: list[list[bytes]]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        look_up = self.known.__getitem__
         parts: list[bytes] = []
-        places: list[tuple[int, float]] = []
-        for line in (text or "").encode("utf-8", "replace").split(b"\n"):
-            words = line.split()
-            if not words:
-                continue
-            try:
-                ids = [self.known[w] for w in words]
-            except KeyError:
-                kept = self.known
-                found = self.learn(set(words))
-                ids = [kept[w] if w in kept else found[w] for w in words]
-            base = len(parts)
-            parts += ids
-            places += [(base + i + 1, AT_SENTENCE) for i, w in enumerate(words)
-                       if w[-1] in b".!?"]
-            places.append((len(parts), AT_LINE))
+        sentences: list[int] = []
+        line_ends: list[int] = []
+        for words in lines:
+            if words:
+                base = len(parts) + 1
+                parts += map(look_up, words)
+                sentences += [base + i for i, w in enumerate(words) if w[-1] in b".!?"]
+                line_ends.append(len(parts))
         sizes = np.zeros(len(parts) + 1, dtype=np.int64)
         np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)), out=sizes[1:])
-        at = np.array([p for p, _ in places], dtype=np.int64)
-        cost = np.array([c for _, c in places])
-        at = sizes[at] // 4 if len(at) else at
+        sizes //= 4
+        price = np.full(sizes[-1] + 2, np.inf)
+        price[sizes[np.array(sentences, dtype=np.int64)]] = AT_SENTENCE
+        price[sizes[np.array(line_ends, dtype=np.int64)]] = AT_LINE
+        price[-1] = 0.0  # the end of the document, after END_ID
+        at = np.flatnonzero(price[1:] < np.inf) + 1
         ids = b"".join(parts) + np.array([END_ID], dtype="<u4").tobytes()
-        keep = at > 0
-        at, cost = np.append(at[keep], len(ids) // 4), np.append(cost[keep], 0.0)
-        at, first = np.unique(at[::-1], return_index=True)  # the cheaper, later one of a place
-        return ids, *filled(at, cost[::-1][first])
+        return ids, *filled(at, price[at])
 
 
 def filled(at: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,10 +279,11 @@ def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> D
             )
 
         for batch in slices(batches, "text"):
-            for doc_id, text in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True
+            for doc_id, coded in zip(
+                batch.column("doc_id").to_pylist(),
+                coder.encode(batch.column("text").to_pylist()), strict=True,
             ):
-                packer.add(doc_id, *coder.encode(text))
+                packer.add(doc_id, *coded)
                 if packer.tokens >= PLANNED:
                     yield out(False)
         yield out(True)
