@@ -162,6 +162,7 @@ def derived(response: dict) -> list[dict]:
         ("WARC-Source-Block-Digest", response["block_digest"] or digest(response["block"] or b"")),
         ("WARC-Source-Payload-Digest", source),
     ]
+    kept = [(n, v) for n, v in kept if v]
 
     def clean(value: str) -> str:
         return " ".join(value.split())
