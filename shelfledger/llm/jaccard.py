@@ -464,7 +464,9 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     doc_id stays only where its whole group has none.
     """
     found = near_copies(docs.select(
-        F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text"
+        F.struct(
+            F.col("doc_id").isNull().alias("blank"), "doc_id", F.xxhash64("text").alias("h")
+        ).alias("doc_id"), "text",
     ), like)
     # groups are few rows against all: name those that go, by id and text
     of_row = found.groupBy("doc_id").agg(
