@@ -190,7 +190,7 @@ def edited(docs: DataFrame) -> DataFrame:
     patch = base.join(
         follow,
         (F.col("id") == F.col("next_id")) & (F.col("blank") == F.col("next_blank"))
-        & (F.xxhash64("text") == F.col("next_hash")),
+        & (F.xxhash64("text").bitwiseXOR(F.col("next_hash")) == 0),  # no join key of its own
     ).select(
         "to_id", "to_blank", F.expr("substring(text, 1, need)").alias("patch"),
         vector(F.col("text")).alias("next_vec"),
