@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 import shelfledger.llm
 
@@ -15,7 +15,10 @@ import shelfledger.llm
 cloudpickle.register_pickle_by_value(shelfledger.llm)
 
 #: A worker looks at no more text than this at once; a single longer text stands alone.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Rows that travel to a worker at once. Spark's own 10,000 would be gigabytes of long texts.
+BATCH_ROWS = 256
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 #: True for the bytes between words.
 IS_BLANK = np.zeros(256, dtype=bool)
@@ -50,6 +53,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             start = stop
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Makes the session send rows to workers in small batches, unless it does already."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
+
+
 def map_texts(
     docs: DataFrame, column: str, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
 ) -> DataFrame:
@@ -58,6 +67,7 @@ def map_texts(
         for batch in slices(batches, column):
             yield work(batch)
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm.batches import (
-    list_array, lowered, map_texts, mixed, shingle_hashes, text_bytes, word_hashes,
+    list_array, lowered, map_texts, mixed, shingle_hashes, small_batches, text_bytes,
+    word_hashes,
 )
 from shelfledger.llm.common import documents, written
 from shelfledger.llm.graph import components
@@ -220,6 +221,7 @@ def with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     names=[*keep, "na", "nb", "common"],
                 )
 
+    small_batches(pairs.sparkSession)
     keep = pairs.columns
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
     return pairs.join(a, "a").join(b, "b").select(*keep, "_ta", "_tb").mapInArrow(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfledger.llm.batches import BATCH_BYTES, map_texts, slices, text_bytes
+from shelfledger.llm.batches import BATCH_BYTES, map_texts, slices, small_batches
 from shelfledger.llm.common import documents
 
 #: Number of hashed features.
@@ -250,6 +250,7 @@ def known_language(docs: DataFrame) -> DataFrame:
     Rejected are null texts and texts without a letter. A document whose language is not
     stated gets the predicted one.
     """
+    small_batches(docs.sparkSession)
     predicted = predict_column(learn(docs))(F.col("text"))
     marked = docs.withColumn("__language", predicted)
     return marked.where(F.col("__language.lang") != UNDETERMINED).withColumn(

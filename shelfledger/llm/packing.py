@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfledger.llm.batches import slices
+from shelfledger.llm.batches import slices, small_batches
 from shelfledger.llm.common import documents
 
 #: Tokens of a sequence.
@@ -42,7 +42,7 @@ POWERS = (256, 512, 1024, 2048)
 #: Tokens planned together; the last windows of a plan are planned again with what follows.
 PLANNED, REPLANNED = 1 << 18, 4
 #: Words whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 #: How the tokenizers that ``Tokens`` has a short way for part a text.
@@ -288,6 +288,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> D
                     yield out(False)
         yield out(True)
 
+    small_batches(docs.sparkSession)
     return rows.mapInArrow(
         run, f"doc_id {kind}, start long, ids binary, doc_tokens long, sequence_id long, "
         "offset long",

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfledger.llm.batches import map_texts
+from shelfledger.llm.batches import map_texts, small_batches
 
 VERSION = "WARC/1.1"
 #: Date of records whose response states none.
@@ -226,6 +226,7 @@ def derive(records: DataFrame) -> DataFrame:
                 found = [d for r in batch.slice(at, 64).to_pylist() for d in derived(r)]
                 yield pa.RecordBatch.from_pylist(found, schema)
 
+    small_batches(records.sparkSession)
     rows = records.where("warc_type = 'response'").select(*schema.names)
     return rows.mapInArrow(run, RECORD.format(kind=kind))
 
