@@ -150,8 +150,28 @@ def raw_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Folders of raw tables that were written once, by the folder they were derived from.
+WRITTEN: dict[str, str] = {}
+
+
+def write_raw(spark: SparkSession, sf_dir: str, folder: str, files: int = 8) -> None:
+    """Writes the raw tables and the text rows; queries then read them instead of deriving
+    them from ``lineitem`` again."""
+    for name, df in {**raw_tables(spark, sf_dir), "text_rows": text_rows(spark, sf_dir)}.items():
+        df.repartition(files).write.parquet(f"{folder}/{name}")
+    WRITTEN[sf_dir] = folder
+
+
+RAW_NAMES = (
+    "inventory_snapshot", "inventory_adjustment", "sales", "returns", "store_transfers",
+    "store_invoice", "yearly_audit_schedule", "yearly_audit", "sku", "carrier_master",
+)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw tables by logical name."""
+    if sf_dir in WRITTEN:
+        return {n: spark.read.parquet(f"{WRITTEN[sf_dir]}/{n}") for n in RAW_NAMES}
     mv = movements(spark, sf_dir)
     return {
         "inventory_snapshot": raw_inventory(mv),
@@ -170,6 +190,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Untyped rows of dropped files with errors worked in: bad and blank dates, absent
     and blank units, and whole files whose prices are no numbers."""
+    if sf_dir in WRITTEN:
+        return spark.read.parquet(f"{WRITTEN[sf_dir]}/text_rows")
     mv = movements(spark, sf_dir)
     order = F.col("ORD")
     source = F.when(F.col("RF") == "R", "FD_RETURNS").otherwise("FD_SALES")

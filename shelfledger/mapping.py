@@ -68,14 +68,12 @@ class Mapping:
 
 
 def default_mapping() -> Mapping:
-    tables = {}
-    for table, (source, text) in TABLES.items():
-        rows = [line.split() for line in text.strip().splitlines()]
-        tables[table] = LogicalTable(table, source, tuple(
-            MappedColumn(key, None if raw == "-" else raw, name, kind, name)
-            for key, raw, name, kind in rows
+    return Mapping({
+        table: LogicalTable(table, source, tuple(
+            MappedColumn(key, raw, name, kind, name) for key, raw, name, kind in columns
         ))
-    return Mapping(tables)
+        for table, (source, columns) in TABLES.items()
+    })
 
 
 def read_json(spark: SparkSession, path: str) -> dict:

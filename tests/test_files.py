@@ -12,12 +12,12 @@ def manifest(spark, *names):
 
 
 @pytest.mark.parametrize("name,kind", [
-    ("FD_STORE_INV-01072023-1231127.csv", "all_valid"),
-    ("FD_DSD_INVOICE-20200110-1231103.csv", "all_valid"),
-    ("FD_STORE_INV-03072023_1231131-23.csv", "file_name_error"),
-    ("FD_STORE_INV-03072023-1231131-23.csv", "file_name_error"),
-    ("FD_INV_ADJ_ERROR-0107202312-1231122.csv", "file_name_error"),
-    ("FD_MARKDOWNS0-07102020-1231102.csv", "file_name_error"),
+    ("FD_STORE_INV-14032024-501.csv", "all_valid"),
+    ("FD_DSD_INVOICE-20240315-502.csv", "all_valid"),
+    ("FD_STORE_INV-16032024_503-7.csv", "file_name_error"),
+    ("FD_STORE_INV-16032024-503-7.csv", "file_name_error"),
+    ("FD_INV_ADJ_ERROR-1403202499-504.csv", "file_name_error"),
+    ("FD_MARKDOWNS0-17032024-505.csv", "file_name_error"),
     ("FD_SALES-01072023-1.txt", "extension_error"),
     ("FD_SALES-01072023-1.csv.gz", "all_valid"),
     ("FD_SALES-01072023-1", "extension_error"),
@@ -36,7 +36,7 @@ def test_dropped_folder(spark, tmp_path):
     known = ["FD_DSD_INVOICE", "FD_INV_ADJ", "FD_PHYSICAL_INV_ADJUSTMENTS", "FD_RETURNS"]
     names = [f"{t}-{d:02d}102020-{100 + d}.csv" for t in [*known, "FD_MARKDOWNS"]
              for d in range(1, 11)]
-    odd = ["FD_INV_ADJ_ERROR-0107202312-1231122.csv", "FD_STORE_INV-03072023-1.txt", "readme.txt"]
+    odd = ["FD_INV_ADJ_ERROR-1403202499-504.csv", "FD_STORE_INV-03072023-1.txt", "readme.txt"]
     (tmp_path / "more").mkdir()
     for name in names:
         (tmp_path / name).write_text("x")
