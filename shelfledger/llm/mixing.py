@@ -126,7 +126,8 @@ def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
         )
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
             break
-    return state.select("source", (F.col("lam") / F.col("scale")).alias("lam"))
+    # rounded, so that the order in which sums were added up does not show in a rerun
+    return state.select("source", (F.round("lam", 9) / F.col("scale")).alias("lam"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
