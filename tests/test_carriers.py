@@ -111,3 +111,18 @@ def test_rescheduled_units_are_kept(spark, small):
     )
     sent = t["store_transfers"].filter("TRANSFER_CODE = 30").selectExpr("sum(TRANSFER_UNITS)")
     assert moved.selectExpr("sum(DC_TRANSFERRED_UNITS)").first()[0] == sent.first()[0]
+
+
+def test_few_shuffles(spark, small):
+    """One aggregate, one window and one join back, before any reuse."""
+    from entry_queries.queries import conformed
+
+    df = conformed(spark, small, "carrier_master")["carrier_master"]
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = carriers.resolved_arrivals(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    assert plan.count("Exchange hashpartitioning") <= 5 and plan.count("Window [") == 1
