@@ -34,7 +34,3 @@ def edge_frame(spark, rows=ROWS):
 
 def no_rows(spark):
     return edge_frame(spark, [])
-
-
-def text_of(row):
-    return row[1] or ""
