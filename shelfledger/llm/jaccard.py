@@ -155,10 +155,9 @@ def needed_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame
         F.call_function(
             "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")
         ).alias("bit"),
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2 ** 19 rows at most
     bits = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
-    for r in words:
-        bits[r["word"]] = r["bits"]
+    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
 
     def passing(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens, starts = _sets(batch, like.width)
