@@ -16,6 +16,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -42,20 +44,32 @@ POWERS = (256, 512, 1024, 2048)
 #: Tokens planned together; the last windows of a plan are planned again with what follows.
 PLANNED, REPLANNED = 1 << 18, 4
 #: Words whose ids a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 
 
 #: How the tokenizers that ``Tokens`` has a short way for part a text.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_ASCII_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: The same for lower-case words of ASCII and Latin letters, which _LATIN tells from others.
+_LATIN_SPLIT = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+"
+)
+_LATIN = re.compile("[!-~À-ÖØ-öø-įıĲ-ſ]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level tokenizers write a byte as a letter: a printable one as itself, the others
+    in turn from 256 on."""
+    itself = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in itself]
+    return {b: 256 + n for n, b in enumerate(others)}
 
 
 class Tokens:
     """Ids of texts word by word: the tokenizer never joins what blanks separate, so a word's
     ids are the same in any text.
 
-    Where the tokenizer parts text as _SPLIT says, lower-cased and by bytes, a word of printable
-    ASCII goes to its merges piece by piece, and pieces are remembered too. Other words, and
+    Where the tokenizer parts text as _SPLIT says, lower-cased and by bytes, a word of Latin
+    letters goes to its merges piece by piece, and pieces are remembered too. Other words, and
     all words of other tokenizers, go through the tokenizer as a whole.
     """
 
@@ -66,6 +80,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
         steps = [n["type"] for n in (stated["normalizer"] or {}).get("normalizers", [])]
@@ -75,18 +90,23 @@ class Tokens:
             and parts[0].get("pattern") == {"Regex": _SPLIT} and parts[0].get("invert") is True
             and parts[1]["type"] == "ByteLevel" and not parts[1]["use_regex"]
             and not parts[1]["add_prefix_space"]
+            and array("I").itemsize == 4 and sys.byteorder == "little"
         )
         special = "|".join(re.escape(t["content"]) for t in stated["added_tokens"])
         self.special = re.compile((special or "(?!)").encode())
 
-    def _merged(self, word: bytes) -> bytes:
-        found = _ASCII_SPLIT.findall(word.decode("ascii").lower())
-        for piece in found:
-            if piece not in self.pieces:
-                self.pieces[piece] = np.array(
-                    [t.id for t in self.tokenizer.model.tokenize(piece)], dtype="<u4"
-                ).tobytes()
-        return b"".join([self.pieces[piece] for piece in found])
+    def _merged(self, word: str) -> bytes:
+        out = []
+        for piece in _LATIN_SPLIT.findall(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                letters = piece if piece.isascii() else (
+                    piece.encode().decode("latin-1").translate(self.letters)
+                )
+                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+                self.pieces[piece] = ids
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def learn(self, words: set[bytes]) -> None:
         """Looks up the ids of words that are not remembered yet, in large batches."""
@@ -96,11 +116,11 @@ class Tokens:
             fresh = list(words)
         whole = fresh
         if self.by_pieces:
-            whole, special = [], self.special.search
+            whole, special, latin = [], self.special.search, _LATIN.fullmatch
             for w in fresh:
-                # isprintable: no control characters, which may count as blanks
-                if w.isascii() and w.decode("ascii").isprintable() and not special(w):
-                    self.known[w] = self._merged(w)
+                text = w.decode("utf-8", "replace")
+                if latin(text) and not special(w):
+                    self.known[w] = self._merged(text)
                 else:
                     whole.append(w)
         for at in range(0, len(whole), 20_000):
