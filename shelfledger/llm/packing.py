@@ -43,7 +43,7 @@ LONGEST = 32
 POWERS = (256, 512, 1024, 2048)
 #: Tokens planned together; the last windows of a plan are planned again with what follows.
 PLANNED, REPLANNED = 1 << 18, 4
-#: Words whose ids a worker remembers.
+#: Words, and pieces of words, whose ids a worker remembers.
 REMEMBERED = 400_000
 
 
@@ -112,8 +112,9 @@ class Tokens:
         """Looks up the ids of words that are not remembered yet, in large batches."""
         fresh = [w for w in words if w not in self.known]
         if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, self.pieces = {}, {}
-            fresh = list(words)
+            self.known, fresh = {}, list(words)
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
         whole = fresh
         if self.by_pieces:
             whole, special, latin = [], self.special.search, _LATIN.fullmatch
