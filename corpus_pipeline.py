@@ -8,11 +8,13 @@ are, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfledger.llm import jaccard, languages, mixing, packing, personal
-from shelfledger.llm.common import documents, written
+from shelfledger.llm.common import cleared, documents, noted, written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +46,30 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(docs))
 
 
+#: Intermediate tables of the stage that ran last.
+_LEFT: list[str] = []
+
+
+def tidy(stage: Callable) -> Callable:
+    """The stage, clearing what the one before it wrote on the way to its result.
+
+    That result has been written and read again by the time the next stage is called.
+    """
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        cleared(spark, _LEFT)
+        with noted(_LEFT):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language", language),
-    ("near_duplicates", near_duplicates),
-    ("personal_data", personal_data),
-    ("mixture", mixture),
-    ("packing", packed),
+    ("language", tidy(language)),
+    ("near_duplicates", tidy(near_duplicates)),
+    ("personal_data", tidy(personal_data)),
+    ("mixture", tidy(mixture)),
+    ("packing", tidy(packed)),
 ]
 
 #: SQL expresses neither a trained classifier nor a packing; tests compare the stages with

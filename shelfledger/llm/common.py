@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +31,32 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Where ``written`` notes its tables while ``noted`` is in force.
+_NOTES: list[list[str]] = []
+
+
+@contextmanager
+def noted(paths: list[str]) -> Iterator[None]:
+    """Adds the tables written meanwhile to ``paths``, for ``cleared``."""
+    _NOTES.append(paths)
+    try:
+        yield
+    finally:
+        _NOTES.pop()
+
+
+def cleared(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes tables that nothing reads any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a table in the shared folder: computed once, with no lineage."""
     path = shared_path(df.sparkSession, name)
+    if _NOTES:
+        _NOTES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
