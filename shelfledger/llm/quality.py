@@ -19,16 +19,18 @@ GROWTH = 1.02
 LEAST = 1e-4
 #: A group with fewer documents takes the merged sketch of its language, then of everything.
 LEAST_GROUP = 200
-#: How many quartile distances above the median a value may lie.
-FENCE = 6.0
-#: Feature -> least distance above the median that counts as unusual, in the feature's unit:
-#: where nearly all documents agree, the quartile distance is 0 and says nothing.
-MARGINS = {
-    "symbol_share": 0.3,
-    "dup_line_share": 0.45,
-    "repeat_share": 0.4,
-    "word_length": 2.5,
+#: A stretch of values is empty if its length is this many quartile distances, or the step of
+#: the feature where the quartiles agree, and it holds less than SPARSE of the documents.
+FENCE, SPARSE = 4.0, 0.001
+#: Feature -> least length of an empty stretch, in the feature's unit.
+STEPS = {
+    "symbol_share": 0.1,
+    "dup_line_share": 0.1,
+    "repeat_share": 0.1,
+    "word_length": 0.5,
 }
+#: Features that are unusual below a cutoff too; a low share is never unusual.
+LOW = ("word_length",)
 
 
 def text_measures(docs: DataFrame, text: str = "text", *keep: str) -> DataFrame:
@@ -123,7 +125,7 @@ def sketches(shares: DataFrame, group: list[str]) -> DataFrame:
     """One row per group, feature and bucket with its number of documents ``n``."""
     features = F.explode(F.array(*(
         F.struct(F.lit(name).alias("feature"), bucket(F.col(name)).alias("bucket"))
-        for name in MARGINS
+        for name in STEPS
     ))).alias("f")
     return (
         shares.select(*group, features)
@@ -132,41 +134,66 @@ def sketches(shares: DataFrame, group: list[str]) -> DataFrame:
 
 
 def cutoffs(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """Per group and feature: documents, median, upper quartile and the cutoff above them."""
+    """Per group and feature: documents, quartiles and the cutoffs above and below them.
+
+    What is usual reaches from the quartiles outwards to the first empty stretch, so the values
+    of the group alone decide where it ends; the cutoff is the stretch's far end.
+    """
     of = Window.partitionBy(*group, "feature")
     upto = of.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     ranked = sketch.select(
-        *group, "feature", bucket_value(F.col("bucket")).alias("value"),
+        *group, "feature", "n", bucket_value(F.col("bucket")).alias("value"),
         F.sum("n").over(upto).alias("upto"), F.sum("n").over(of).alias("total"),
     )
-    margin = F.create_map(*(F.lit(x) for kv in MARGINS.items() for x in kv))[F.col("feature")]
+
+    def quantile(quarters: int) -> Column:
+        reached = F.col("upto") * 4 >= F.col("total") * quarters
+        return F.min(F.when(reached, F.col("value"))).over(of)
+
+    step = F.create_map(*(F.lit(x) for kv in STEPS.items() for x in kv))[F.col("feature")]
+
+    def stretch(side: Column) -> Column:
+        return F.greatest(step, FENCE * F.abs(side - F.col("median")))
+
+    placed = ranked.withColumns({
+        "low": quantile(1), "median": quantile(2), "quartile": quantile(3),
+    }).withColumns({"up": stretch(F.col("quartile")), "down": stretch(F.col("low"))})
+    above = of.orderBy(F.col("value") / F.col("up")).rangeBetween(0, 1)
+    below = of.orderBy(F.col("value") / F.col("down")).rangeBetween(-1, 0)
+    few = F.greatest(F.lit(1.0), SPARSE * F.col("total"))
     return (
-        ranked.groupBy(*group, "feature").agg(
-            F.max("total").alias("total"),
-            F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("value"))).alias("median"),
-            F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("value")))
-            .alias("quartile"),
+        placed.withColumns({
+            "ends": (F.sum("n").over(above) - F.col("n") < few)
+            & (F.col("value") >= F.col("quartile")),
+            "starts": (F.sum("n").over(below) - F.col("n") < few)
+            & (F.col("value") <= F.col("low")),
+        })
+        .groupBy(*group, "feature").agg(
+            F.max("total").alias("total"), F.max("median").alias("median"),
+            F.max("quartile").alias("quartile"),
+            F.min(F.when(F.col("ends"), F.col("value") + F.col("up"))).alias("cutoff"),
+            F.max(F.when(F.col("starts"), F.col("value") - F.col("down"))).alias("cutoff_low"),
         )
-        .withColumn("cutoff", F.col("median") + F.greatest(
-            margin, FENCE * (F.col("quartile") - F.col("median"))
-        ))
     )
 
 
 def adaptive_cutoffs(shares: DataFrame, language: str, source: str) -> DataFrame:
-    """One row per (language, source) with a column per feature's cutoff.
+    """One row per (language, source) with a column per feature's cutoff, and one named
+    ``<feature>_low`` for those of LOW.
 
     Groups under LEAST_GROUP documents use the sketch merged over their language, and where
     that is still small, over all documents. Nulls are a language or source of their own.
     """
     group = [language, source]
     fine = written(sketches(shares, group), "sketch")
+    named = {name: (name, "cutoff") for name in STEPS}
+    named |= {f"{name}_low": (name, "cutoff_low") for name in LOW}
 
     def wide(rows: DataFrame, keys: list[str], tag: str) -> DataFrame:
         found = cutoffs(rows, keys)
         return found.groupBy(*keys).agg(F.max("total").alias(f"_n{tag}"), *(
-            F.max(F.when(F.col("feature") == name, F.col("cutoff"))).alias(f"_{name}{tag}")
-            for name in MARGINS
+            F.max(F.when(F.col("feature") == name, F.col(side))).alias(f"_{c}{tag}")
+            for c, (name, side) in named.items()
         ))
 
     def merged(keys: list[str]) -> DataFrame:
@@ -174,14 +201,14 @@ def adaptive_cutoffs(shares: DataFrame, language: str, source: str) -> DataFrame
 
     own = wide(fine, group, "0")
     lang = wide(merged([language]), [language], "1").withColumnRenamed(language, "_l")
-    overall = {r["feature"]: r["cutoff"] for r in cutoffs(merged([]), []).collect()}  # 4 rows
+    overall = {r["feature"]: r for r in cutoffs(merged([]), []).collect()}  # 4 rows
     return (
         own.join(lang, own[language].eqNullSafe(lang["_l"]), "left")
         .select(language, source, *(
-            F.when(F.col("_n0") >= LEAST_GROUP, F.col(f"_{name}0"))
-            .when(F.col("_n1") >= LEAST_GROUP, F.col(f"_{name}1"))
-            .otherwise(F.lit(overall.get(name)).cast("double")).alias(name)
-            for name in MARGINS
+            F.when(F.col("_n0") >= LEAST_GROUP, F.col(f"_{c}0"))
+            .when(F.col("_n1") >= LEAST_GROUP, F.col(f"_{c}1"))
+            .otherwise(F.lit(overall[name][side] if overall else None).cast("double")).alias(c)
+            for c, (name, side) in named.items()
         ))
     )
 
@@ -190,22 +217,26 @@ def judge(docs: DataFrame) -> DataFrame:
     """Documents with their measures, ``base_failed`` and ``kept``; one row each.
 
     Takes doc_id, text, lang and source; other columns are left out. A null or empty text has
-    no words and fails the base rules. An empty table gives no rows. Repeated rows are judged
+    no words and fails the base rules. Cutoffs are those of the documents that pass the base
+    rules. An empty table gives no rows. Repeated rows are judged
     alike, each on its own row.
     """
     measures = written(
         with_shares(text_measures(docs, "text", "doc_id", "lang", "source")), "measures"
     )
-    limits = adaptive_cutoffs(measures, "lang", "source").select(
-        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-        *(F.col(name).alias(f"_{name}") for name in MARGINS),
-    )
     base = (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words")
     )
+    bounds = [*STEPS, *(f"{name}_low" for name in LOW)]
+    limits = adaptive_cutoffs(measures.where(~base), "lang", "source").select(
+        F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+        *(F.col(name).alias(f"_{name}") for name in bounds),
+    )
     usual = F.lit(True)
-    for name in MARGINS:
+    for name in STEPS:
         usual = usual & (F.col(name) <= F.col(f"_{name}"))
+    for name in LOW:
+        usual = usual & (F.col(name) >= F.col(f"_{name}_low"))
     return (
         measures.join(
             limits,
@@ -221,5 +252,5 @@ def judge(docs: DataFrame) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", *MARGINS,
+        "base_failed", "kept", *STEPS,
     )

@@ -62,6 +62,31 @@ def test_sketches_merge_to_the_whole(spark, small):
     assert abs(median - exact) <= 0.03 * exact
 
 
+def shares_of(spark, source, **values):
+    """500 documents of a source, with the given feature values and others that never vary."""
+    usual = {"symbol_share": [0.0], "dup_line_share": [0.0], "repeat_share": [0.0],
+             "word_length": [5.0]} | values
+    return spark.createDataFrame(
+        [(source, *(float(v[i % len(v)]) for v in usual.values())) for i in range(500)],
+        "source string, " + ", ".join(f"{k} double" for k in usual))
+
+
+def test_cutoffs_follow_each_group(spark):
+    """What is usual in one group is unusual in another."""
+    code = shares_of(spark, "code", symbol_share=[i / 500 for i in range(300)],
+                     dup_line_share=[0] * 9 + [i / 100 for i in range(45)])
+    prose = shares_of(spark, "prose", dup_line_share=[0] * 99 + [0.44],
+                      repeat_share=[0] * 99 + [0.39], word_length=[4.9, 5, 5.1] * 33 + [2])
+    long = shares_of(spark, "long", word_length=[8 + i / 100 for i in range(100)])
+    rows = code.unionAll(prose).unionAll(long).withColumn("lang", F.lit("en"))
+    limits = {r.source: r for r in quality.adaptive_cutoffs(rows, "lang", "source").collect()}
+    assert limits["code"].symbol_share > 0.6 > 0.2 > limits["prose"].symbol_share
+    assert limits["code"].dup_line_share > 0.44 > 0.2 > limits["prose"].dup_line_share
+    assert limits["prose"].repeat_share < 0.39
+    assert limits["prose"].word_length < 6 and limits["long"].word_length > 9
+    assert 2.5 < limits["prose"].word_length_low < 4.9 < 6 < limits["long"].word_length_low
+
+
 def test_quality_edges(spark):
     found = quality.judge(edge_frame(spark)).collect()
     assert len(found) == len(ROWS)
