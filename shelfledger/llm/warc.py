@@ -29,7 +29,12 @@ NO_DATE = "1970-01-01T00:00:00Z"
 #: Bytes read from an archive file at once.
 CHUNK = 1 << 20
 #: Elements whose content is no text, and elements that end a line.
-_RAW = ("script", "style", "noscript", "template", "svg")
+_RAW = {
+    name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A)
+    for name in ("script", "style", "noscript", "template", "svg")
+}
+#: Those of them that take the rest of the page where they are not closed, as HTML parsers do.
+_TO_END = ("script", "style")
 _BLOCK = frozenset(
     "address article aside blockquote br dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 "
     "h6 header hr li main nav ol p pre section table td th title tr ul".split()
@@ -58,14 +63,15 @@ def record_id(*parts: str) -> str:
 def page_text(page: str) -> tuple[str, str, str, list[str]]:
     """(text, title, language, links) of an HTML page, in one pass over it.
 
-    Scripts, styles and comments are left out, as is what follows one that is never closed;
-    block elements end a line; character references are resolved.
+    Scripts, styles and comments are left out, as is what follows one that is never closed. So
+    are closed noscript, template and svg elements; one that is never closed loses its tag only.
+    Block elements end a line; character references are resolved.
     """
     out: list[str] = []
     links: list[str] = []
-    title, lang, at, raw = "", "", 0, None
+    title, lang, at = "", "", 0
     title_from = -1
-    lower = page.lower()
+    unclosed: set[str] = set()
     while at < len(page):
         found = _TAG.search(page, at)
         if not found:
@@ -97,12 +103,15 @@ def page_text(page: str) -> tuple[str, str, str, list[str]]:
             links.append(entities.unescape(hit.group(1).strip("\"'")))
         if name in _BLOCK:
             out.append("\n")
-        if name in _RAW and not closing:
-            raw = lower.find(f"</{name}", at)
-            if raw < 0:
+        if name in _RAW and not closing and name not in unclosed:
+            raw = _RAW[name].search(page, at)
+            if raw:
+                end = page.find(">", raw.end())
+                at = len(page) if end < 0 else end + 1
+            elif name in _TO_END:
                 break
-            end = page.find(">", raw)
-            at = len(page) if end < 0 else end + 1
+            else:
+                unclosed.add(name)
     lines = (_SPACE.sub(" ", x).strip() for x in entities.unescape("".join(out)).split("\n"))
     flat = " ".join(entities.unescape(title).split())
     return "\n".join(x for x in lines if x), flat, lang, links

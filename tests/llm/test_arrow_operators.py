@@ -247,6 +247,16 @@ def pages(spark, rows=PAGES):
         "*", "'c' AS block", "'c' AS headers", "'c' AS warc_type")
 
 
+@pytest.mark.parametrize("page,text", [
+    ("\u0130" * 12 + "<script>x</script>kept text<p>more</p>", "\u0130" * 12 + "kept text\nmore"),
+    ("a<STYLE>x</sTyLe >b<script>y</scripts></script>c", "abc"),
+    ("a<svg>b<p>c</p><svg>d", "ab\nc\nd"), ("a<noscript>b", "ab"), ("a<template>b", "ab"),
+    ("a<script>b<p>c", "a"), ("a<svg>b</svg>c", "ac"),
+])
+def test_text_behind_raw_elements(page, text):
+    assert warc.page_text(page)[0] == text
+
+
 def test_derived_records(spark):
     given = warc.responses(pages(spark)).collect()
     made = warc.derive(warc.responses(pages(spark))).collect()
