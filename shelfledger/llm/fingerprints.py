@@ -5,8 +5,10 @@ paragraphs' vectors modulo 2 ** 60. Equal multisets of paragraphs have equal sum
 adding or taking away a paragraph adds or subtracts its vector. The vector has three parts:
 
 * DIGEST longs hashed from the whole paragraph: equality,
-* 2 x 15 longs of four 15-bit counters each. Every clause of the paragraph adds its hash bits,
-  one to each counter, so the counters of two documents are as alike as the clauses they share,
+* 2 x 30 longs of two 30-bit counters each. Every clause of the paragraph adds its hash bits,
+  one to each counter, so the counters of two documents are as alike as the clauses they share.
+  A text of the longest that Spark holds, 2 ** 31 bytes, has fewer than 2 ** 30 clauses, so no
+  counter of a text wraps,
 * the number of clauses.
 """
 
@@ -19,8 +21,8 @@ from shelfledger.llm.common import BLANKS, documents, let, written
 
 #: Sums are taken modulo this.
 MODULUS = 1 << 60
-FIELD = 15
-FIELD_BITS = sum(1 << (FIELD * i) for i in range(4))
+FIELD, FIELDS = 30, 2
+FIELD_BITS = sum(1 << (FIELD * i) for i in range(FIELDS))
 DIGEST = 4
 SEEDS = (11, 29)
 #: A clause ends at one of these; a paragraph ends at a line break.
@@ -96,7 +98,7 @@ def _spread(vec: Column) -> Column:
     fields = F.flatten(F.transform(
         F.slice(vec, DIGEST + 1, FIELD * len(SEEDS)),
         lambda x: F.array(*(
-            F.shiftright(x, FIELD * i).bitwiseAND((1 << FIELD) - 1) for i in range(4)
+            F.shiftright(x, FIELD * i).bitwiseAND((1 << FIELD) - 1) for i in range(FIELDS)
         )),
     ))
     return F.transform(fields, lambda c: (2 * c - n).cast("double"))

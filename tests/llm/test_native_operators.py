@@ -127,6 +127,20 @@ def test_likeness_follows_what_is_shared(spark):
     assert 0.5 < near[1] < 0.85 and 0.3 < near[2] < 0.7 and near[3] < 0.3
 
 
+def test_likeness_of_very_long_texts(spark):
+    n = 100_000
+    a, b = (",".join(f"{k}{i}" for i in range(n)) for k in "ab")
+    cut = a[:a.index(f",a{2 * n // 3},")] + b[b.index(f",b{2 * n // 3},"):]
+    same = "x," * n
+    part = "x," * (2 * n // 3) + ",".join(f"y{i}" for i in range(n // 3))
+    va, vb, vcut, vsame, vpart = map(list, vectors(spark, a, b, cut, same, part))
+    df = spark.createDataFrame([(va, vb), (va, vcut), (vsame, vpart)],
+                               "a array<long>, b array<long>")
+    other, edited, repeated = (r[0] for r in df.select(
+        fingerprints.likeness(F.col("a"), F.col("b"))).collect())
+    assert other < 0.3 and 0.45 < edited < 0.85 and 0.6 < repeated < 0.75
+
+
 def test_edited_texts(spark, small):
     docs = documents(spark, small)
     texts = {r.doc_id: r.text for r in docs.collect()}
