@@ -25,6 +25,9 @@ FEATURES = 1 << 12
 TRAINING_ROWS = 500
 #: Passes over the training rows and strength of the regularisation.
 EPOCHS, PENALTY = 6, 1e-5
+#: A prediction replaces a stated language if its score is at least the median of those that agree
+#: with their labels, and of the labels held out at or above it at least this share agrees.
+AGREED = 0.9
 #: The value for texts that have no language.
 UNDETERMINED = "und"
 #: The families of common languages. Another language is a family of its own.
@@ -187,8 +190,8 @@ def learn(docs: DataFrame, rows: int = TRAINING_ROWS) -> Model:
 
 
 def predict_column(model: Model):
-    """A pandas UDF from text to struct(lang, score)."""
-    @F.pandas_udf("lang string, score double")
+    """A pandas UDF from text to struct(lang, score, lettered)."""
+    @F.pandas_udf("lang string, score double, lettered boolean")
     def predicted(texts: pd.Series) -> pd.DataFrame:
         batch = pa.RecordBatch.from_arrays(
             [pa.array(texts, type=pa.string(), from_pandas=True)], names=["text"]
@@ -198,7 +201,8 @@ def predict_column(model: Model):
             a, b = predict_texts(model, part.column("text"))
             langs += a
             scores += b
-        return pd.DataFrame({"lang": langs, "score": scores})
+        lettered = [bool(t and _LETTER.search(t)) for t in texts]
+        return pd.DataFrame({"lang": langs, "score": scores, "lettered": lettered})
 
     return predicted
 
@@ -244,17 +248,53 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     )
 
 
+def sure_scores(docs: DataFrame, model: Model) -> dict[str, float]:
+    """Language -> the score from which its prediction replaces another stated language.
+
+    Calibrated on the labelled rows that are held out; a language without such rows, or whose
+    predictions agree too seldom with the labels, has none.
+    """
+    predicted = predict_column(model)(F.col("text"))
+    fold = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).where(
+        held_out(F.col("doc_id"))
+    ).select("lang", predicted.alias("p")).where(F.col("p.lettered"))
+    counts = fold.groupBy(
+        F.col("p.lang").alias("name"), F.floor(F.col("p.score") * 100).alias("part")
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("lang") == F.col("p.lang")).cast("long"))
+        .alias("agree"),
+    ).collect()  # at most 101 rows per language
+    sure = {}
+    for name in {r["name"] for r in counts}:
+        parts = sorted((r for r in counts if r["name"] == name), key=lambda r: -r["part"])
+        half = sum(r["agree"] for r in parts) / 2
+        n = agree = 0
+        for r in parts:
+            n, agree = n + r["n"], agree + r["agree"]
+            if agree > 0 and agree >= half:
+                if agree >= AGREED * n:
+                    sure[name] = r["part"] / 100
+                break
+    return sure
+
+
 def known_language(docs: DataFrame) -> DataFrame:
-    """The documents with a language, all columns as they are; the others are rejected.
+    """The documents with a language, all columns as they are but for ``lang``.
 
-    Rejected are null texts and texts without a letter. A document whose language is not
-    stated gets the predicted one.
+    Rejected are null texts and texts without a letter, and no others. A document whose language
+    is not stated gets the predicted one, ``und`` if no language could be learnt; a stated one
+    is replaced by a prediction that is sure (see ``sure_scores``).
     """
     small_batches(docs.sparkSession)
-    predicted = predict_column(learn(docs))(F.col("text"))
-    marked = docs.withColumn("__language", predicted)
-    return marked.where(F.col("__language.lang") != UNDETERMINED).withColumn(
-        "lang", F.coalesce("lang", F.col("__language.lang"))
+    model = learn(docs)
+    sure = sure_scores(docs, model) if model.families else {}
+    found, score = F.col("__language.lang"), F.col("__language.score")
+    corrected = F.lit(False)
+    for name, least in sorted(sure.items()):
+        corrected = corrected | ((found == name) & (score >= least))
+    marked = docs.withColumn("__language", predict_column(model)(F.col("text")))
+    return marked.where(F.col("__language.lettered")).withColumn(
+        "lang", F.when(corrected, found).otherwise(F.coalesce("lang", found))
     ).select(*docs.columns)
 
 

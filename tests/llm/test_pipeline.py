@@ -35,6 +35,26 @@ def test_language_keeps_texts_with_letters(outputs):
     assert after.columns == before.columns
 
 
+def test_language_without_labels_keeps_texts(spark, small):
+    docs = documents(spark, small).withColumn("lang", F.lit(None).cast("string"))
+    docs = docs.where("doc_id < 20")
+    lettered = [r.doc_id for r in docs.collect() if re.search(r"[^\W\d_]", r.text or "")]
+    kept = STAGES["language"](spark, docs, small).collect()
+    assert lettered and sorted(r.doc_id for r in kept) == sorted(lettered)
+    assert {r.lang for r in kept} == {"und"}
+
+
+def test_sure_predictions_correct_wrong_labels(spark, small):
+    docs = documents(spark, small.replace("sf0.001", "sf0.01")).where("n_chars > 500")
+    stated = {r.doc_id: r.lang for r in docs.collect()}
+    wrong = F.when(F.col("doc_id") % 25 == 0, F.when(F.col("lang") == "fr", "de").otherwise("fr"))
+    after = STAGES["language"](spark, docs.withColumn("lang", F.coalesce(wrong, "lang")), small)
+    found = {r.doc_id: r.lang for r in after.collect()}
+    corrected = [found[d] == stated[d] for d in found if d % 25 == 0]
+    unharmed = [found[d] == stated[d] for d in found if d % 25]
+    assert sum(corrected) >= 0.3 * len(corrected) and sum(unharmed) >= 0.98 * len(unharmed)
+
+
 def test_one_document_of_each_group_stays(outputs):
     before, after = outputs["near_duplicates"]
     docs = [(r.doc_id, r.text) for r in before.collect()]
