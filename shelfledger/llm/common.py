@@ -66,6 +66,11 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def null_safe(one: str, other: str) -> Column:
+    """Two columns are equal or both null."""
+    return F.col(one).eqNullSafe(F.col(other))
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; null and blank texts have none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))

@@ -4,6 +4,7 @@ from shelfledger.llm.fingerprints import op5_fingerprints
 from shelfledger.llm.jaccard import op10_jaccard_join
 from shelfledger.llm.languages import op7_languages
 from shelfledger.llm.licenses import op3_licenses
+from shelfledger.llm.line_runs import OP13_SQL, op13_line_dedup
 from shelfledger.llm.mixing import op6_mixing
 from shelfledger.llm.packing import op2_packing
 from shelfledger.llm.personal import op1_personal_data
@@ -22,6 +23,9 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_jaccard_join": op10_jaccard_join,
+    "op13_line_dedup": op13_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op13_line_dedup": OP13_SQL,
+}
