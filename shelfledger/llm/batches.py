@@ -92,33 +92,40 @@ _ODD = 0xD6E8FEB86659FD93
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, and the document of each, for texts laid on end.
-
-    A word's hash is a polynomial in its bytes: the difference of two running sums, shifted
-    back to place 0 and then spread. The same word hashes the same wherever it stands.
-    """
-    n = len(data)
+def runs_of(inside: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each run of bytes that are ``inside`` begins and stops, and its document, for texts
+    laid on end; no run goes across the start of a text."""
+    n = len(inside)
+    none = np.zeros(0, dtype=np.int64)
     if not n:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    inside = ~IS_BLANK[data]
+        return none, none, none
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    edges = starts[1:-1][starts[1:-1] < n]  # a text's start is a word's start
+    edges = starts[1:-1][starts[1:-1] < n]  # a text's start is a run's start
     first[edges] = inside[edges]
     begin = np.flatnonzero(first)
-    if not len(begin):
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     last[edges[edges > 0] - 1] = inside[edges[edges > 0] - 1]
     stop = np.flatnonzero(last) + 1
+    return begin, stop, np.searchsorted(starts, begin, side="right") - 1
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, and the document of each, for texts laid on end.
+
+    A word's hash is a polynomial in its bytes: the difference of two running sums, shifted
+    back to place 0 and then spread. The same word hashes the same wherever it stands.
+    """
+    n = len(data)
+    begin, stop, doc = runs_of(~IS_BLANK[data], starts)
+    if not len(begin):
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_TABLE[data] * _powers(n, _ODD), out=sums[1:])
         h = (sums[stop] - sums[begin]) * _powers(n, _INVERSE)[begin]
         h = mixed(h ^ ((stop - begin).astype(np.uint64) * _BASE))
-    doc = np.searchsorted(starts, begin, side="right") - 1
     return h, doc
 
 

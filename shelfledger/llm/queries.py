@@ -1,5 +1,6 @@
 """The queries of the operators and, where SQL can express them, the same in SQL."""
 
+from shelfledger.llm.divergence import OP11_SQL, op11_divergence
 from shelfledger.llm.fingerprints import op5_fingerprints
 from shelfledger.llm.jaccard import op10_jaccard_join
 from shelfledger.llm.languages import op7_languages
@@ -23,9 +24,11 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_divergence": op11_divergence,
     "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op11_divergence": OP11_SQL,
     "op13_line_dedup": OP13_SQL,
 }
