@@ -53,10 +53,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             start = stop
 
 
-def small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Makes the session send rows to workers in small batches, unless it does already."""
-    if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
-        spark.conf.set(_ROWS, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(_ROWS)) <= rows:
+        spark.conf.set(_ROWS, str(rows))
 
 
 def map_texts(

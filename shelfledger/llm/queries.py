@@ -12,6 +12,7 @@ from shelfledger.llm.personal import op1_personal_data
 from shelfledger.llm.quality import op4_quality
 from shelfledger.llm.secrets import op8_secrets
 from shelfledger.llm.warc import op9_warc
+from shelfledger.llm.whitening import op12_whitening
 
 QUERIES = {
     "op1_personal_data": op1_personal_data,
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_divergence": op11_divergence,
+    "op12_whitening": op12_whitening,
     "op13_line_dedup": op13_line_dedup,
 }
 
