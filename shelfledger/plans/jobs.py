@@ -105,7 +105,6 @@ def run_validation(spark: SparkSession, args: argparse.Namespace) -> None:
         missing,
         args.error_path,
         args.report_path,
-        args.mixed_headers,
         float(args.threshold) if args.threshold else ERROR_THRESHOLD_PERCENT,
     )
     write_csv(routes, f"{args.error_path.rstrip('/')}/routes")
@@ -122,7 +121,7 @@ def run_preprocess(spark: SparkSession, args: argparse.Namespace) -> None:
         )
     preprocess(
         spark, args.input_path, passed_files(routes), args.output_path,
-        args.master_output_path, _mapping(spark, args.mapping_path), args.mixed_headers,
+        args.master_output_path, _mapping(spark, args.mapping_path),
     )
 
 
@@ -202,7 +201,6 @@ def main(argv: list[str] | None = None) -> None:
     for stage, (_, names) in STAGES.items():
         sub = stages.add_parser(stage, help=HELP.get(stage))
         sub.add_argument("--shuffled_bytes", type=int, default=None)
-        sub.add_argument("--mixed_headers", action="store_true")
         for name in names:
             sub.add_argument(f"--{name.rstrip('?')}", required=not name.endswith("?"))
     args = parser.parse_args(argv)

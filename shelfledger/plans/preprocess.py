@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from shelfledger.fixed_values import MASTER_TABLES
 from shelfledger.mapping import LogicalTable, Mapping
 from shelfledger.operators.quarantine import PASS
-from shelfledger.operators.validate import FILE
-from shelfledger.sources.csv import read_raw_csv, typed
+from shelfledger.sources.csv import typed
+from shelfledger.sources.dropped import FILE, LACKING, LINE, dropped_rows
 from shelfledger.sources.sinks import with_location_group, write_master, write_partitioned
 from shelfledger.sources.tables import table_path
 
@@ -20,13 +20,12 @@ def tables_of(files: DataFrame) -> list[str]:
 
 
 def rows_of_files(
-    spark: SparkSession, root: str, table: str, files: DataFrame, mixed_headers: bool = False
+    spark: SparkSession, root: str, table: str, files: DataFrame, required: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rows of those files (path, table) that lie in the table's folder; the list of files is
-    joined to the scan and never passes through the driver."""
-    rows = read_raw_csv(spark, f"{root.rstrip('/')}/{table}", mixed_headers=mixed_headers)
-    wanted = files.filter(F.col("table") == table).select(F.col("path").alias(FILE)).distinct()
-    return rows.join(wanted, FILE, "left_semi").select(*rows.columns)
+    """Rows of those files (path, table) that lie in the table's folder."""
+    return dropped_rows(
+        spark, f"{root.rstrip('/')}/{table}", files.filter(F.col("table") == table), required
+    )
 
 
 def passed_files(routes: DataFrame) -> DataFrame:
@@ -41,12 +40,15 @@ def preprocess(
     output: str,
     master_output: str,
     mapping: Mapping,
-    mixed_headers: bool = False,
 ) -> None:
-    """One job per table over all its files; each table is replaced as a whole."""
+    """One job per table over all its files; each table is replaced as a whole.
+
+    A malformed line keeps the fields that can be told, as all rows of a file that passed.
+    """
     for source in tables_of(files):
         table = mapping.by_source(source) or LogicalTable(source, source, ())
-        df = typed(rows_of_files(spark, root, source, files, mixed_headers).drop(FILE), table)
+        rows = rows_of_files(spark, root, source, files).drop(FILE, LINE, LACKING)
+        df = typed(rows, table)
         if source in MASTER_TABLES:
             write_master(df, table_path(master_output, source))
         else:

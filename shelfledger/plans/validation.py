@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from shelfledger.fixed_values import ERROR_THRESHOLD_PERCENT, VALIDATED_TABLES
 from shelfledger.operators.quarantine import PASS, quarantine_routes
-from shelfledger.operators.validate import FILE, ColumnRule, file_error_counts, validate
+from shelfledger.operators.validate import ColumnRule, file_error_counts, validate
 from shelfledger.plans.preprocess import rows_of_files, tables_of
+from shelfledger.sources.dropped import FILE, spelled
 from shelfledger.sources.sinks import write_csv
 
 
 def rowless_counts(files: DataFrame, table: str, counts: DataFrame) -> DataFrame:
     """Zero counts for files that hold no row and so do not occur in ``counts``."""
-    listed = files.filter(F.col("table") == table).select(F.col("path").alias(FILE)).distinct()
+    listed = files.filter(F.col("table") == table).select(
+        spelled(F.col("path")).alias(FILE)
+    ).distinct()
     rowless = listed.join(counts.select(F.col("uri").alias(FILE)), FILE, "left_anti")
     zero = F.lit(0).cast("bigint")
     return file_error_counts(
@@ -32,7 +35,6 @@ def validate_files(
     missing: DataFrame,
     error_path: str,
     report_path: str,
-    mixed_headers: bool = False,
     threshold: float = ERROR_THRESHOLD_PERCENT,
 ) -> DataFrame:
     """Writes invalid rows and report per table and the error counts; returns the routes.
@@ -46,13 +48,14 @@ def validate_files(
         if table not in VALIDATED_TABLES or not rules.get(table):
             continue
         judged.append(table)
-        result = validate(rows_of_files(spark, root, table, files, mixed_headers), rules[table])
+        required = tuple(r.column for r in rules[table])
+        result = validate(rows_of_files(spark, root, table, files, required), rules[table])
         write_csv(result.invalid, f"{error_path.rstrip('/')}/invalid_rows/{table}")
         write_csv(result.report, f"{report_path.rstrip('/')}/{table}")
         counts.append(result.counts)
         counts.append(rowless_counts(files, table, result.counts))
     others = files.filter(~F.col("table").isin(judged)).select(
-        F.col("path").alias("uri"), "file_date", "table", F.lit(PASS).alias("route")
+        spelled(F.col("path")).alias("uri"), "file_date", "table", F.lit(PASS).alias("route")
     )
     if not counts:
         return others

@@ -19,8 +19,10 @@ DROPPED = "*.{" + ",".join(PERMITTED_EXTENSIONS) + "}"
 
 
 def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of one file; reads its first line only."""
-    return tuple(spark.read.option("header", True).csv(path).columns)
+    """Column names of the first table file at a path; reads its first line only."""
+    return tuple(
+        spark.read.option("header", True).option("pathGlobFilter", DROPPED).csv(path).columns
+    )
 
 
 def _names(header: str) -> tuple[str, ...]:
