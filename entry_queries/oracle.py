@@ -224,6 +224,10 @@ PARTS = {
             CASE WHEN defect = 3 THEN strftime(d, '%Y%m%d')
                  ELSE strftime(d, '%d%m%Y') END AS spelled
         FROM ev""",
+    "accepted": """
+        SELECT 'drop/in/' || name AS path, src AS "table", strftime(d, '%Y%m%d') AS file_date,
+               CAST(regexp_extract(name, '-([0-9]+)[.]', 1) AS BIGINT) % 3 AS part
+        FROM dropped WHERE defect > 2 AND src <> 'FD_MARKDOWNS'""",
     "received": """
         SELECT CASE WHEN defect = 2 THEN src || '_ERROR' ELSE src END AS "table",
                CASE WHEN defect = 1 THEN split_part(name, '-', 2)
@@ -541,6 +545,14 @@ BODIES = {
                  CASE WHEN NOT bool_or("table" = 'FD_STORE_INV') THEN 'FD_STORE_INV' END), ''),
                  'None') AS missing
         FROM received GROUP BY 1""",
+    "released_files": """
+        SELECT path, "table", file_date, 'run' || part AS first_run,
+               CASE WHEN whole IS NOT NULL THEN 'run' || greatest(part, whole) END AS taken_run
+        FROM accepted LEFT JOIN (
+          SELECT file_date, max(came) AS whole FROM (
+            SELECT file_date, "table", min(part) AS came FROM accepted
+            WHERE "table" IN ('FD_STORE_INV', 'FD_PHYSICAL_INV_ADJUSTMENTS') GROUP BY 1, 2)
+          GROUP BY 1 HAVING count(*) = 2) USING (file_date)""",
     "latest_failures": "SELECT * FROM latest",
     "fill_dates": """
         SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
@@ -572,6 +584,23 @@ BODIES = {
     "mixed_header_scan": """
         SELECT "SKU", "LOCATION", nullif("TRAN_DATE", '') AS "TRAN_DATE", "UNITS",
                CASE WHEN "LOCATION" <> '25' THEN "TOTAL_RETAIL" END AS "TOTAL_RETAIL" FROM raw""",
+    "header_verdicts": """
+        SELECT CASE "LOCATION" WHEN '25' THEN 'UNITS,NOTE,TOTAL_RETAIL,LOCATION,SKU,TRAN_DATE'
+                    WHEN '50' THEN 'SKU,LOCATION,TRAN_DATE,UNITS'
+                    ELSE 'SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL' END AS header,
+               CASE "LOCATION" WHEN '50' THEN 'TOTAL_RETAIL' END AS lacking,
+               count(*) FILTER ("LOCATION" = '50' OR coalesce("TRAN_DATE", '') IN ('', '2021-13-01')
+                 OR coalesce("UNITS", ' ') = ' ') AS error_row_count,
+               count(*) AS original_row_count
+        FROM raw WHERE src = 'FD_SALES' GROUP BY 1, 2""",
+    "malformed_lines": """
+        SELECT "SKU", "LOCATION", nullif("TRAN_DATE", '') AS "TRAN_DATE", "UNITS",
+               CASE WHEN "LOCATION" = '125' THEN "TOTAL_RETAIL" END AS "TOTAL_RETAIL",
+               "SKU" || ',' || "LOCATION" || ',' || coalesce("TRAN_DATE", '') || ','
+                 || coalesce("UNITS", '')
+                 || CASE WHEN "LOCATION" = '125' THEN ',' || coalesce("TOTAL_RETAIL", '') || ',more'
+                         ELSE '' END AS line
+        FROM raw WHERE "LOCATION" IN ('75', '125')""",
     "manifest_tables": 'SELECT DISTINCT src AS "table" FROM raw',
     "preprocess_passed": """
         SELECT CAST("SKU" AS INTEGER) AS "SKU", CAST("LOCATION" AS INTEGER) AS "LOCATION",
@@ -591,6 +620,17 @@ BODIES = {
     "optional_sources": measured(ZERO_FACTS),
     "written_denormalized": f"""
         SELECT *, round("LOCATION" / 50) AS "LOCATION_GROUP" FROM ({measured(wide("snapshot"))})""",
+    "merge_rows": """
+        SELECT "SKU", "LOCATION", "DATE",
+               CASE WHEN "DATE" >= DATE '2021-09-01' AND "SKU" % 2 = 0 THEN 2 ELSE 1 END
+                 * "SALES_UNITS" AS "SALES_UNITS",
+               round("LOCATION" / 50) AS "LOCATION_GROUP",
+               CAST(date_trunc('month', "DATE") AS DATE) AS "MONTH" FROM s
+        UNION ALL
+        SELECT -"SKU" - 1, "LOCATION", "DATE", "SALES_UNITS", round("LOCATION" / 50),
+               CAST(date_trunc('month', "DATE") AS DATE)
+        FROM s WHERE "DATE" >= DATE '2021-09-01' AND "SKU" % 2 = 0""",
+    "densify_batches": "SELECT * FROM dense",
     "merge_partitions": """
         SELECT "SKU", "LOCATION", "DATE",
                CASE WHEN "DATE" >= DATE '2021-09-01' THEN 2 ELSE 1 END * "SALES_UNITS"

@@ -12,13 +12,13 @@ from entry_queries import views
 from shelfledger.functions import dates, measures, names
 from shelfledger.mapping import default_mapping
 from shelfledger.operators import (
-    asof, audit, calendar, carriers, checks, conform, facts, inventory, merge, quarantine,
+    asof, audit, calendar, carriers, checks, conform, facts, inventory, ledger, merge, quarantine,
     routing, runlog, validate,
 )
 from shelfledger.plans import preprocess, validation
 from shelfledger.plans.denormalize import denormalize, join_facts
-from shelfledger.sources import csv, manifest, sinks, tables
-from shelfledger.sources.workspace import work_dir
+from shelfledger.sources import csv, dropped, manifest, sinks, tables
+from shelfledger.sources.workspace import materialize, work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -343,6 +343,29 @@ def missing_mandatory(spark, sf_dir):
     return routing.missing_mandatory(views.drop_manifest(spark, sf_dir), TWO_REQUIRED)
 
 
+@query
+def released_files(spark, sf_dir):
+    """The files of three drops, each read by one run: a run takes the new files of complete
+    days, and those that waited for a day it completes. Files that still wait have no run."""
+    path = work_dir(spark, "ledger")
+    number = F.regexp_extract("path", "-([0-9]+)[.]", 1).cast("bigint")
+    files = routing.route_files(views.drop_manifest(spark, sf_dir)).filter("class = 'all_valid'")
+    drop = files.withColumns({
+        "length": F.length("path").cast("bigint"),
+        "modificationTime": F.timestamp_seconds(number), "part": number % 3,
+    })
+    for part in range(3):
+        # a drop folder keeps what came before
+        admission = ledger.admit(
+            drop.filter(F.col("part") <= part), ledger.read_ledger(spark, path), f"run{part}",
+            TWO_REQUIRED,
+        )
+        ledger.write_ledger(admission.ledger, path)
+    return ledger.read_ledger(spark, path).select(
+        "path", "table", "file_date", "first_run", "taken_run"
+    )
+
+
 @query
 def latest_failures(spark, sf_dir):
     return calendar.latest_failures(views.earlier_log(spark, sf_dir))
@@ -449,6 +472,69 @@ def mixed_header_scan(spark, sf_dir):
     return csv.read_raw_csv(spark, [f"{root}/a", f"{root}/b"], mixed_headers=True).drop("file")
 
 
+def sales_rules() -> tuple[str, ...]:
+    return tuple(r.column for r in rules())
+
+
+def files_below(spark: SparkSession, folder: str) -> DataFrame:
+    files = manifest.file_manifest(spark, folder)
+    return files.filter(F.col("path").endswith(".csv")).select("path")
+
+
+@query
+def header_verdicts(spark, sf_dir):
+    """Files of three layouts in one folder: the usual one, one with another order and a column
+    more, and one that lacks prices, whose files fail as a whole. Errors per layout."""
+    folder = work_dir(spark, "layouts")
+    sold = views.text_rows(spark, sf_dir).filter("file LIKE '%/FD_SALES/%'").drop("file")
+    store = F.col("LOCATION")
+    sinks.write_csv(sold.filter(~store.isin("25", "50")), folder)
+    sinks.write_csv(sold.filter(store == "25").select(
+        "UNITS", store.alias("NOTE"), "TOTAL_RETAIL", "LOCATION", "SKU", "TRAN_DATE"
+    ), folder, "append")
+    sinks.write_csv(sold.filter(store == "50").drop("TOTAL_RETAIL"), folder, "append")
+    files = files_below(spark, folder)
+    wanted = files.select(dropped.spelled(F.col("path")).alias("file"))
+    layouts = dropped.file_layouts(
+        dropped.wanted_lines(spark, folder, wanted), wanted, sales_rules()
+    )
+    found = validate.validate(
+        dropped.dropped_rows(spark, folder, files, sales_rules()), rules()
+    )
+    return (
+        found.counts.join(layouts, F.col("uri") == F.col("file"))
+        .groupBy("header", F.get(F.array(*map(F.lit, sales_rules())), F.col("lacking"))
+                 .alias("lacking"))
+        .agg(F.sum("error_row_count").alias("error_row_count"),
+             F.sum("original_row_count").alias("original_row_count"))
+    )
+
+
+@query
+def malformed_lines(spark, sf_dir):
+    """Lines with a field too few in one store, and with one too many in another, among whole
+    ones: the invalid rows they make, with their text."""
+    folder = work_dir(spark, "malformed")
+    fields = [F.coalesce(c, F.lit("")) for c in
+              ("SKU", "LOCATION", "TRAN_DATE", "UNITS", "TOTAL_RETAIL")]
+    few, many = F.col("LOCATION") == "75", F.col("LOCATION") == "125"
+    line = F.when(few, F.concat_ws(",", *fields[:4])).when(
+        many, F.concat_ws(",", *fields, F.lit("more"))
+    ).otherwise(F.concat_ws(",", *fields))
+    lines = views.text_rows(spark, sf_dir).filter("SKU IS NOT NULL").select(
+        line.alias("SKU,LOCATION,TRAN_DATE,UNITS,TOTAL_RETAIL")
+    )
+    # a separator that no line holds, so that lines are written as they are
+    lines.write.option("header", True).option("sep", "|").option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    rows = dropped.dropped_rows(spark, folder, files_below(spark, folder), sales_rules())
+    invalid = validate.validate(rows, rules()).invalid
+    return invalid.filter(F.col(dropped.LINE).isNotNull()).select(
+        "SKU", "LOCATION", "TRAN_DATE", "UNITS", "TOTAL_RETAIL",
+        F.col(dropped.LINE).alias("line"),
+    )
+
+
 @query
 def manifest_tables(spark, sf_dir):
     """The tables whose files lie in a written drop."""
@@ -520,6 +606,37 @@ def written_denormalized(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def merge_rows(spark, sf_dir):
+    """Monthly partitions; a later batch delivers only the even items from September on, and
+    items not sold before."""
+    path, by = work_dir(spark, "consolidated"), ("LOCATION_GROUP", "MONTH")
+    sold = daily_sales(spark, sf_dir).select(*facts.KEYS, "SALES_UNITS")
+    first = sold.withColumn("MONTH", F.trunc("DATE", "month"))
+    merge.merge_rows(first, path, by=by)
+    later = first.filter("DATE >= '2021-09-01' AND SKU % 2 = 0")
+    again = later.withColumn("SALES_UNITS", F.col("SALES_UNITS") * 2)
+    new = later.withColumn("SKU", -F.col("SKU") - 1)
+    for _ in range(2):  # the same batch twice is the same as once
+        merge.merge_rows(again.unionByName(new), path, by=by)
+    return spark.read.parquet(path)
+
+
+@query
+def densify_batches(spark, sf_dir):
+    """The snapshot in three batches, each merged into the densified table by rows."""
+    path, by = work_dir(spark, "densified"), ("MONTH",)
+    snapshot = one(spark, sf_dir, "inventory_snapshot").filter("DATE IS NOT NULL")
+    state = snapshot.limit(0)
+    for first, last in (("2021-01-01", "2021-04-10"), ("2021-04-11", "2021-09-30"),
+                        ("2021-10-01", "2022-12-31")):
+        batch = inventory.densify_batch(snapshot.filter(F.col("DATE").between(first, last)), state)
+        month = F.trunc("DATE", "month")
+        merge.merge_rows(batch.rows.withColumn("MONTH", month), path, by=by)
+        state = materialize(batch.state, "state")
+    return spark.read.parquet(path).drop("MONTH")
+
+
 @query
 def merge_partitions(spark, sf_dir):
     """Monthly partitions; a later batch replaces those from September on."""

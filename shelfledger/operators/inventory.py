@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfledger.functions.measures import closing_total, opening_total
 from shelfledger.operators.facts import KEYS
+from shelfledger.operators.joins import same_key
 
 SERIES = ["SKU", "LOCATION"]
 _OPENING = {"IP_QTY_BOP_INV": "IP_QTY_EOP_INV", "IP_QTY_BOP_INTRANS": "IP_QTY_EOP_INTRANS"}
@@ -125,3 +128,46 @@ def densify_inventory(df: DataFrame) -> DataFrame:
         "IP_QTY_BOP_SOH": total_open - transit_open,
         "IP_QTY_EOP_SOH": total_close - transit_close,
     })
+
+
+@dataclass(frozen=True)
+class DensifiedBatch:
+    """``rows`` to put in place of those of the same keys, and the ``state`` for the next batch."""
+
+    rows: DataFrame
+    state: DataFrame
+
+
+def last_days(df: DataFrame) -> DataFrame:
+    """All snapshot rows of the last day of each series: what a later batch hangs on to."""
+    last = df.filter("DATE IS NOT NULL").groupBy(*SERIES).agg(F.max("DATE").alias("DATE"))
+    return df.alias("s").join(last.alias("l"), same_key("s", "l", KEYS), "left_semi")
+
+
+def densify_batch(batch: DataFrame, state: DataFrame) -> DensifiedBatch:
+    """``densify_inventory`` of a snapshot that comes in batches of later and later days.
+
+    ``state`` holds the rows of each series' last day so far, as they were delivered. The days
+    of the batch follow it: the last day gets its closing now that the next one is known, and the
+    days between are filled. ``rows`` has these and the days of the batch, for series that the
+    batch has; they replace rows of equal keys (``merge.merge_rows``). All batches together give
+    what one densified whole gives. The batch may deliver a series' last day again, but a day
+    before it stops the job, for what was closed then is not in the state.
+    """
+    ours = state.alias("s").join(
+        batch.filter("DATE IS NOT NULL").select(*SERIES).distinct().alias("b"),
+        same_key("s", "b", SERIES), "left_semi",
+    )
+    closed = state.select(*SERIES, "DATE").distinct()
+    late = batch.alias("b").join(
+        closed.alias("c"), same_key("b", "c", SERIES) & (F.col("b.DATE") < F.col("c.DATE")),
+        "left_semi",
+    ).select(*KEYS).head(1)
+    if late:
+        raise ValueError(f"a day before the last one of its series: {tuple(late[0])}")
+    columns = state.columns
+    whole = ours.unionByName(batch.select(*columns))
+    return DensifiedBatch(
+        densify_inventory(whole), last_days(state.unionByName(batch.select(*columns)))
+    )
+

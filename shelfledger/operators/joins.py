@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,3 +23,11 @@ def skew_safe_left_join(left: DataFrame, right: DataFrame, keys: list[str]) -> D
     )
     added = [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)
+
+
+def same_key(left: str, right: str, columns: list[str] | tuple[str, ...]) -> Column:
+    """Rows of two aliases are equal in the columns, a NULL being equal to a NULL."""
+    condition = F.lit(True)
+    for c in columns:
+        condition = condition & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return condition

@@ -19,6 +19,7 @@ from shelfledger.operators.carriers import carrier_arrivals
 from shelfledger.operators.checks import denorm_checks, require_clean
 from shelfledger.operators.conform import GROUP
 from shelfledger.operators.inventory import densify_inventory
+from shelfledger.operators.ledger import admit, read_ledger, write_ledger
 from shelfledger.operators.merge import merge_denorm
 from shelfledger.operators.routing import missing_mandatory, route_files
 from shelfledger.operators.runlog import missing_from_log, require_same, run_log_rows
@@ -57,20 +58,35 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
     The days are those stated, else those that files came for. A stated calendar must agree
     with the earlier log, where there is one, on the days both name.
+
+    With ``--ledger_path`` only files that no earlier run took are accepted, and those of a day
+    that lacks a required table wait until a later run completes it. The ledger is written last:
+    a run that fails before is as if it had not been.
     """
     required = _listed(args.required_tables, REQUIRED_TABLES)
     extensions = _listed(args.extensions, PERMITTED_EXTENSIONS)
     holidays = _listed(args.holidays, HOLIDAYS)
+    run_date = args.run_date or run_day()
+    run_id = args.run_id or run_date
     manifest = file_manifest(spark, args.input_path)
     routes = materialize(route_files(manifest, extensions=extensions), "routes")
     accepted = routes.filter("class = 'all_valid'")
+    admission = None
+    if args.ledger_path:
+        drop = accepted.join(manifest, "path")
+        admission = admit(drop, read_ledger(spark, args.ledger_path), run_id, required)
+        came = materialize(admission.missing, "missing")
+        accepted = accepted.withColumn("day", day_text(F.col("file_date"))).join(
+            admission.taken.select("path", F.col("file_date").alias("day")), ["path", "day"],
+            "left_semi",
+        ).drop("day")
+    else:
+        came = materialize(missing_mandatory(accepted.select("path"), required), "missing")
     write_csv(accepted, f"{args.output_path}/routes")
     write_csv(routes.filter("class <> 'all_valid'"), f"{args.error_path}/routes")
-    came = materialize(missing_mandatory(accepted.select("path"), required), "missing")
     stated = _missing(spark, args.date_missing_files) if args.date_missing_files else None
     write_csv(came if stated is None else _with_stated(came, stated), f"{args.output_path}/missing")
     days = (came if stated is None else stated).select("file_date")
-    run_date = args.run_date or run_day()
     if args.earlier_log:
         log = _table(spark, args.earlier_log)
         if stated is not None and args.check_log:
@@ -80,10 +96,13 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
                 missing_from_log(log, stated),
             )
         days = plan_dates(log, days, run_date, holidays)
+    # one folder per run, so a run that is repeated replaces its own rows
     write_csv(
         run_log_rows(manifest, days, run_date, required=required, extensions=extensions),
-        args.log_path, "append",
+        f"{args.log_path}/run={run_id}",
     )
+    if admission is not None:
+        write_ledger(admission.ledger, args.ledger_path)
 
 
 def _with_stated(came: DataFrame, stated: DataFrame) -> DataFrame:
@@ -155,7 +174,7 @@ def run_merge(spark: SparkSession, args: argparse.Namespace) -> None:
     groups = args.location_group_list
     merge_denorm(
         spark, args.source_path, args.dest_path,
-        [float(g) for g in groups.split(",")] if groups else None,
+        [float(g) for g in groups.split(",")] if groups else None, args.by_rows == "Y",
     )
 
 
@@ -164,8 +183,8 @@ STAGES = {
     "ingest": (
         ingest,
         ["date_missing_files?", "input_path", "error_path", "output_path", "log_path",
-         "run_date?", "earlier_log?", "check_log?", "required_tables?", "extensions?",
-         "holidays?"],
+         "run_date?", "run_id?", "earlier_log?", "check_log?", "required_tables?", "extensions?",
+         "holidays?", "ledger_path?"],
     ),
     "validate": (
         run_validation,
@@ -186,12 +205,15 @@ STAGES = {
         run_check,
         ["source_path", "src_path", "historical_mode", "mapping_path?", "location_groups?"],
     ),
-    "merge": (run_merge, ["source_path", "dest_path", "location_group_list?"]),
+    "merge": (run_merge, ["source_path", "dest_path", "location_group_list?", "by_rows?"]),
 }
 #: What a stage does beyond its name, for the command line's help.
 HELP = {
-    "merge": "replace whole (store group, day) partitions by those of the batch; a partial "
-    "delivery of a day replaces the whole day",
+    "merge": "replace whole (store group, day) partitions by those of the batch, so that a partial "
+    "delivery of a day replaces the whole day; with --by_rows Y only rows of the same item, store "
+    "and day are replaced",
+    "ingest": "route the dropped files; with --ledger_path take each file once, and only when its "
+    "day is complete",
 }
 
 
