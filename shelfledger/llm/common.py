@@ -48,10 +48,17 @@ def noted(paths: list[str]) -> Iterator[None]:
 def cleared(spark: SparkSession, paths: list[str]) -> None:
     """Deletes tables that nothing reads any more."""
     while paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        name = paths.pop()
+        spark.sql(f"DROP TABLE IF EXISTS {_table_at(name)}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _table_at(path: str) -> str:
+    """The name of a table in the catalog whose files lie at the path."""
+    return "".join(c if c.isalnum() else "_" for c in path.rstrip("/").rsplit("/", 1)[-1])
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows from a table in the shared folder: computed once, with no lineage."""
     path = shared_path(df.sparkSession, name)
@@ -61,6 +68,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``written``, dealt into buckets by ``key``: joins on the key don't move its rows again."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    if _NOTES:
+        _NOTES[-1].append(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key).option(
+        "path", path
+    ).saveAsTable(_table_at(path))
+    return spark.table(_table_at(path))
+
+
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

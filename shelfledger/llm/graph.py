@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import written
+from shelfledger.llm.common import cleared, noted, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,11 +16,13 @@ def components(links: DataFrame) -> DataFrame:
     node with many links. Rounds end when the edges no longer change, after about the logarithm
     of the longest path.
     """
-    edges = written(
-        links.where("a <> b").select(
-            F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-        ).distinct(), "edges",
-    )
+    spark, before = links.sparkSession, []
+    with noted(before):
+        edges = written(
+            links.where("a <> b").select(
+                F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
+            ).distinct(), "edges",
+        )
     mark = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -28,18 +30,24 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         ).where("u <> v").distinct()
-        large = written(large, "edges")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        edges = written(
-            large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct(), "edges",
-        )
+        now_written: list[str] = []
+        with noted(now_written):
+            large = written(large, "edges")
+            low = large.groupBy("u").agg(F.min("v").alias("m"))
+            edges = written(
+                large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                .where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct(), "edges",
+            )
         now = tuple(edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first())
+        cleared(spark, before)  # the edges of the round before have been read
+        before = now_written
         if now == mark:
             break
         mark = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
+    found = written(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    )
+    ), "labels")
+    cleared(spark, before)
+    return found

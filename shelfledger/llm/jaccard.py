@@ -8,11 +8,11 @@
   as t share one of them. Unlike pivots that are documents, these tell unrelated texts apart:
   nearly all pairs of documents are at distance 1 and would be in every window.
 * Pivots that are documents, in regions that many documents share. There the distances differ:
-  a region is cut into rings around its pivot as wide as the radius 1 - t, and by the triangle
-  inequality a ring's documents link within it or to the next ring, whose documents are
-  replicated to it. Documents in the ball of the pivot link to it, so their mutual links need
-  no look. Regions that stay large are parted again around another pivot; what is left is
-  compared in blocks.
+  all documents of a region are compared with some pivots, and those that links connect
+  already need no look at each other. A region with many others is cut into rings around one of
+  them as wide as the radius 1 - t: by the triangle inequality a ring's documents link within
+  it or to the next ring, whose documents are replicated to it. What is left is compared in
+  blocks, the unconnected documents with all.
 
 Every candidate is verified on whole shingle sets, so the result is exact.
 """
@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm.batches import (
-    list_array, lowered, map_texts, mixed, shingle_hashes, small_batches, text_bytes,
+    list_array, lowered, map_texts, mixed, shingle_hashes, slices, small_batches, text_bytes,
     word_hashes,
 )
-from shelfledger.llm.common import documents, written
+from shelfledger.llm.common import cleared, documents, noted, written, written_by
 from shelfledger.llm.graph import components
 
 #: The most frequent shingles come last in the order of rarity; so many at most are told apart
@@ -39,14 +39,21 @@ from shelfledger.llm.graph import components
 FREQUENT = 1 << 16
 #: Documents from which on a shingle is frequent.
 LEAST_FREQUENT = 16
+#: Shingles of a document all of which may be in its window.
+SHORT = 64
+#: Shingles that a task counts before it reports the frequent ones.
+STRETCH = 1 << 22
 #: Documents of a region that are compared in pairs at once.
 REGION = 32
 #: Documents of a block in larger regions.
 BLOCK = 256
-#: How often a large region is parted around another pivot.
+#: Documents of a large region that all others are compared with first.
+PIVOTS = 64
+#: How often a region with many unconnected documents is parted into rings around one of them.
 DEPTH = 2
-#: Bits of the filter that picks the documents whose sets are needed.
-FILTER_BITS = 24
+#: The filter that picks the documents whose sets are needed has 2 to the power of so many bits at
+#: most, 32 MB; beyond some 100 million of them more sets than needed leave the scan.
+FILTER_BITS = 28
 
 
 @dataclass(frozen=True)
@@ -90,21 +97,38 @@ def _keys(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def frequent_shingles(docs: DataFrame, like: Likeness) -> np.ndarray:
-    """The most frequent shingles among those with low hashes, counted over all documents.
+    """The most frequent shingles among those that windows are taken from: those with low hashes,
+    and those of short documents.
 
-    Windows are taken from the low hashes, so the others hardly ever matter.
+    All documents are counted; a shingle that a stretch of a task meets once only is left out of
+    what the task reports, since most are, and only an order is wanted: any gives the same result.
     """
     zone = np.uint64(int(min(0.999, 1.3 * like.radius + 0.005) * 2.0**64))
 
-    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, _ = _sets(batch, like.width)
-        low, n = np.unique(tokens[tokens < zone], return_counts=True)
+    def reported(held: list[np.ndarray]) -> pa.RecordBatch:
+        token, n = np.unique(np.concatenate(held), return_counts=True)
+        several = n > 1
         return pa.RecordBatch.from_arrays(
-            [pa.array(low.view(np.int64)), pa.array(n.astype(np.int32))], names=["token", "n"]
+            [pa.array(token[several].view(np.int64)), pa.array(n[several].astype(np.int64))],
+            names=["token", "n"],
         )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in slices(batches, "text"):
+            tokens, starts = _sets(batch, like.width)
+            n = np.diff(starts)
+            held.append(tokens[(tokens < zone) | (np.repeat(n, n) < SHORT)])
+            size += len(held[-1])
+            if size > STRETCH:
+                yield reported(held)
+                held, size = [], 0
+        if held:
+            yield reported(held)
+
+    small_batches(docs.sparkSession)
     found = (
-        map_texts(docs.select("text"), "text", counted, "token long, n int")
+        docs.select("text").mapInArrow(run, "token long, n long")
         .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT)
         .orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
     )
@@ -144,25 +168,27 @@ def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
 
 
 def needed_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame:
-    """(cid, n, tokens) of the classes ``needed(cid, k1, k2, n)``.
+    """(cid, n, tokens) of the classes ``needed(cid, k1, k2, n, first)``, dealt by cid.
 
-    A filter of 2 ** FILTER_BITS bits over the keys is made on the executors and sent along;
-    only sets that pass it leave the scan, and the keys themselves decide after that.
+    A filter over keys and ids is made on the executors and sent along, so that of each class
+    only the document named ``first`` leaves the scan, with few others; the keys themselves
+    decide after that. The filter has 16 bits per class, 2 ** FILTER_BITS bits at most.
     """
-    slot = F.col("k1").bitwiseAND((1 << FILTER_BITS) - 1)
+    log = min(FILTER_BITS, max(10, (16 * needed.count()).bit_length()))
+    slot = F.col("k1").bitwiseXOR(F.xxhash64("first")).bitwiseAND((1 << log) - 1)
     words = needed.select(
         F.shiftright(slot, 5).alias("word"),
         F.call_function(
             "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")
         ).alias("bit"),
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2 ** 19 rows at most
-    bits = np.zeros(1 << (FILTER_BITS - 5), dtype=np.uint32)
+    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(1 << (log - 5), dtype=np.uint32)
     bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
 
     def passing(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens, starts = _sets(batch, like.width)
         k1, k2 = _keys(tokens, starts)
-        at = k1 & np.uint64((1 << FILTER_BITS) - 1)
+        at = (k1 ^ batch.column("id").to_numpy().view(np.uint64)) & np.uint64((1 << log) - 1)
         hit = (bits[(at >> np.uint64(5)).astype(np.int64)]
                >> (at & np.uint64(31)).astype(np.uint32)) & 1 > 0
         n = np.diff(starts)
@@ -176,11 +202,13 @@ def needed_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame
         )
 
     found = map_texts(
-        docs.select("text"), "text", passing, "k1 long, k2 long, n int, tokens array<long>"
+        docs.select("text", F.xxhash64("doc_id").alias("id")), "text", passing,
+        "k1 long, k2 long, n int, tokens array<long>",
     )
-    return found.join(needed, ["k1", "k2", "n"]).groupBy("cid").agg(
+    sets = found.join(needed.select("cid", "k1", "k2", "n"), ["k1", "k2", "n"]).groupBy("cid").agg(
         F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")
     )
+    return written_by(sets, "sets", "cid")
 
 
 # --------------------------------------------------------------------------- verification
@@ -201,9 +229,17 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def with_common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs(a, b, ...)`` with na, nb and the size of the intersection as ``common``."""
-    a = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("_ta"))
+def with_common(
+    pairs: DataFrame, sets: DataFrame, sets_a: DataFrame | None = None
+) -> DataFrame:
+    """``pairs(a, b, ...)`` with na, nb and the size of the intersection as ``common``.
+
+    ``sets`` is dealt by cid and stays where it is. ``sets_a`` may hold those of ``a`` alone, for
+    pairs in which one ``a`` may have many ``b``.
+    """
+    a = (sets if sets_a is None else sets_a).select(
+        F.col("cid").alias("a"), F.col("tokens").alias("_ta")
+    )
     b = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("_tb"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,95 +314,165 @@ def region_pairs(shared: DataFrame, like: Likeness) -> DataFrame:
     )
 
 
-def part_around(cells: DataFrame, sets: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
-    """Parts ``cells(cell, pivot, cid)`` into rings around each cell's pivot.
+def part_around(cells: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Parts ``cells(cell, pivot, cid, label)`` into rings around each cell's pivot.
 
-    Returns the links to pivots (a, b) and the parts (cell, cid, at, ball, core): ``at`` is the
-    distance, ``ball`` names the pivot of a document that links to it, ``core`` tells the
+    Returns the parts (cell, cid, label, at, core): ``at`` is the distance, ``core`` tells the
     documents of a ring from those of the next ring, which are replicated.
     """
-    met = written(with_common(
-        cells.select(F.col("pivot").alias("a"), F.col("cid").alias("b"), "cell"), sets
-    ), "met")
+    pivots = written(sets.join(
+        cells.select(F.col("pivot").alias("cid")).distinct(), "cid", "left_semi"
+    ), "pivots")
+    met = with_common(cells.select(
+        F.col("pivot").alias("a"), F.col("cid").alias("b"), "cell", "label"
+    ), sets, pivots)
     away = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
     ring = F.floor(away / like.radius + 1e-9).cast("int")
-    parts = met.select(
-        "cell", F.col("b").alias("cid"), away.alias("at"),
-        F.when(linked(like), F.col("a")).alias("ball"), ring.alias("ring"),
+    return met.select(
+        "cell", F.col("b").alias("cid"), "label", away.alias("at"), ring.alias("ring")
     ).select(
-        "cell", "cid", "at", "ball", F.explode(F.array(
+        "cell", "cid", "label", "at", F.explode(F.array(
             F.struct(F.col("ring").alias("ring"), F.lit(True).alias("core")),
             F.struct((F.col("ring") - 1).alias("ring"), F.lit(False).alias("core")),
         )).alias("r"),
     ).where("r.ring >= 0").select(
-        F.xxhash64("cell", "r.ring").alias("cell"), "cid", "at", "ball", "r.core"
+        F.xxhash64("cell", "r.ring").alias("cell"), "cid", "label", "at", "r.core"
+    )
+
+
+def pivot_links(cells: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Links (a, b) between the documents of ``cells(cell, cid, held)`` and PIVOTS or so of each
+    cell, chosen by hash. The pivots are sent to each block of the cell's documents."""
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    chosen = F.pmod(F.xxhash64("cid", "cell"), F.col("held")) < PIVOTS
+    here = F.struct(F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("i"), F.lit(1).alias("own"))
+    there = F.transform(
+        F.sequence(F.lit(0), blocks - 1), lambda x: F.struct(x.alias("i"), F.lit(0).alias("own"))
+    )
+    dealt = cells.select(
+        "cell", "cid", F.explode(F.when(chosen, F.concat(F.array(here), there)).otherwise(
+            F.array(here))).alias("g"),
+    ).select(
+        "cell", "cid", F.col("g.i").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("kind"),
+        F.col("g.own").alias("own"), F.col("cid").alias("label"), F.lit(0.0).alias("at"),
+        F.lit(True).alias("core"),
     )
-    return met.where(linked(like) & (F.col("a") != F.col("b"))).select("a", "b"), parts
+    return _met_in_groups(dealt, sets, like)
+
+
+def _with_labels(cells: DataFrame, links: DataFrame) -> DataFrame:
+    """``cells`` with the component that ``links`` put a document in, itself if in none."""
+    known = components(links).select(F.col("node").alias("cid"), F.col("label").alias("_label"))
+    return cells.join(known, "cid", "left").select(
+        *cells.columns, F.coalesce("_label", "cid").alias("label")
+    )
+
+
+def _sized(parts: DataFrame) -> DataFrame:
+    """Parts with ``held`` documents, of which ``open`` are not of the component that most
+    are of, ``major``; ``pivot`` is an open one. Parts that need no look are left out."""
+    sizes = parts.groupBy("cell", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("core").alias("cores"),
+        F.min(F.struct(F.xxhash64("cid").alias("h"), "cid")).alias("least"),
+    ).groupBy("cell").agg(
+        F.sum("n").alias("held"), F.sum("cores").alias("cores"),
+        F.max(F.struct("n", "label", "least")).alias("top"),
+        F.min_by("least", F.struct("n", "label")).alias("least"),
+    ).select(
+        "cell", "held", (F.col("held") - F.col("top.n")).alias("open"),
+        F.col("top.label").alias("major"), F.col("least.cid").alias("pivot"), "cores",
+    ).where("open > 0 and cores > 0").drop("cores")
+    return parts.join(sizes, "cell")
+
 
+def region_links(
+    shared: DataFrame, sets: DataFrame, like: Likeness, links: DataFrame
+) -> list[DataFrame]:
+    """Links (a, b) within regions of more than REGION documents: with ``links`` enough of them to
+    connect all documents that the region's links connect.
 
-def region_links(shared: DataFrame, sets: DataFrame, like: Likeness) -> list[DataFrame]:
-    """Links (a, b) within regions of more than REGION documents: enough of them to connect
-    all documents that the region's links connect."""
+    Documents that are connected already need no look at each other. Links to some pivots connect
+    most of a group of near copies, so what remains is to meet the few others, the open ones. A
+    region with many open documents is parted into rings around one of them, and again.
+    """
     cells = written(
         shared.where(F.col("held") > REGION).select(
-            F.xxhash64("pivot").alias("cell"), "pivot", "cid"
+            F.xxhash64("pivot").alias("cell"), "cid"
         ).distinct(), "cells",
     )
-    links, leaves = [], []
-    for level in range(DEPTH):
-        found, parts = part_around(cells, sets, like)
-        parts = written(parts, "parts")
-        links.append(found)
-        sizes = parts.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("held"),
-            F.min(F.when(F.col("core"), F.struct(
-                F.xxhash64("cid", F.lit(level)).alias("h"), "cid"
-            ))).alias("least"),
-            F.max(F.col("core") & F.col("ball").isNull()).alias("open"),
-            F.max(~F.col("core")).alias("more"),
-        ).where("held > 1 and least is not null and (open or more)").select(
-            "cell", "held", F.col("least.cid").alias("pivot")
-        )
-        sized = written(parts.join(sizes, "cell"), "sized")
-        deep = sized.where(F.col("held") > BLOCK) if level + 1 < DEPTH else None
-        leaves.append(
-            sized if deep is None else sized.where(F.col("held") <= BLOCK)
-        )
-        if deep is None or deep.isEmpty():
-            break
-        cells = deep.select("cell", "pivot", "cid")
-    return links + [block_links(leaf, sets, like) for leaf in leaves]
+    held = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("held"))
+    found = [written(pivot_links(cells.join(held, "cell"), sets, like), "pivot-links")]
+    parts = _with_labels(cells, links.union(found[0])).withColumns({
+        "at": F.lit(0.0), "core": F.lit(True)
+    })
+    for level in range(DEPTH + 1):
+        sized = written(_sized(parts), "sized")
+        fits = (F.col("held") <= BLOCK) | (F.col("open") <= BLOCK)
+        if level == DEPTH or sized.where(~fits).isEmpty():
+            return [*found, block_links(sized, sets, like)]
+        found.append(block_links(sized.where(fits), sets, like))
+        deep = sized.where(~fits).select("cell", "pivot", "cid", "label")
+        parts = written(part_around(deep, sets, like), "parts")
+    return found
 
 
 def block_links(parts: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """Compares the documents of each part (cell, cid, at, ball, core, held) in blocks.
+    """Compares the documents of each part (cell, cid, label, at, core, held, open, major).
 
-    A part is dealt into blocks of about BLOCK documents by their hash, and each two blocks
-    meet in a group of their own, so no task holds a large part. From a group come only as
+    Open documents and the others are dealt into blocks of about BLOCK by their hash. Two blocks
+    meet in a group of their own, so no task holds a large part; the others, which are connected,
+    meet open ones only. A part of at most BLOCK documents is one group. From a group come only as
     many links as connect its documents.
     """
-    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cid"), blocks).cast("int")
-    dealt = parts.withColumns({"blocks": blocks, "own": own}).select(
-        "cell", "cid", "at", "ball", "core", "own",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
-    ).select(
-        "cell", "cid", "at", "ball", "core", "own",
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-    ).join(sets.select("cid", "tokens"), "cid")
+    is_open = F.col("label") != F.col("major")
+
+    def blocks(n: Column) -> Column:
+        return F.ceil(n / BLOCK).cast("int")
+
+    open_blocks, other_blocks = blocks(F.col("open")), blocks(F.col("held") - F.col("open"))
+    own = F.pmod(F.xxhash64("cid"), F.when(is_open, F.col("ob")).otherwise(F.col("mb"))).cast("int")
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
 
+    def group(kind: int, i: Column, j: Column, side: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), side.alias("own")
+        )
+
+    zero = F.lit(0)
+    among_open = F.transform(upto("ob"), lambda x: group(
+        1, F.least("block", x), F.greatest("block", x), F.col("block")))
+    to_others = F.transform(upto("mb"), lambda x: group(2, F.col("block"), x, zero))
+    from_others = F.transform(upto("ob"), lambda x: group(2, x, F.col("block"), F.lit(1)))
+    groups = (
+        F.when(F.col("held") <= BLOCK, F.array(group(0, zero, zero, zero)))
+        .when(is_open, F.concat(among_open, to_others)).otherwise(from_others)
+    )
+    dealt = parts.withColumns({"ob": open_blocks, "mb": other_blocks}).withColumn(
+        "block", own
+    ).select("cell", "cid", "label", "at", "core", F.explode(groups).alias("g")).select(
+        "cell", "cid", "label", "at", "core", "g.*"
+    )
+    return _met_in_groups(dealt, sets, like)
+
+
+def _met_in_groups(dealt: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
+    """Links (a, b) of the groups (cell, kind, i, j), between documents of different sides."""
     def met(table: pa.Table) -> pa.Table:
         a, b = _group_links(table, like)
         return pa.table({"a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
 
-    return dealt.groupBy("cell", "i", "j").applyInArrow(met, "a long, b long")
+    return dealt.join(sets.select("cid", "tokens"), "cid").groupBy(
+        "cell", "kind", "i", "j"
+    ).applyInArrow(met, "a long, b long")
 
 
 def _group_links(table: pa.Table, like: Likeness) -> tuple[list[int], list[int]]:
     cid = table.column("cid").to_numpy()
     at = table.column("at").to_numpy()
     core = table.column("core").to_numpy()
-    ball = table.column("ball").fill_null(-1).to_numpy()
+    label = table.column("label").to_numpy()
     own = table.column("own").to_numpy()
     sets = _tokens(table.column("tokens"))
     n = np.array([len(s) for s in sets])
@@ -392,7 +498,7 @@ def _group_links(table: pa.Table, like: Likeness) -> tuple[list[int], list[int]]
     hit = like.den * common.astype(np.float64) >= like.num * both
     hit &= core[:, None] | core[None, :]
     hit &= np.abs(at[:, None] - at[None, :]) <= like.radius + 1e-6
-    hit &= ~((ball[:, None] == ball[None, :]) & (ball[:, None] >= 0))
+    hit &= label[:, None] != label[None, :]
     if own.min() != own.max():
         hit &= own[:, None] != own[None, :]
     one, two = np.nonzero(np.triu(hit, 1))
@@ -427,23 +533,31 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     An empty table gives no rows. Shingles are compared as 64-bit hashes.
     """
     docs = docs.select("doc_id", "text")
+    spark, gone = docs.sparkSession, []
     signed = written(signatures(docs, like), "signatures")
     classes = written(
         signed.where("n > 0").groupBy("k1", "k2", "n").agg(
             F.min("doc_id").alias("first"), F.any_value("rare").alias("rare")
         ).withColumn("cid", F.monotonically_increasing_id()), "classes",
     )
-    shared = written(regions(classes), "regions")
-    pairs = written(region_pairs(shared, like), "pairs")
-    members = shared.where(F.col("held") > REGION).select("cid").union(
-        pairs.select("a")
-    ).union(pairs.select("b")).distinct()
-    needed = written(classes.select("cid", "k1", "k2", "n").join(members, "cid"), "needed")
-    sets = written(needed_sets(docs, needed, like), "sets")
-    links = with_common(pairs, sets).where(linked(like)).select("a", "b")
-    for more in region_links(shared, sets, like):
-        links = links.union(more)
-    found = components(written(links, "links"))
+    with noted(gone):
+        shared = written(regions(classes), "regions")
+        pairs = written(region_pairs(shared, like), "pairs")
+        members = shared.where(F.col("held") > REGION).select("cid").union(
+            pairs.select("a")
+        ).union(pairs.select("b")).distinct()
+        needed = written(
+            classes.select("cid", "k1", "k2", "n", "first").join(members, "cid"), "needed"
+        )
+        sets = needed_sets(docs, needed, like)
+        links = written(
+            with_common(pairs, sets).where(linked(like)).select("a", "b"), "pair-links"
+        )
+        for more in region_links(shared, sets, like, links):
+            links = links.union(more)
+    links = written(links, "links")
+    cleared(spark, gone)  # what led to the links has been read
+    found = components(links)
     named = written(found.join(
         classes.select(F.col("cid").alias("node"), "first"), "node"
     ), "named")
