@@ -7,8 +7,10 @@ for cutting documents come from one pass over the candidates: the best earlier c
 of a monotone queue, because a window's padding is linear in where it begins. Windows whose
 length is a power of two need no padding and are looked up beside it.
 
-Each partition is packed for itself in one pass, so there is no shuffle, no hot key and no
-memory beyond a few windows of text; what it costs is one unfilled sequence per partition.
+Each partition is packed for itself in one pass, so there is no shuffle and no hot key; what it
+costs is one unfilled sequence per partition. Cuts are given out as soon as what follows can't
+change them, so they are the cheapest of the whole partition; until then a worker keeps the ids
+(measured: up to a million, 4 MB; at worst those of the partition).
 """
 
 from __future__ import annotations
@@ -16,18 +18,19 @@ from __future__ import annotations
 import json
 import os
 import re
-import sys
-from array import array
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from shelfledger.llm.batches import slices, small_batches
+from shelfledger.llm.batches import IS_BLANK, runs_of, slices, small_batches, text_bytes
 from shelfledger.llm.common import documents
 
 #: Tokens of a sequence.
@@ -41,36 +44,77 @@ AT_LINE, AT_SENTENCE, ANYWHERE = 1.0, 2.0, 8.0
 LONGEST = 32
 #: Lengths without padding that are looked for.
 POWERS = (256, 512, 1024, 2048)
-#: Tokens planned together; the last windows of a plan are planned again with what follows.
-PLANNED, REPLANNED = 1 << 18, 4
-#: Words, and pieces of words, whose ids a worker remembers.
+#: Words whose ids a worker remembers.
 REMEMBERED = 400_000
 
 
-#: How the tokenizers that ``Tokens`` has a short way for part a text.
+#: How the tokenizers that ``Tokens`` has a short way for part a text, and what
+#: they put behind the last letter of a piece.
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_LAST = "</w>"
 #: The same for lower-case words of ASCII and Latin letters, which _LATIN tells from others.
 _LATIN_SPLIT = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+"
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9\n]+"
 )
 _LATIN = re.compile("[!-~À-ÖØ-öø-įıĲ-ſ]+")
+#: Stands for _LAST in bytes; no word of _LATIN holds it.
+_MARK = "\x01"
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> list[str]:
     """Byte-level tokenizers write a byte as a letter: a printable one as itself, the others
     in turn from 256 on."""
     itself = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in itself]
-    return {b: 256 + n for n, b in enumerate(others)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in itself else chr(next(others)) for b in range(256)]
+
+
+class LatinMerges:
+    """The merges of a tokenizer on many words at once.
+
+    A piece of a word is its bytes and _MARK. The first merges join a byte and the mark, the
+    others come in the order of the file, so the merging of equal bytes is that of the tokenizer:
+    what two symbols make is made of no other two (tested for the whole vocabulary).
+    """
+
+    def __init__(self, vocab: dict[str, int], merges: list):
+        import tiktoken
+
+        letters = _byte_letters()
+        code = {c: b for b, c in enumerate(letters)}
+        made = [(c, bytes([b])) for b, c in enumerate(letters)]
+        made += [(c + _LAST, bytes([b]) + _MARK.encode()) for b, c in enumerate(letters)]
+        for pair in merges:
+            token = "".join(pair if isinstance(pair, list) else pair.split(" "))
+            last = token.endswith(_LAST)
+            text = bytes(code[c] for c in (token.removesuffix(_LAST) if last else token))
+            made.append((token, text + (_MARK.encode() if last else b"")))
+        self.id = np.array([vocab[token] for token, _ in made], dtype="<u4")
+        self.size = np.array([len(text) for _, text in made])
+        self.coder = tiktoken.Encoding(
+            "words", pat_str=f"[^{_MARK}\n]+{_MARK}",
+            mergeable_ranks={text: rank for rank, (_, text) in enumerate(made)}, special_tokens={},
+        )
+        if len(self.coder._mergeable_ranks) != len(made):
+            raise ValueError("two merges make the same symbol")
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words on end, and how many each has."""
+        text = _LATIN_SPLIT.sub(r"\g<0>" + _MARK, "\n".join(words).lower())
+        ranks = np.array(self.coder.encode_ordinary(text), dtype=np.int64)
+        line_ends = np.flatnonzero(np.frombuffer(text.encode() + b"\n", dtype=np.uint8) == 10)
+        letters = line_ends - np.arange(len(words))  # up to the end of each word
+        ends = np.searchsorted(np.cumsum(self.size[ranks]), letters, side="right")
+        return self.id[ranks], np.diff(ends, prepend=0)
 
 
 class Tokens:
     """Ids of texts word by word: the tokenizer never joins what blanks separate, so a word's
-    ids are the same in any text.
+    ids are the same in any text, and are remembered.
 
-    Where the tokenizer parts text as _SPLIT says, lower-cased and by bytes, a word of Latin
-    letters goes to its merges piece by piece, and pieces are remembered too. Other words, and
-    all words of other tokenizers, go through the tokenizer as a whole.
+    Where the tokenizer parts text as _SPLIT says, lower-cased and by bytes, words of Latin
+    letters go to its merges at once. Other words, and all words of other tokenizers, go through
+    the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -78,96 +122,114 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.letters = _byte_letters()
+        self.forget()
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
+        model = stated["model"]
         steps = [n["type"] for n in (stated["normalizer"] or {}).get("normalizers", [])]
         parts = (stated["pre_tokenizer"] or {}).get("pretokenizers", [])
-        self.by_pieces = (
+        by_merges = (
             steps == ["NFC", "Replace", "Lowercase"] and len(parts) == 2
             and parts[0].get("pattern") == {"Regex": _SPLIT} and parts[0].get("invert") is True
             and parts[1]["type"] == "ByteLevel" and not parts[1]["use_regex"]
             and not parts[1]["add_prefix_space"]
-            and array("I").itemsize == 4 and sys.byteorder == "little"
+            and model["type"] == "BPE" and model["end_of_word_suffix"] == _LAST
+            and not model["ignore_merges"] and not model["dropout"]
         )
+        self.latin = LatinMerges(model["vocab"], model["merges"]) if by_merges else None
         special = "|".join(re.escape(t["content"]) for t in stated["added_tokens"])
-        self.special = re.compile((special or "(?!)").encode())
-
-    def _merged(self, word: str) -> bytes:
-        out = []
-        for piece in _LATIN_SPLIT.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                letters = piece if piece.isascii() else (
-                    piece.encode().decode("latin-1").translate(self.letters)
-                )
-                ids = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
-                self.pieces[piece] = ids
-            out.append(ids)
-        return out[0] if len(out) == 1 else b"".join(out)
-
-    def learn(self, words: set[bytes]) -> None:
-        """Looks up the ids of words that are not remembered yet, in large batches."""
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known, fresh = {}, list(words)
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        whole = fresh
-        if self.by_pieces:
-            whole, special, latin = [], self.special.search, _LATIN.fullmatch
-            for w in fresh:
-                text = w.decode("utf-8", "replace")
-                if latin(text) and not special(w):
-                    self.known[w] = self._merged(text)
-                else:
-                    whole.append(w)
-        for at in range(0, len(whole), 20_000):
-            part = whole[at:at + 20_000]
+        self.special = re.compile(special or "(?!)")
+
+    @classmethod
+    def shared(cls, path: str) -> Tokens:
+        """The one of this worker process, with the words it has learnt in other tasks. It is
+        kept at a module that is imported, since this one travels with each task."""
+        import tokenizers
+
+        kept = tokenizers.__dict__.setdefault("_tokens_of_words", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    def forget(self) -> None:
+        #: Words by their number, and the ids of word n: those from starts[n] to starts[n + 1].
+        self.known: dict[str, int] = {}
+        self.ids, self.starts = np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        latin, others = [], words
+        if self.latin is not None:
+            plain, special = _LATIN.fullmatch, self.special.search
+            latin = [w for w in words if plain(w) and not ("<" in w and special(w))]
+            if len(latin) < len(words):
+                taken = set(latin)
+                others = [w for w in words if w not in taken]
+            else:
+                others = []
+        ids, sizes = [self.ids], []
+        if latin:
+            found, n = self.latin(latin)
+            ids.append(found)
+            sizes.append(n)
+        for at in range(0, len(others), 20_000):
             coded = self.tokenizer.encode_batch_fast(
-                [w.decode("utf-8", "replace") for w in part], add_special_tokens=False
+                others[at:at + 20_000], add_special_tokens=False
             )
-            sizes = [len(c) for c in coded]
-            flat = np.array([i for c in coded for i in c.ids], dtype="<u4").tobytes()
-            end = 0
-            for w, n in zip(part, sizes, strict=True):
-                self.known[w] = flat[end:end + 4 * n]
-                end += 4 * n
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-        """For each text its ids with the end of a document, where it can be cut, and what a
-        cut there costs."""
-        split = [
-            [line.split() for line in (t or "").encode("utf-8", "replace").split(b"\n")]
-            for t in texts
-        ]
-        self.learn({w for lines in split for words in lines for w in words})
-        for lines in split:
-            yield self._document(lines)
-
-    def _document(self, lines: list[list[bytes]]) -> tuple[bytes, np.ndarray, np.ndarray]:
-        look_up = self.known.__getitem__
-        parts: list[bytes] = []
-        sentences: list[int] = []
-        line_ends: list[int] = []
-        for words in lines:
-            if words:
-                base = len(parts) + 1
-                parts += map(look_up, words)
-                sentences += [base + i for i, w in enumerate(words) if w[-1] in b".!?"]
-                line_ends.append(len(parts))
-        sizes = np.zeros(len(parts) + 1, dtype=np.int64)
-        np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)), out=sizes[1:])
-        sizes //= 4
-        price = np.full(sizes[-1] + 2, np.inf)
-        price[sizes[np.array(sentences, dtype=np.int64)]] = AT_SENTENCE
-        price[sizes[np.array(line_ends, dtype=np.int64)]] = AT_LINE
-        price[-1] = 0.0  # the end of the document, after END_ID
+            ids += [np.array(c.ids, dtype="<u4") for c in coded]
+            sizes.append(np.array([len(c) for c in coded]))
+        first = len(self.known)
+        self.known.update(zip([*latin, *others], range(first, first + len(words)), strict=True))
+        self.ids = np.concatenate(ids)
+        self.starts = np.concatenate(
+            [self.starts, self.starts[-1] + np.cumsum(np.concatenate(sizes))])
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of some distinct words; new ones are learnt."""
+        if len(self.known) + len(words) > REMEMBERED:
+            self.forget()
+        known = self.known
+        fresh = [w for w in words if w not in known]
+        if fresh:
+            self._learn(fresh)
+        return np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts on end, each with the end of a document; where each text starts
+        among them; where they can be cut, and what a cut there costs."""
+        data, starts = text_bytes(texts)
+        inside = ~IS_BLANK[data]
+        begin, stop, doc = runs_of(inside, starts)
+        ends = np.concatenate([[0], np.cumsum(stop - begin)]).astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(
+            len(begin), pa.py_buffer(ends.tobytes()), pa.py_buffer(data[inside].tobytes())
+        ).dictionary_encode()
+        number = self.numbers(words.dictionary.to_pylist())
+        word = number[words.indices.to_numpy(zero_copy_only=False)] if len(begin) else (
+            np.zeros(0, dtype=np.int64))
+        sizes = (self.starts[1:] - self.starts[:-1])[word]
+        # a word's ids stand behind those of the words before it and the ends of documents
+        past = np.cumsum(sizes)
+        place = past - sizes + doc
+        total = (int(past[-1]) if len(past) else 0) + len(texts)
+        ids = np.full(total, END_ID, dtype="<u4")
+        step = np.arange(int(past[-1]) if len(past) else 0) - np.repeat(past - sizes, sizes)
+        ids[np.repeat(place, sizes) + step] = self.ids[np.repeat(self.starts[word], sizes) + step]
+        tokens = np.bincount(doc, weights=sizes, minlength=len(texts)).astype(np.int64) + 1
+        opened = np.concatenate([[0], np.cumsum(tokens)])
+        lines = np.concatenate([[0], np.cumsum(data == 10)])
+        last = np.ones(len(doc), dtype=bool)  # the word ends a line, or its document
+        last[:-1] = (doc[1:] != doc[:-1]) | (lines[begin[1:]] > lines[stop[:-1]])
+        price = np.full(total + 1, np.inf)
+        after = place + sizes
+        price[after[_IS_END[data[stop - 1]]]] = AT_SENTENCE
+        price[after[last]] = AT_LINE
+        price[opened[1:]] = 0.0  # the ends of documents, after END_ID
         at = np.flatnonzero(price[1:] < np.inf) + 1
-        ids = b"".join(parts) + np.array([END_ID], dtype="<u4").tobytes()
-        return ids, *filled(at, price[at])
+        return ids, opened, *filled(at, price[at])
+
+
+_IS_END = np.zeros(256, dtype=bool)
+_IS_END[list(b".!?")] = True
 
 
 def filled(at: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,91 +244,123 @@ def filled(at: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[order], cost[order]
 
 
-def best_cuts(at: np.ndarray, cost: np.ndarray, width: int = WIDTH) -> list[int]:
-    """The cheapest cuts of a line of tokens, by number in ``at``.
+class Cuts:
+    """The cheapest cuts of a line of tokens that comes stretch by stretch.
 
-    ``at`` has the places in order, the last being the end of the line; none is further than
-    ``width`` from the one before. Ties take the longest window.
+    Places come in order, none further than ``width`` from the one before. A cut is settled once
+    all cuts that a later window may begin at have it behind them: whatever follows, the cheapest
+    way to the end goes through it. Until then it waits, so the cuts are the cheapest of the whole
+    line, however it is stretched. Ties take the longest window.
     """
-    place = np.concatenate([[0], at])
-    n = len(place)
-    pairs = []
-    for power in POWERS:
-        if power <= width:
-            j = np.searchsorted(place, place - power)
-            hit = np.flatnonzero((place[j] == place - power) & (place >= power))
-            pairs.append(np.stack([hit, j[hit]]))
-    exact = np.concatenate(pairs, axis=1)
-    order = np.argsort(exact[0], kind="stable")
-    exact_to, exact_from = exact[0][order].tolist() + [n], exact[1][order].tolist()
-    where, price = place.tolist(), [0.0, *cost.tolist()]
-    best, before = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (best + place, cut), rising
-    k = 0
-    for j in range(1, n):
-        low = where[j] - width
-        while where[queue[0][1]] < low:
-            queue.popleft()
-        value, i = queue[0]
-        value += width - where[j]
-        while exact_to[k] == j:
-            if best[exact_from[k]] < value:
-                value, i = best[exact_from[k]], exact_from[k]
-            k += 1
-        value += price[j] + PER_WINDOW
-        best[j], before[j] = value, i
-        key = value + where[j]
-        while queue and queue[-1][0] > key:
-            queue.pop()
-        queue.append((key, j))
-    cuts, j = [], n - 1
-    while j:
-        cuts.append(j - 1)
-        j = before[j]
-    return cuts[::-1]
+
+    def __init__(self, width: int = WIDTH):
+        self.width = width
+        self.where, self.best, self.before = [0], [0.0], [0]
+        self.queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (best + place, cut), rising
+        self.dropped = 0  # cuts that were settled and given away; numbers go on behind them
+
+    def add(self, at: np.ndarray, cost: np.ndarray) -> None:
+        old, first = len(self.where), self.dropped
+        place = np.concatenate([np.array(self.where, dtype=np.int64), at])
+        pairs = []
+        for power in POWERS:
+            if power <= self.width:
+                j = np.searchsorted(place, place[old:] - power)
+                hit = np.flatnonzero(place[j] == place[old:] - power)
+                pairs.append(np.stack([hit + old, j[hit]]))
+        exact = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), dtype=np.int64)
+        order = np.argsort(exact[0], kind="stable")
+        exact_to, exact_from = exact[0][order].tolist() + [-1], exact[1][order].tolist()
+        where, best, before, queue = self.where, self.best, self.before, self.queue
+        width, k = self.width, 0
+        for j, (spot, price) in enumerate(zip(at.tolist(), cost.tolist(), strict=True), old):
+            while where[queue[0][1] - first] < spot - width:
+                queue.popleft()
+            value, i = queue[0]
+            value, i = value + width - spot, i - first
+            while exact_to[k] == j:
+                if best[exact_from[k]] < value:
+                    value, i = best[exact_from[k]], exact_from[k]
+                k += 1
+            value += price + PER_WINDOW
+            where.append(spot)
+            best.append(value)
+            before.append(i + first)
+            key = value + spot
+            while queue and queue[-1][0] > key:
+                queue.pop()
+            queue.append((key, j + first))
+
+    def settled(self, last: bool = False) -> list[int]:
+        """The places of the cuts that are certain by now; with ``last`` all, to the end."""
+        where, before, first = self.where, self.before, self.dropped
+        if last:
+            common = len(where) - 1
+        else:
+            # a later window begins at one of these; their ways meet at the common cut
+            live = set(range(bisect_left(where, where[-1] - self.width), len(where)))
+            heap = [-i for i in live]
+            heapify(heap)
+            while len(heap) > 1:
+                i = -heappop(heap)
+                j = before[i] - first
+                if i and j not in live:
+                    live.add(j)
+                    heappush(heap, -j)
+            common = -heap[0]
+        cuts, j = [], common
+        while j > 0:
+            cuts.append(where[j])
+            j = before[j] - first
+        if common > 0:
+            self.dropped += common
+            self.where, self.best = where[common:], self.best[common:]
+            self.before = [self.dropped, *before[common + 1:]]
+            while self.queue and self.queue[0][1] < self.dropped:
+                self.queue.popleft()
+        return cuts[::-1]
+
+
+def best_cuts(at: np.ndarray, cost: np.ndarray, width: int = WIDTH) -> list[int]:
+    """The cheapest cuts of a whole line of tokens, by number in ``at``, the last of which is the
+    end of the line."""
+    cuts = Cuts(width)
+    cuts.add(at, cost)
+    return np.searchsorted(at, cuts.settled(last=True)).tolist()
 
 
 class Packer:
-    """Takes documents one by one and gives pieces of finished sequences."""
+    """Takes documents in order and gives the pieces of sequences that are settled."""
 
     def __init__(self, width: int = WIDTH):
-        self.width, self.sequence = width, 0
+        self.cuts, self.sequence = Cuts(width), 0
         self.docs: deque = deque()  # [doc_id, ids, tokens, taken so far]
-        self.at: list[np.ndarray] = []
-        self.cost: list[np.ndarray] = []
-        self.tokens = 0
+        self.tokens = self.done = 0
 
-    def add(self, doc_id, ids: bytes, at: np.ndarray, cost: np.ndarray) -> None:
-        self.docs.append([doc_id, ids, len(ids) // 4, 0])
-        self.at.append(at + self.tokens)
-        self.cost.append(cost)
-        self.tokens += len(ids) // 4
+    def add(self, doc_ids: list, ids: np.ndarray, opened: np.ndarray, at: np.ndarray,
+            cost: np.ndarray) -> None:
+        for doc_id, start, stop in zip(
+            doc_ids, opened[:-1].tolist(), opened[1:].tolist(), strict=True
+        ):
+            self.docs.append([doc_id, ids[start:stop], stop - start, 0])
+        self.cuts.add(at + self.tokens, cost)
+        self.tokens += len(ids)
 
     def pieces(self, last: bool = False) -> Iterator[tuple]:
         """(doc_id, start, ids, doc_tokens, sequence, offset) of the windows that are settled."""
-        if not self.tokens:
-            return
-        at, cost = np.concatenate(self.at), np.concatenate(self.cost)
-        cuts = best_cuts(at, cost, self.width)
-        if not last:
-            cuts = cuts[:-REPLANNED]
-        done = 0
-        for cut in cuts:
+        for cut in self.cuts.settled(last):
             offset = 0
-            while done < at[cut]:
+            while self.done < cut:
                 doc = self.docs[0]
-                length = min(doc[2] - doc[3], int(at[cut]) - done)
-                yield (doc[0], doc[3], doc[1][4 * doc[3]:4 * (doc[3] + length)], doc[2],
+                length = min(doc[2] - doc[3], cut - self.done)
+                yield (doc[0], doc[3], doc[1][doc[3]:doc[3] + length].tobytes(), doc[2],
                        self.sequence, offset)
                 doc[3] += length
-                done += length
+                self.done += length
                 offset += length
                 if doc[3] == doc[2]:
                     self.docs.popleft()
             self.sequence += 1
-        left = at > done
-        self.at, self.cost = [at[left] - done], [cost[left]]
-        self.tokens -= done
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> DataFrame:
@@ -284,12 +378,12 @@ def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> D
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
-    id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    id_type = to_arrow_type(rows.schema["doc_id"].dataType)
     types = [id_type, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
-        coder, packer = Tokens(tokenizer), Packer(width)
+        coder, packer = Tokens.shared(tokenizer), Packer(width)
 
         def out(last: bool) -> pa.RecordBatch:
             found = [(d, s, i, t, first + q, o) for d, s, i, t, q, o in packer.pieces(last)]
@@ -300,13 +394,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, width: int = WIDTH) -> D
             )
 
         for batch in slices(batches, "text"):
-            for doc_id, coded in zip(
-                batch.column("doc_id").to_pylist(),
-                coder.encode(batch.column("text").to_pylist()), strict=True,
-            ):
-                packer.add(doc_id, *coded)
-                if packer.tokens >= PLANNED:
-                    yield out(False)
+            packer.add(batch.column("doc_id").to_pylist(), *coder.encode(batch.column("text")))
+            yield out(False)
         yield out(True)
 
     small_batches(docs.sparkSession)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,13 +175,82 @@ def test_words_have_the_ids_they_have_in_texts():
     letters = list("aZ9 \n\t'.<|>éßΣİ \x1c\x7f\x85#~st") + ["<|endoftext|>", "'ll", "'S", "re"]
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(4000)]
     coder = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
-    assert coder.by_pieces
-    for by_pieces in (True, False):
-        coder.by_pieces, coder.known = by_pieces, {}
-        for expected, (ids, at, cost) in zip(token_ids(texts), coder.encode(texts), strict=True):
-            assert np.frombuffer(ids, dtype="<u4").tolist() == expected
-            assert at[-1] == len(expected) and len(at) == len(cost)
-            assert np.diff(at, prepend=0).max() <= packing.LONGEST
+    assert coder.latin is not None
+    for latin in (coder.latin, None):
+        coder.forget()
+        coder.latin = latin
+        expected = token_ids(texts)
+        for step in (1, 7, 4000):
+            for low in range(0, 4000 if step > 1 else 300, step):
+                part = expected[low:low + step]
+                ids, opened, at, cost = coder.encode(pa.array(texts[low:low + step]))
+                assert ids.tolist() == [i for e in part for i in e]
+                assert np.diff(opened).tolist() == [len(e) for e in part]
+                assert at[-1] == len(ids) and len(at) == len(cost)
+                assert set(opened[1:].tolist()) <= set(at[cost == 0].tolist())
+                assert np.diff(at, prepend=0).max() <= packing.LONGEST
+
+
+def test_merges_of_the_whole_vocabulary():
+    """Each symbol is made of its own bytes, as the tokenizer makes it."""
+    import public_tokenizers
+
+    coder = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    vocab = coder.tokenizer.get_vocab()
+    code = {c: b for b, c in enumerate(packing._byte_letters())}
+    rng, words = random.Random(3), set()
+    for token in vocab:
+        try:
+            text = bytes(code[c] for c in token.removesuffix("</w>")).decode()
+        except (KeyError, UnicodeDecodeError):
+            continue
+        words |= {text, text + rng.choice(["s", "ing", "ß", ".", "'ll", "7"])}
+    words = sorted(w for w in words if packing._LATIN.fullmatch(w) and w == w.lower()
+                   and not coder.special.search(w))
+    words += ["".join(rng.choice("abcdeilmnorstuéßü") for _ in range(rng.randrange(1, 14)))
+              for _ in range(20_000)]
+    assert len(words) > 80_000
+    ids, sizes = coder.latin(words)
+    coded = coder.tokenizer.encode_batch(words, add_special_tokens=False)
+    assert sizes.tolist() == [len(c) for c in coded]
+    assert ids.tolist() == [i for c in coded for i in c.ids]
+
+
+def test_places_to_cut():
+    import public_tokenizers
+
+    coder = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    text = "the end. the day\nthe end of the day\n\n a"
+    _, _, at, cost = coder.encode(pa.array([text, None, "the day"]))
+    n = len(token_ids([text])[0]) - 1
+    after = [len(token_ids([t])[0]) - 1 for t in
+             ("the end.", "the end. the day", "the end. the day\nthe end of the day", text)]
+    assert at.tolist() == [*after, n + 1, n + 2, n + 4, n + 5]
+    assert cost.tolist() == [2.0, 1.0, 1.0, 1.0, 0.0, 0.0, 1.0, 0.0]
+
+
+def test_cuts_do_not_hang_on_stretches():
+    """A line that comes in stretches gets the cuts of the whole line."""
+    rng = random.Random(9)
+    for width in (512, 2048):
+        at = np.unique(np.cumsum([rng.randint(1, 60) for _ in range(3000)]))
+        cost = np.array([rng.choice([0.0, 1.0, 2.0, 8.0]) for _ in at])
+        whole = at[packing.best_cuts(at, cost, width)].tolist()
+        for step in (1, 17, 400):
+            cuts, found, kept = packing.Cuts(width), [], 0
+            for low in range(0, len(at), step):
+                cuts.add(at[low:low + step], cost[low:low + step])
+                found += cuts.settled()
+                kept = max(kept, len(cuts.where))
+            assert found + cuts.settled(last=True) == whole
+            assert kept <= len(at) + 1
+
+
+def test_other_ids(spark):
+    for kind in ("string", "decimal(20,0)", "struct<a: bigint, b: string>"):
+        value = {"string": "'x'", "decimal(20,0)": "7"}.get(kind, "named_struct('a', 1L, 'b', 'y')")
+        docs = spark.range(3).selectExpr(f"CAST({value} AS {kind}) AS doc_id", "'some text' AS text")
+        assert sum(r.start == 0 for r in packing.pack(docs).collect()) == 3
 
 
 def test_packing_edges(spark):
