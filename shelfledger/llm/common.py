@@ -81,6 +81,22 @@ def written_by(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(_table_at(path))
 
 
+def whole_rows(docs: DataFrame, *used: str | Column) -> DataFrame:
+    """The ``used`` columns, and all columns together as one, so that an operator's own names
+    can't meet those of further columns."""
+    return docs.select(
+        F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("_whole"),
+        *used,
+    )
+
+
+def restored(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again from ``whole_rows``, some of them changed."""
+    return rows.select(*(
+        changed.get(c, F.col("_whole").getField(c)).alias(c) for c in docs.columns
+    ))
+
+
 def let(value: Column, body) -> Column:
     """``body`` of ``value``, which is evaluated once however often ``body`` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

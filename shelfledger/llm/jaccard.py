@@ -31,7 +31,9 @@ from shelfledger.llm.batches import (
     list_array, lowered, map_texts, mixed, shingle_hashes, slices, small_batches, text_bytes,
     word_hashes,
 )
-from shelfledger.llm.common import cleared, documents, noted, written, written_by
+from shelfledger.llm.common import (
+    cleared, documents, noted, null_safe, restored, whole_rows, written, written_by,
+)
 from shelfledger.llm.graph import components
 
 #: The most frequent shingles come last in the order of rarity; so many at most are told apart
@@ -589,17 +591,15 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
         F.count(F.lit(1)).alias("times"),
     )
     name = of_row.select(
-        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.h").alias("__h"), "times",
-        (F.col("n") == 0).alias("__blank"),
-        F.col("doc_id").eqNullSafe(F.col("keep")).alias("__first"),
-    ).where("__first or __blank")
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
-    kept = marked.join(
-        name, marked["doc_id"].eqNullSafe(name["__id"]) & (F.col("__hash") == F.col("__h"))
+        F.col("doc_id.doc_id").alias("id"), F.col("doc_id.h").alias("h"), "times",
+        (F.col("n") == 0).alias("blank"), F.col("doc_id").eqNullSafe(F.col("keep")).alias("first"),
+    ).where("first or blank")
+    kept = whole_rows(docs, "doc_id", F.xxhash64("text").alias("hash")).join(
+        name, null_safe("doc_id", "id") & (F.col("hash") == F.col("h"))
     )
-    once = kept.where("times = 1 or __blank").select(*docs.columns)
-    again = kept.where("times > 1 and not __blank").dropDuplicates(["__id", "__h"])
-    return once.union(again.select(*docs.columns))
+    once = kept.where("times = 1 or blank").select("_whole")
+    again = kept.where("times > 1 and not blank").dropDuplicates(["id", "h"])
+    return restored(once.union(again.select("_whole")), docs)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ pair of its languages, and the language with most votes wins.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm.batches import BATCH_BYTES, map_texts, slices, small_batches
-from shelfledger.llm.common import documents
+from shelfledger.llm.common import documents, restored, whole_rows
 
 #: Number of hashed features.
 FEATURES = 1 << 12
@@ -37,7 +36,10 @@ FAMILIES = {
     "slavic": ("ru", "pl", "cs", "uk", "bg", "sk", "sr", "hr", "sl"),
 }
 _FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str | None) -> bool:
+    """Numbers in the form of letters, as of Roman numerals, are none."""
+    return any(map(str.isalpha, text or ""))
 
 
 def family_of(lang: str) -> str:
@@ -201,7 +203,7 @@ def predict_column(model: Model):
             a, b = predict_texts(model, part.column("text"))
             langs += a
             scores += b
-        lettered = [bool(t and _LETTER.search(t)) for t in texts]
+        lettered = [has_letter(t) for t in texts]
         return pd.DataFrame({"lang": langs, "score": scores, "lettered": lettered})
 
     return predicted
@@ -210,7 +212,7 @@ def predict_column(model: Model):
 def predict_texts(model: Model, texts: pa.Array) -> tuple[list[str], list[float]]:
     """Languages and scores of texts; ``und`` and 0 for a null text, one without a letter, or
     a model that has learnt no language."""
-    has = [bool(t and _LETTER.search(t)) for t in texts.to_pylist()]
+    has = [has_letter(t) for t in texts.to_pylist()]
     if not model.families:
         return [UNDETERMINED] * len(has), [0.0] * len(has)
     lang, score = [], []
@@ -288,14 +290,17 @@ def known_language(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     model = learn(docs)
     sure = sure_scores(docs, model) if model.families else {}
-    found, score = F.col("__language.lang"), F.col("__language.score")
+    found, score = F.col("language.lang"), F.col("language.score")
     corrected = F.lit(False)
     for name, least in sorted(sure.items()):
         corrected = corrected | ((found == name) & (score >= least))
-    marked = docs.withColumn("__language", predict_column(model)(F.col("text")))
-    return marked.where(F.col("__language.lettered")).withColumn(
-        "lang", F.when(corrected, found).otherwise(F.coalesce("lang", found))
-    ).select(*docs.columns)
+    # as if not deterministic, so that Spark does not predict once for the filter and once more
+    predicted = predict_column(model).asNondeterministic()
+    marked = whole_rows(docs, "lang", predicted(F.col("text")).alias("language"))
+    return restored(
+        marked.where(F.col("language.lettered")), docs,
+        lang=F.when(corrected, found).otherwise(F.coalesce("lang", found)),
+    )
 
 
 def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import documents, word_count, written
+from shelfledger.llm.common import documents, restored, whole_rows, word_count, written
 
 #: Weights of the sources in code point order, repeating; null comes last.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -241,17 +241,17 @@ def _with_fill(chosen: DataFrame, fill: DataFrame) -> DataFrame:
 def copies_of(docs: DataFrame) -> DataFrame:
     """Documents repeated as often as the mix takes them, with all columns as they are."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    numbered = written(docs.withColumns({
-        "__row": F.monotonically_increasing_id(), "__size": word_count(t),
-        "__key": F.xxhash64("doc_id", t),
-    }), "numbered")
-    mixed = mix_sized(numbered.select(
-        F.col("__row").alias("row"), "doc_id", "source", F.col("__size").alias("size"),
-        F.col("__key").alias("key"),
-    )).where("copies > 0").select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
-    return numbered.join(mixed, "__row").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))
-    ).select(*docs.columns)
+    numbered = written(whole_rows(
+        docs, F.monotonically_increasing_id().alias("row"), "doc_id", "source",
+        word_count(t).alias("size"), F.xxhash64("doc_id", t).alias("key"),
+    ), "numbered")
+    mixed = mix_sized(numbered.select("row", "doc_id", "source", "size", "key")).where(
+        "copies > 0"
+    ).select(F.col("row").alias("_row"), "copies")
+    taken = numbered.join(mixed, F.col("row") == F.col("_row")).select(
+        "_whole", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    )
+    return restored(taken, docs)
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

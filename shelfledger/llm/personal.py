@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm.batches import map_texts
-from shelfledger.llm.common import documents, written
+from shelfledger.llm.common import documents, null_safe, restored, whole_rows, written
 
 #: Kinds in the order of the results.
 KINDS = ("email", "ip", "card", "phone")
@@ -275,15 +275,13 @@ def masked(docs: DataFrame) -> DataFrame:
     """
     found = extract(docs.select(
         F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text"
-    )).where(F.size("spans") > 0).groupBy("doc_id").agg(F.first("spans").alias("__spans")).select(
-        F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.h").alias("__h"), "__spans"
+    )).where(F.size("spans") > 0).groupBy("doc_id").agg(F.first("spans").alias("spans")).select(
+        F.col("doc_id.doc_id").alias("id"), F.col("doc_id.h").alias("h"), "spans"
     )
-    marked = docs.withColumn("__hash", F.xxhash64("text"))
-    joint = marked.join(
-        found, marked["doc_id"].eqNullSafe(found["__id"]) & (F.col("__hash") == F.col("__h")),
-        "left",
+    joint = whole_rows(docs, "doc_id", "text", F.xxhash64("text").alias("hash")).join(
+        found, null_safe("doc_id", "id") & (F.col("hash") == F.col("h")), "left"
     )
-    ordered = F.array_sort(F.transform("__spans", lambda s: F.struct(
+    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind")
     )))
     kinds = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
@@ -300,13 +298,15 @@ def masked(docs: DataFrame) -> DataFrame:
         )),
         lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)),
     )
-    after = joint.withColumn("text", F.when(F.col("__spans").isNull(), text).otherwise(cut))
+    masks = F.when(F.col("spans").isNotNull(), cut).otherwise(text)
+    changed = {"text": masks}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        after = after.withColumn("n_chars", F.when(
-            F.col("__spans").isNull(), F.col("n_chars")
-        ).otherwise(F.length("text")).cast(kind))
-    return after.select(*docs.columns)
+        stated = F.col("_whole").getField("n_chars")
+        changed["n_chars"] = F.when(F.col("spans").isNull(), stated).otherwise(
+            F.length("masked")).cast(docs.schema["n_chars"].dataType)
+        changed["text"] = F.col("masked")
+        joint = joint.withColumn("masked", masks)
+    return restored(joint, docs, **changed)
 
 
 def joined(spans: Column) -> Column:

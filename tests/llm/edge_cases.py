@@ -6,6 +6,9 @@ LONG = "lorem ipsum dolor sit amet, " * 4000
 CLASHES = [
     "row", "key", "hash", "size", "rate", "copies", "spans", "base", "kept", "n_words", "vec",
     "id", "blank", "token", "cid", "rare", "component", "line", "held_out", "__x", "kind",
+    "__id", "__h", "h", "times", "__blank", "__first", "first", "__hash", "__spans", "__row",
+    "__size", "__key", "__copies", "__copy", "copy", "__language", "language", "masked", "_whole",
+    "keep", "component_id", "n_shingles", "a dot . in it", "tick`ed", "batch", "t1", "gone", "at",
 ]
 
 ROWS = [
@@ -29,7 +32,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 def edge_frame(spark, rows=ROWS):
     """The rows with one more column for each clashing name."""
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    return df.selectExpr("*", *[f"'c' AS `{c}`" for c in CLASHES])
+    return df.selectExpr("*", *[f"'c {i}' AS `{c.replace('`', '``')}`" for i, c in enumerate(CLASHES)])
 
 
 def no_rows(spark):

@@ -3,12 +3,13 @@
 import collections
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from edge_cases import ROWS, edge_frame, no_rows
-from shelfledger.llm import jaccard
+from edge_cases import CLASHES, ROWS, SCHEMA, edge_frame, no_rows
+from shelfledger.llm import jaccard, languages
 from shelfledger.llm.common import documents, written
 from test_arrow_operators import check_pieces, plain_components, plain_spans
 from test_native_operators import plain_targets
@@ -113,3 +114,23 @@ def test_stages_take_edge_cases(spark):
 
 def test_order_of_stages():
     assert list(STAGES) == ["language", "near_duplicates", "personal_data", "mixture", "packing"]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_further_columns_stay_as_they_are(spark, small, name):
+    """Whatever they are called, also like those that operators use inside."""
+    docs = edge_frame(spark)
+    after = STAGES[name](spark, docs, small)
+    assert after.columns == docs.columns
+    rows = after.collect()
+    assert rows and all(
+        tuple(r)[-len(CLASHES):] == tuple(f"c {i}" for i in range(len(CLASHES))) for r in rows)
+
+
+def test_numbers_in_the_form_of_letters_are_no_language(spark, small):
+    docs = spark.createDataFrame(
+        [(1, "½ ² Ⅷ 12", "en", "a", 9), (2, "½ é", "en", "a", 3)], SCHEMA)
+    assert [r.doc_id for r in STAGES["language"](spark, docs, small).collect()] == [2]
+    texts = pa.array(["½ ² Ⅷ 12", None, ""])
+    assert languages.predict_texts(languages.learn(documents(spark, small)), texts) == (
+        ["und"] * 3, [0.0] * 3)
