@@ -465,6 +465,44 @@ BODIES = {
         FROM sales x ASOF LEFT JOIN arrivals y
           ON x."LOCATION" = y."LOCATION" AND x."DATE" <= y."ACTUAL_ARRIVAL" """,
     "transfers_rescheduled": "SELECT * FROM moved",
+    "asof_forward_year": """
+        SELECT x."SKU", x."LOCATION", x."DATE", x."UNITS" AS "SALES_UNITS",
+               x."CENTS" AS "SALES_TOTAL_RETAIL",
+               CASE WHEN y."ACTUAL_ARRIVAL" <= x."DATE" + 365 THEN y."ACTUAL_ARRIVAL" END
+                 AS "ACTUAL_ARRIVAL"
+        FROM sales x ASOF LEFT JOIN arrivals y
+          ON x."LOCATION" = y."LOCATION" AND x."DATE" <= y."ACTUAL_ARRIVAL" """,
+    "checks_while_writing": f"""
+        SELECT unnest(['row_count', 'nulls_filled', 'price_units', 'delivery_balance']) AS "check",
+               unnest([abs(n - (SELECT count(*) FROM inv)), nulls, price, balance]) AS failures
+        FROM (SELECT count(*) AS n,
+                CAST(sum(CAST("SALES_UNITS" IS NULL AS INTEGER)
+                  + CAST("ADJ_QTY" IS NULL AS INTEGER)
+                  + CAST("RETURN_UNITS" IS NULL AS INTEGER)) AS BIGINT) AS nulls,
+                count(*) FILTER ("SALES_UNIT_RETAIL" <> 0 AND "SALES_UNITS" = 0) AS price,
+                count(*) FILTER (("DSD_RECORDED" > 0 OR "DSD_INVC_QTY_RCPT" > 0)
+                  AND abs("IP_QTY_EOP_INV" - ("IP_QTY_BOP_INV" - "SALES_UNITS" + "ADJ_QTY"
+                    + "DSD_TRANSFERRED_UNITS")) > 1e-6) AS balance
+              FROM ({measured(wide("snapshot"))}))""",
+    "reconciled_partitions": """
+        SELECT "LOCATION", "MONTH", n AS expected_rows,
+               n + CASE "LOCATION" WHEN 25 THEN -third WHEN 50 THEN third ELSE 0 END AS found_rows,
+               CASE "LOCATION" WHEN 25 THEN 'rows lost' WHEN 50 THEN 'rows added'
+                    ELSE 'values changed' END AS fault,
+               CASE "LOCATION" WHEN 75 THEN concat_ws(',', CASE WHEN fifth THEN 'RETURN_UNITS' END,
+                                                 CASE WHEN seventh THEN 'ADJ_QTY' END)
+                    WHEN 100 THEN 'SALES_UNITS,RETURN_UNITS,ADJ_QTY' ELSE '' END AS "columns"
+        FROM (SELECT "LOCATION", CAST(date_trunc('month', "DATE") AS DATE) AS "MONTH",
+                count(*) AS n, count(*) FILTER ("SKU" % 3 = 0) AS third,
+                bool_or("SKU" % 5 = 0) AS fifth, bool_or("SKU" % 7 = 0) AS seventh,
+                bool_or("SKU" % 11 = 3) AS replaced
+              FROM inv GROUP BY 1, 2)
+        WHERE CASE "LOCATION" WHEN 25 THEN third > 0 WHEN 50 THEN third > 0
+              WHEN 75 THEN fifth OR seventh WHEN 100 THEN replaced END""",
+    "reconciled_facts": """
+        SELECT "SKU", count(*) AS expected_rows, count(*) AS found_rows,
+               'values changed' AS fault, 'SALES_UNITS' AS "columns"
+        FROM inv WHERE "SKU" = 3 GROUP BY 1""",
     "joined_facts": wide("snapshot"),
     "denormalized": measured(wide("snapshot")),
     "denormalized_historical": measured(wide("dense")),

@@ -13,7 +13,7 @@ from shelfledger.functions import dates, measures, names
 from shelfledger.mapping import default_mapping
 from shelfledger.operators import (
     asof, audit, calendar, carriers, checks, conform, facts, inventory, ledger, merge, quarantine,
-    routing, runlog, validate,
+    reconcile, routing, runlog, validate,
 )
 from shelfledger.plans import preprocess, validation
 from shelfledger.plans.denormalize import denormalize, join_facts
@@ -215,6 +215,16 @@ def asof_forward_7d(spark, sf_dir):
     )
 
 
+@query
+def asof_forward_year(spark, sf_dir):
+    """The same with a tolerance of a year, for the days in order."""
+    t = conformed(spark, sf_dir, "sales", "carrier_master")
+    return asof.asof_forward(
+        t["sales"], carriers.carrier_arrivals(t["carrier_master"]),
+        ["LOCATION"], "DATE", "ACTUAL_ARRIVAL", 365,
+    )
+
+
 @query
 def transfers_rescheduled(spark, sf_dir):
     t = conformed(spark, sf_dir, "store_transfers", "carrier_master")
@@ -290,6 +300,45 @@ def faulty_denorm_checks(spark, sf_dir):
     return checks.denorm_checks(faulty, t["inventory_snapshot"])
 
 
+MEASURED = ["SALES_UNITS", "RETURN_UNITS", "ADJ_QTY"]
+
+
+@query
+def checks_while_writing(spark, sf_dir):
+    """The checks of the wide table, counted while it is written."""
+    t = conformed(spark, sf_dir)
+    wide, path = denormalize(t), work_dir(spark, "checked")
+    rows = t["inventory_snapshot"].count()
+    return checks.write_checked(wide, rows, lambda df: sinks.write_master(df, path))
+
+
+@query
+def reconciled_partitions(spark, sf_dir):
+    """Months and stores in which a consolidated table is not what was written: rows lost in one
+    store, doubled in a second, changed in a third, and a key replaced in a fourth."""
+    month = F.trunc("DATE", "month").alias("MONTH")
+    sold = join_facts(conformed(spark, sf_dir)).select(*facts.KEYS, *MEASURED, month)
+    store, sku = F.col("LOCATION"), F.col("SKU")
+    twice = sold.filter("LOCATION = 50 AND SKU % 3 = 0")
+    faulty = sold.filter("NOT (LOCATION = 25 AND SKU % 3 = 0)").union(twice).withColumns({
+        "RETURN_UNITS": F.col("RETURN_UNITS") + F.when((store == 75) & (sku % 5 == 0), 1).otherwise(0),
+        "ADJ_QTY": F.col("ADJ_QTY") - F.when((store == 75) & (sku % 7 == 0), 1).otherwise(0),
+        "SKU": F.when((store == 100) & (sku % 11 == 3), -sku).otherwise(sku),
+    })
+    return reconcile.reconcile(sold, faulty, ["LOCATION", "MONTH"], MEASURED)
+
+
+@query
+def reconciled_facts(spark, sf_dir):
+    """The daily facts against those of the wide table, which agree but for one item's sales."""
+    t = conformed(spark, sf_dir)
+    due = reconcile.facts_of_snapshot(facts.daily_facts(t), t["inventory_snapshot"], MEASURED)
+    wide = join_facts(t).withColumn(
+        "SALES_UNITS", F.col("SALES_UNITS") + F.when(F.col("SKU") == 3, 1.0).otherwise(0.0)
+    )
+    return reconcile.reconcile(due, wide, ["SKU"], MEASURED)
+
+
 # ---- validation --------------------------------------------------------------------------
 
 @query

@@ -16,7 +16,7 @@ from shelfledger.mapping import Mapping, default_mapping, load_mapping
 from shelfledger.operators.audit import audit_actuals
 from shelfledger.operators.calendar import plan_dates, run_day
 from shelfledger.operators.carriers import carrier_arrivals
-from shelfledger.operators.checks import denorm_checks, require_clean
+from shelfledger.operators.checks import denorm_checks, require_clean, write_checked
 from shelfledger.operators.conform import GROUP
 from shelfledger.operators.inventory import densify_inventory
 from shelfledger.operators.ledger import admit, read_ledger, write_ledger
@@ -158,10 +158,25 @@ def run_denormalize(spark: SparkSession, args: argparse.Namespace) -> None:
     wide = denormalize(tables, historical, arrivals, actuals)
     if GROUP not in wide.columns:
         wide = with_location_group(wide)
-    write_partitioned(mapping.rename_output(wide), args.dest_path, replace_all=groups is None)
+
+    def write(df: DataFrame) -> None:
+        write_partitioned(mapping.rename_output(df), args.dest_path, replace_all=groups is None)
+
+    if not args.counts_path:
+        write(wide)
+        return
+    base = tables["inventory_snapshot"]
+    rows = (densify_inventory(base) if historical else base).count()
+    write_csv(write_checked(wide, rows, write), args.counts_path)
 
 
 def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
+    """All checks over the finished table; with ``--counts_path`` those that were counted while it
+    was written, without reading it."""
+    if args.counts_path:
+        require_clean(_table(spark, args.counts_path).withColumn(
+            "failures", F.col("failures").cast("bigint")))
+        return
     mapping = _mapping(spark, args.mapping_path)
     groups = [float(g) for g in args.location_groups.split(",")] if args.location_groups else None
     historical = args.historical_mode == "Y"
@@ -199,11 +214,12 @@ STAGES = {
     "denormalize": (
         run_denormalize,
         ["location_groups?", "mapping_path?", "src_path", "master_src_path", "dest_path",
-         "historical_mode", "with_arrivals?", "with_audits?"],
+         "historical_mode", "with_arrivals?", "with_audits?", "counts_path?"],
     ),
     "check": (
         run_check,
-        ["source_path", "src_path", "historical_mode", "mapping_path?", "location_groups?"],
+        ["source_path", "src_path", "historical_mode", "mapping_path?", "location_groups?",
+         "counts_path?"],
     ),
     "merge": (run_merge, ["source_path", "dest_path", "location_group_list?", "by_rows?"]),
 }

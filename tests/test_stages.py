@@ -308,7 +308,9 @@ def test_stages(spark, drop):
     for mode, expected in (("N", 3), ("Y", 4)):
         run("denormalize", src_path=f"{base}/tables", master_src_path=f"{base}/master",
             dest_path=f"{base}/wide{mode}", historical_mode=mode, with_arrivals="Y",
-            with_audits="Y")
+            with_audits="Y", counts_path=f"{base}/counts{mode}")
+        run("check", source_path=f"{base}/wide{mode}", src_path=f"{base}/tables",
+            historical_mode=mode, counts_path=f"{base}/counts{mode}")
         wide = spark.read.parquet(f"{base}/wide{mode}")
         assert wide.count() == expected
         assert {"DC_TRANSFERRED_UNITS", "AUDIT_UNITS"} <= set(wide.columns)
