@@ -1,6 +1,8 @@
 """License scans with a trained paragraph classifier.
 
-A paragraph is a line of a text. Its features are word 1-, 2- and 3-grams; a logistic regression
+A paragraph is a run of lines without a blank one between, as notices stand in files, with the
+marks of comments taken off; its lines are also judged one by one, since a notice may stand among
+other lines. Its features are word 1-, 2- and 3-grams; a logistic regression
 over them, trained here on notices of each family and on ordinary paragraphs of the corpus,
 gives a probability for each family and for ``none``. The probabilities are calibrated by a
 temperature fitted on paragraphs left out of the training; where no family is probable enough
@@ -16,7 +18,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +49,9 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright under CC0.",
         "Content is available under CC BY-SA 3.0 unless otherwise noted.",
         "SPDX-License-Identifier: CC-BY-4.0",
+        "The person who associated a work with this deed has dedicated the work to the public "
+        "domain by waiving all of his or her rights to the work worldwide.",
+        "This work is dedicated to the public domain.",
     ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -69,6 +74,10 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files, to deal in the Software without "
         "restriction.",
+        'The software is provided "as is", without warranty of any kind, express or implied.',
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        "The MIT License (MIT)",
         "This project is available under the terms of the MIT License, see LICENSE for details.",
         "SPDX-License-Identifier: MIT",
     ),
@@ -91,7 +100,7 @@ NONE, UNKNOWN = "none", "unknown"
 CUES = (
     "licen[sc]e", "licen[sc]ed", "licen[sc]ing", "copyright", "redistribut", "permission",
     "gnu", "gpl", "cc0", "cc by", "all rights reserved", "free software", "creative commons",
-    "source code form",
+    "source code form", "warrant", "public domain",
 )
 #: Ordinary paragraphs of the corpus used for training: those of least hash.
 ORDINARY = 500
@@ -100,6 +109,8 @@ LEAST_PROBABILITY, LEAST_SHARE = 0.6, 0.6
 #: Longest n-gram, and gradient steps of the training.
 LONGEST, STEPS = 3, 400
 
+#: Blanks and the marks of comments that a line may begin or end with.
+_MARKS = r"^[\s]*(?:/\*+|//+|\*+/?|[#;%]+|--+|<!--)?[\s]*|[\s]*(?:\*+/|-->)?[\s]*$"
 _WORD = r"[^a-z0-9+.]+"
 
 
@@ -194,15 +205,50 @@ def train(ordinary: list[str]) -> Model:
     return Model(classes, vocabulary, w, b, min(losses, key=losses.get))
 
 
+def bare(line: Column) -> Column:
+    """A line without blanks and the marks of comments at its ends."""
+    return F.regexp_replace(line, _MARKS, "")
+
+
+def _cue() -> str:
+    """A pattern of the cues; their blanks may be ends of lines."""
+    return "(?i)" + "|".join(CUES).replace(" ", r"\s+")
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, line, paragraph) of the lines that hold a cue, numbered from 0."""
-    cue = "(?i)" + "|".join(CUES)
+    """(doc_id, row, piece, line, lines, paragraph): the runs of lines that hold a cue, and in
+    runs of several lines also the lines that do. ``line`` is the first one, counted from 0, and
+    ``piece`` numbers the runs of a text."""
+    cue = _cue()
     held = docs.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), "text"
     ).where(F.col("text").rlike(cue))
-    return held.select(
-        "doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line", "paragraph")
-    ).where(F.col("paragraph").rlike(cue))
+    clean = F.concat_ws("\n", F.transform(F.split("text", "\n"), bare))
+    pieces = held.select(
+        "doc_id", "row", F.posexplode(F.split(clean, "\n\n")).alias("piece", "text")
+    ).select(
+        "doc_id", "row", "piece", F.size(F.split("text", "\n")).alias("n"),
+        F.when(F.col("text").rlike(cue), F.col("text")).alias("text"),
+    )
+    # a text's pieces in order, without the words of those that hold no cue
+    before = Window.partitionBy("row").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn(
+        "first", F.coalesce(F.sum(F.col("n") + 1).over(before), F.lit(0)).cast("int")
+    ).where(F.col("text").isNotNull())
+    lines = F.split("text", "\n")
+    leading = F.length("text") - F.length(F.ltrim("text", F.lit("\n")))
+    run = F.struct(
+        (F.col("first") + leading).alias("line"),
+        F.size(F.split(F.btrim("text", F.lit("\n")), "\n")).alias("lines"),
+        F.btrim("text", F.lit("\n")).alias("paragraph"),
+    )
+    singly = F.filter(F.transform(lines, lambda x, i: F.struct(
+        (F.col("first") + i).alias("line"), F.lit(1).alias("lines"), x.alias("paragraph")
+    )), lambda s: s["paragraph"].rlike(cue))
+    return placed.select("doc_id", "row", "piece", F.inline(
+        F.when(F.btrim("text", F.lit("\n")).contains("\n"), F.concat(F.array(run), singly))
+        .otherwise(F.array(run))
+    ))
 
 
 def ordinary_paragraphs(docs: DataFrame, most: int = ORDINARY) -> list[str]:
@@ -213,7 +259,7 @@ def ordinary_paragraphs(docs: DataFrame, most: int = ORDINARY) -> list[str]:
     Only hashes are compared in the first pass; the second one fetches the paragraphs, so as
     many rows reach the driver however many files there are.
     """
-    cue = "(?i)" + "|".join(CUES)
+    cue = _cue()
     lines = docs.select(F.explode(F.split("text", "\n")).alias("p")).where(
         (F.length("p") >= 20) & (F.length("p") <= 2000) & ~F.col("p").rlike(cue)
     ).withColumn("h", F.xxhash64("p"))
@@ -224,13 +270,14 @@ def ordinary_paragraphs(docs: DataFrame, most: int = ORDINARY) -> list[str]:
 
 
 def classify(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, line, family, probability, template_share, confirmed, paragraph): one row per
-    notice found.
+    """(doc_id, line, lines, family, probability, template_share, confirmed, paragraph): one row
+    per notice found, with its first line, counted from 0, and their number.
 
     Takes doc_id and text; other columns are left out. A null or empty text has no notices,
     an empty table gives no rows, and repeated rows give their notices each. ``family`` is
     ``unknown`` where no family is probable enough; paragraphs of class ``none`` are left out.
-    Of equally probable families the first in alphabetical order is taken.
+    Of equally probable families the first in alphabetical order is taken. A run of lines is given
+    whole where it is confirmed and none of its lines is confirmed by itself, else line by line.
     """
     model = train(ordinary_paragraphs(docs)) if model is None else model
     spark = docs.sparkSession
@@ -240,10 +287,11 @@ def classify(docs: DataFrame, model: Model | None = None) -> DataFrame:
          zip(model.vocabulary, model.weights, strict=True)],
         "gram string, weight array<double>",
     )  # one row per n-gram of the templates
+    unit = ["row", "line", "lines"]
     summed = (
-        found.select("row", "line", F.explode(grams(F.col("words"))).alias("gram"))
+        found.select(*unit, F.explode(grams(F.col("words"))).alias("gram"))
         .join(F.broadcast(weights), "gram")
-        .groupBy("row", "line").agg(*(
+        .groupBy(*unit).agg(*(
             F.sum(F.get("weight", F.lit(c))).alias(f"z{c}") for c in range(len(model.classes))
         ))
     )
@@ -257,7 +305,7 @@ def classify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         F.struct((-F.exp(v - top) / total).alias("p"), F.lit(name).alias("family"))
         for v, name in zip(z, model.classes, strict=True)
     )))[0]
-    judged = found.join(summed, ["row", "line"], "left").withColumn("best", best).where(
+    judged = found.join(summed, unit, "left").withColumn("best", best).where(
         F.col("best.family") != NONE
     )
     templates = spark.createDataFrame(
@@ -268,16 +316,28 @@ def classify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     share = F.size(F.array_intersect("words", "template")) / F.size("template")
     compared = judged.join(
         F.broadcast(templates), F.col("best.family") == F.col("of"), "left"
-    ).groupBy("doc_id", "row", "line").agg(
+    ).groupBy("doc_id", "piece", *unit).agg(
         F.first("best").alias("best"), F.first("paragraph").alias("paragraph"),
         F.max(share).alias("template_share"),
     )
     sure = -F.col("best.p") >= LEAST_PROBABILITY
-    return compared.select(
-        "doc_id", "line",
+    notices = compared.withColumn(
+        "confirmed", sure & F.coalesce(F.col("template_share") >= LEAST_SHARE, F.lit(False))
+    )
+    one = Window.partitionBy("row", "piece")
+    several = F.col("lines") > 1
+    return notices.withColumns({
+        "by_line": F.max(F.col("confirmed") & ~several).over(one),
+        "whole": F.max(F.col("confirmed") & several).over(one),
+        "singly": F.max(~several).over(one),
+    }).where(
+        # single lines stand where one of them, or nothing, is confirmed
+        F.when(F.col("whole") & ~F.col("by_line"), several & F.col("confirmed"))
+        .otherwise(~several | ~F.col("singly"))
+    ).select(
+        "doc_id", "line", "lines",
         F.when(sure, F.col("best.family")).otherwise(UNKNOWN).alias("family"),
-        (-F.col("best.p")).alias("probability"), "template_share",
-        (sure & (F.col("template_share") >= LEAST_SHARE)).alias("confirmed"), "paragraph",
+        (-F.col("best.p")).alias("probability"), "template_share", "confirmed", "paragraph",
     )
 
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import documents, let
+from shelfledger.llm.common import documents, let, written
 
 
 @dataclass(frozen=True)
@@ -210,7 +210,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn(
         "key", F.xxhash64("text")
     )
-    found = candidates(keyed.select("key", "text"), rules)
+    # from a written table, so that a text with most of the copies can be split in the join
+    found = written(candidates(keyed.select("key", "text"), rules), "candidates")
     searched = keyed.join(found, "key", "left")
     spans = []
     for n, rule in enumerate(rules):

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -308,6 +309,74 @@ def test_licences(spark, small):
     assert not any(r.confirmed for r in found if r.doc_id in (4, 5, 6, 8))
 
 
+WRAPPED = {
+    "mit": """MIT License
+
+Copyright (c) 2021 Some People
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+""",
+    "bsd": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+""",
+    "apache": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+""",
+    "cc": """// To the extent possible under law, the author has waived
+// all copyright under CC0.
+
+-- This work is dedicated to the
+-- public domain.
+""",
+}
+
+
+def test_wrapped_notices_are_confirmed(spark, small):
+    """Notices over several lines, within comments, and between ordinary lines."""
+    model = licenses.train(licenses.ordinary_paragraphs(documents(spark, small)))
+    texts = [(i, f"{before}{text}{after}") for i, text in enumerate(WRAPPED.values())
+             for before, after in (("", ""), ("Some words first.\n\n", "\n\nAnd last."))]
+    found = licenses.classify(spark.createDataFrame(texts, "doc_id long, text string"), model)
+    rows = [r for r in found.collect() if r.confirmed]
+    families = list(WRAPPED)
+    assert {(r.doc_id, r.family) for r in rows} >= set(enumerate(families))
+    assert all(r.family in (families[r.doc_id], "other") for r in rows)
+    bsd = [r for r in rows if r.doc_id == 1]
+    assert sorted((r.line, r.lines) for r in bsd) == [(0, 3), (2, 3)]
+    assert bsd[0].paragraph.split("\n")[1] == "modification, are permitted provided that the following conditions"
+    mit = {r.paragraph.split("\n")[0].split(",")[0] for r in rows if r.doc_id == 0}
+    assert {"Permission is hereby granted", 'THE SOFTWARE IS PROVIDED "AS IS"'} <= mit
+
+
+def test_scores_match_plain_python(spark, small):
+    """Probabilities and shares of all paragraphs, against the model in plain Python."""
+    model = licenses.train(licenses.ordinary_paragraphs(documents(spark, small)))
+    docs = documents(spark, small)
+    found = licenses.classify(docs, model).collect()
+    assert len(found) >= 5
+    scores = model.scores([r.paragraph for r in found]) / model.temperature
+    for r, z in zip(found, scores, strict=True):
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert abs(p.max() - r.probability) < 1e-9
+        family = model.classes[p.argmax()]
+        words = set(licenses.tokens_of(r.paragraph))
+        share = max(len(words & set(licenses.tokens_of(t))) / len(set(licenses.tokens_of(t)))
+                    for t in licenses.TEMPLATES[family])
+        assert abs(share - r.template_share) < 1e-9
+        assert r.family == (family if p.max() >= licenses.LEAST_PROBABILITY else "unknown")
+
+
 def test_licence_accuracy_on_left_out_notices(spark, small):
     """Models that never saw a notice of a family with several name its family."""
     ordinary = licenses.ordinary_paragraphs(documents(spark, small), 200)
