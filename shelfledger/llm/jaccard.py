@@ -604,3 +604,33 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT row_no, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+        ELSE [w[i:i + 3] for i in range(1, len(w) - 2)] END) AS shingle
+    FROM texts
+), sizes AS (
+    SELECT row_no, count(*) AS n FROM shingles GROUP BY row_no
+), links AS (
+    SELECT a.row_no AS a, b.row_no AS b
+    FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.row_no <> b.row_no
+        JOIN sizes m ON m.row_no = a.row_no JOIN sizes n ON n.row_no = b.row_no
+    GROUP BY a.row_no, b.row_no, m.n, n.n
+    HAVING 100 * count(*) >= 85 * (m.n + n.n - count(*))
+), reached AS (
+    SELECT row_no AS a, row_no AS b FROM texts
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT t.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM texts t JOIN reached r ON r.a = t.row_no JOIN texts o ON o.row_no = r.b
+    LEFT JOIN sizes s ON s.row_no = t.row_no
+GROUP BY t.row_no, t.doc_id
+"""

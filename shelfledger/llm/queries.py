@@ -2,7 +2,7 @@
 
 from shelfledger.llm.divergence import OP11_SQL, op11_divergence
 from shelfledger.llm.fingerprints import op5_fingerprints
-from shelfledger.llm.jaccard import op10_jaccard_join
+from shelfledger.llm.jaccard import OP10_SQL, op10_jaccard_join
 from shelfledger.llm.languages import op7_languages
 from shelfledger.llm.licenses import op3_licenses
 from shelfledger.llm.line_runs import OP13_SQL, op13_line_dedup
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op10_jaccard_join": OP10_SQL,
     "op11_divergence": OP11_SQL,
     "op13_line_dedup": OP13_SQL,
 }
