@@ -10,7 +10,7 @@ from shelfledger.llm.mixing import op6_mixing
 from shelfledger.llm.packing import op2_packing
 from shelfledger.llm.personal import op1_personal_data
 from shelfledger.llm.quality import op4_quality
-from shelfledger.llm.secrets import op8_secrets
+from shelfledger.llm.secrets import OP8_SQL, op8_secrets
 from shelfledger.llm.warc import op9_warc
 from shelfledger.llm.whitening import op12_whitening
 
@@ -31,6 +31,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op8_secrets": OP8_SQL,
     "op10_jaccard_join": OP10_SQL,
     "op11_divergence": OP11_SQL,
     "op13_line_dedup": OP13_SQL,

@@ -247,3 +247,38 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base, RULES), 256).alias("base_sha256"),
         joined(F.col("spans"), RULES).alias("spans"),
     )
+
+
+def _hits_sql(number: int, rule: Rule) -> str:
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    SELECT row_no, {number} AS rule, '{rule.kind}' AS kind, {rule.least} AS least,
+        unnest(regexp_extract_all(text, '{pattern}')) AS found,
+        unnest(regexp_extract_all(text, '{pattern}', {rule.checked})) AS checked,
+        unnest(string_split_regex(text, '{pattern}')) AS gap,
+        unnest(range(len(regexp_extract_all(text, '{pattern}')) + 1)) AS place
+    FROM texts"""
+
+
+_HITS_SQL = "\n    UNION ALL".join(_hits_sql(n, r) for n, r in enumerate(RULES))
+_COUNTS_SQL = ",\n    ".join(
+    f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES
+)
+#: The pieces between a rule's matches and the matches take turns, which gives their places.
+OP8_SQL = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+), pieces AS ({_HITS_SQL}
+), placed AS (
+    SELECT *, sum(length(gap)) OVER w + sum(length(found)) OVER w - length(found) AS start
+    FROM pieces WINDOW w AS (PARTITION BY row_no, rule ORDER BY place)
+), spans AS (
+    SELECT *, kind || ':' || start || ':' || (start + length(found)) AS span
+    FROM placed WHERE length(checked) >= least
+)
+SELECT any_value(doc_id) AS doc_id, {_COUNTS_SQL},
+    sha256(coalesce(string_agg(span, ',' ORDER BY start, rule)
+        FILTER (rule < {len(BASE_RULES)}), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY start, rule), '') AS spans
+FROM texts LEFT JOIN spans USING (row_no) GROUP BY row_no
+"""
