@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from shelfledger.llm.common import (
-    BLANKS, cleared, documents, let, null_safe, shared_path, written,
+    BLANKS, cleared, documents, let, noted, null_safe, shared_path, written,
 )
 
 #: Runs of a level that are merged into one of the next level.
@@ -196,9 +196,12 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """(doc_id, kept_text, n_lines, n_dropped): texts without the lines that
     ``dropped(doc_id, t1, t2, at)`` names."""
     rows = _identified(docs)
-    gone = dropped.groupBy("doc_id", "t1", "t2").agg(F.collect_set("at").alias("gone")).select(
+    # from a written table, so that a row with most of the copies can be split in the join
+    gone = written(dropped.groupBy("doc_id", "t1", "t2").agg(
+        F.collect_set("at").alias("gone")
+    ).select(
         F.col("doc_id").alias("_doc"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "gone"
-    )
+    ), "gone")
     kept = let(F.split("text", "\n"), lambda lines: F.concat_ws("\n", F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")),
         lambda i: F.get(lines, i),
@@ -237,26 +240,28 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES, runs: LineRuns | None =
     if own:
         kind = docs.schema["doc_id"].dataType.simpleString()
         runs = LineRuns(spark, shared_path(spark, "line-runs"), kind)
-    dropped = []
+    dropped, read = [], [lines_path]
     for i in range(n):
         part = lines.where(F.col("batch") == i)
         fresh = runs.stage(part.select(*HASH, "doc_id")).select(
             F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "first"
         )
         # the key holds the document too, so a line of many documents is many keys
-        dropped.append(written(part.join(
-            fresh, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
-            & null_safe("doc_id", "first"), "left_anti",
-        ).select("doc_id", "t1", "t2", "at"), "dropped"))
+        with noted(read):
+            dropped.append(written(part.join(
+                fresh, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))
+                & null_safe("doc_id", "first"), "left_anti",
+            ).select("doc_id", "t1", "t2", "at"), "dropped"))
         runs.commit()
     if own:
         runs.close()
         cleared(spark, [runs.folder])
-    cleared(spark, [lines_path])
     gone = dropped[0]
     for more in dropped[1:]:
         gone = gone.union(more)
-    return without(docs, gone)
+    kept = without(docs, gone)
+    cleared(spark, read)
+    return kept
 
 
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
