@@ -158,11 +158,12 @@ def densify_batch(batch: DataFrame, state: DataFrame) -> DensifiedBatch:
         batch.filter("DATE IS NOT NULL").select(*SERIES).distinct().alias("b"),
         same_key("s", "b", SERIES), "left_semi",
     )
-    closed = state.select(*SERIES, "DATE").distinct()
-    late = batch.alias("b").join(
-        closed.alias("c"), same_key("b", "c", SERIES) & (F.col("b.DATE") < F.col("c.DATE")),
-        "left_semi",
-    ).select(*KEYS).head(1)
+    # one row per series on both sides, sorted: the state's files are too small a measure of it
+    first = date_bounds(batch).alias("b")
+    closed = date_bounds(state).hint("merge").alias("c")
+    late = first.join(
+        closed, same_key("b", "c", SERIES) & (F.col("b.MIN_DATE") < F.col("c.MAX_DATE"))
+    ).select(*[f"b.{c}" for c in SERIES], "b.MIN_DATE").head(1)
     if late:
         raise ValueError(f"a day before the last one of its series: {tuple(late[0])}")
     columns = state.columns

@@ -14,6 +14,9 @@ from shelfledger.sources.sinks import with_location_group, write_partitioned
 from shelfledger.sources.workspace import work_dir
 
 MERGE_KEYS = (GROUP, "DATE")
+#: Rows of a batch up to which its keys are sent to all tasks, some 10 MB; those of a larger one
+#: are met by sorting. Spark would go by the size of the compressed files, a small part of it.
+SENT = 100_000
 
 
 def _grouped(batch: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -58,9 +61,10 @@ def merge_rows(
     write_partitioned(batch, incoming, by, replace_all=True)
     # the written batch names the partitions it touches, and meets the old rows several times
     fresh = spark.read.schema(batch.schema).parquet(incoming)
-    merged, expected = fresh, 0
+    merged, expected, sent = fresh, 0, fresh.count()
     if _exists(spark, consolidated):
-        touched, given = fresh.select(*by).distinct(), fresh.select(*keys).distinct()
+        touched = fresh.select(*by).distinct()
+        given = fresh.select(*keys).hint("broadcast" if sent <= SENT else "merge")
         here = spark.read.parquet(consolidated).alias("o").join(
             touched.alias("t"), same_key("o", "t", by), "left_semi"
         )
@@ -71,7 +75,7 @@ def merge_rows(
     aside = work_dir(spark, "merge-aside")
     write_partitioned(merged, aside, by, replace_all=True)
     staged = spark.read.schema(merged.schema).parquet(aside)
-    sent, found = fresh.count(), staged.count()
+    found = staged.count()
     if found != expected + sent:
         raise ValueError(
             f"merge written aside holds {found} rows, not the {expected} that stay and {sent} new"

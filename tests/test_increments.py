@@ -308,6 +308,35 @@ def test_merge_stage_by_rows(spark, tmp_path):
     assert [r[3] for r in table(spark, f"{tmp_path}/all")] == [9.0, 3.0, 2.0]
 
 
+def plans_since(spark, start):
+    """The final plans of the queries that ran since the session had run ``start``."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [e.physicalPlanDescription() for e in (found.apply(i) for i in range(start, found.size()))]
+
+
+def executions(spark):
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return spark._jsparkSession.sharedState().statusStore().executionsList().size()
+
+
+@pytest.mark.parametrize("n", [1000, 150_000])
+def test_the_keys_of_a_large_batch_are_not_sent_to_all_tasks(spark, tmp_path, n):
+    """However well its files are compressed."""
+    path = f"{tmp_path}/all"
+    batch = spark.range(n).select(
+        F.when(F.col("id") > 0, F.col("id")).cast("int").alias("SKU"), F.lit(10).alias("LOCATION"),
+        F.lit(DAY).alias("DATE"), F.lit(1.0).alias("N"),
+    )
+    merge.merge_rows(batch.withColumn("SKU", F.col("SKU") * 2), path)
+    start = executions(spark)
+    merge.merge_rows(batch.withColumn("N", F.lit(2.0)), path)
+    joins = [p for p in plans_since(spark, start) if "LeftAnti" in p]
+    assert joins and all(("SortMergeJoin LeftAnti" in p) == (n > merge.SENT) for p in joins)
+    found = spark.read.parquet(path).groupBy("N").count()
+    assert rows(found) == [(1.0, n // 2), (2.0, n)]
+
+
 # ---- densify in batches -------------------------------------------------------------------
 
 BALANCES = ("IP_QTY_BOP_INTRANS", "IP_QTY_EOP_SOH", "IP_QTY_EOP_INTRANS", "IP_QTY_BOP_SOH")
@@ -356,3 +385,13 @@ def test_a_day_before_the_state_stops(spark):
         inventory.densify_batch(snapshot(spark, [(1, 10, DAY, *[1.0] * 4)]), state)
     again = snapshot(spark, [(1, 10, DAY + dt.timedelta(3), *[2.0] * 4)])
     assert inventory.densify_batch(again, state).rows.count() == 2
+
+
+def test_the_state_is_not_sent_to_all_tasks(spark):
+    """It has a row per series; how many these are doesn't show in the size of its files."""
+    state = snapshot(spark, [(i, 10, DAY, *[1.0] * 4) for i in range(50)])
+    batch = snapshot(spark, [(i, 10, DAY + dt.timedelta(2), *[2.0] * 4) for i in range(50)])
+    start = executions(spark)
+    inventory.densify_batch(batch, state)
+    plans = plans_since(spark, start)
+    assert plans and not [p for p in plans if "BroadcastHashJoin" in p]
