@@ -37,17 +37,26 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, header): the first line of each file.
+def first_lines(lines: DataFrame) -> DataFrame:
+    """(file, header): the first line of each file of ``lines(file, start, value)``.
 
-    A file's first block lies in one task in file order, so its first line is the header.
+    A file's first block lies in one task in file order, so its first line is the header. Texts
+    are held in a hash table, one per file, only where an aggregate has objects in its buffers;
+    else Spark sorts all lines of a task by file first. The list of nothing is such an aggregate.
     """
+    nothing = F.collect_list(F.lit(None).cast("int"))
     return (
-        _lines(spark, paths).filter("start = 0").groupBy("file")
-        .agg(F.first("value").alias("header"))
+        lines.filter("start = 0").withColumn("at", F.monotonically_increasing_id())
+        .groupBy("file").agg(F.min_by("value", "at").alias("header"), nothing.alias("nothing"))
+        .filter(F.size("nothing") == 0).select("file", "header")
     )
 
 
+def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, header): the first line of each file."""
+    return first_lines(_lines(spark, paths))
+
+
 def read_mixed_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files with any headers as one table; a column that a file lacks is NULL.
 

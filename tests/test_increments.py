@@ -131,6 +131,16 @@ def test_column_names(header, names):
     assert dropped.column_names(header) == names
 
 
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    """Nor does the order of lines with equal keys matter, which a sort that spills may change."""
+    for n in range(200):
+        write(named(tmp_path, "01072023", n), f"Z{n % 2},B\n" + "A,C\n" * 50)
+    found = csv.file_headers(spark, [f"{tmp_path}/FD_SALES"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "ObjectHashAggregate" in plan
+    assert rows(found.groupBy("header").count()) == [("Z0,B", 100), ("Z1,B", 100)]
+
+
 # ---- ledger -------------------------------------------------------------------------------
 
 NEEDED = ("FD_SALES", "FD_STORE_INV")
