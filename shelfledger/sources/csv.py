@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from csv import reader as csv_lines
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,25 @@ def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     return first_lines(_lines(spark, paths))
 
 
+def parsed_once(names: tuple[str, ...], columns: list[str], corrupt: str | None = None) -> Column:
+    """An array of one struct: the text ``columns`` of a line with the fields ``names``, and if
+    ``corrupt`` is named the text of a line with too few or too many.
+
+    Each field that is taken from ``from_csv`` parses the line again, and so does each use of it
+    in a filter that Spark moves to the parse. The fields of an array's element do not, and no
+    filter is moved below the explosion of one.
+    """
+    read = (*names, corrupt) if corrupt else names
+    row = F.from_csv(
+        "value", ", ".join(f"`{c}` STRING" for c in read),
+        {"columnNameOfCorruptRecord": corrupt} if corrupt else {},
+    )
+    wanted = [*columns, corrupt] if corrupt else columns
+    return F.transform(F.array(row), lambda r: F.struct(*(
+        (r[c] if c in read else F.lit(None).cast("string")).alias(c) for c in wanted
+    )))
+
+
 def read_mixed_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files with any headers as one table; a column that a file lacks is NULL.
 
@@ -72,13 +91,10 @@ def read_mixed_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
     parsed = F.lit(None)
     for header in layouts:
-        names = _names(header)
-        row = F.from_csv("value", ", ".join(f"`{c}` STRING" for c in names))
-        whole = F.struct(*[
-            (row[c] if c in names else F.lit(None).cast("string")).alias(c) for c in columns
-        ])
-        parsed = F.when(F.col("header") == header, whole).otherwise(parsed)
-    return lines.select(parsed.alias("row"), "file").select("row.*", "file")
+        parsed = F.when(
+            F.col("header") == header, parsed_once(_names(header), columns)
+        ).otherwise(parsed)
+    return lines.select(F.explode_outer(parsed).alias("row"), "file").select("row.*", "file")
 
 
 def _first_seen(layouts: list[str]):

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfledger.functions.names import file_name
 from shelfledger.operators.joins import skew_safe_left_join
-from shelfledger.sources.csv import DROPPED, first_lines
+from shelfledger.sources.csv import DROPPED, first_lines, parsed_once
 from shelfledger.sources.manifest import file_manifest
 from shelfledger.sources.workspace import materialize
 
@@ -119,22 +119,18 @@ def dropped_rows(
     )
     parsed = F.lit(None)
     for header in fit:
-        names = column_names(header)
-        row = F.from_csv(
-            "value", ", ".join(f"`{c}` STRING" for c in (*names, _CORRUPT)),
-            {"columnNameOfCorruptRecord": _CORRUPT},
-        )
-        whole = F.struct(
-            *((row[c] if c in names else F.lit(None).cast("string")).alias(c) for c in columns),
-            row[_CORRUPT].alias(LINE),
-        )
-        parsed = F.when(F.col("header") == header, whole).otherwise(parsed)
+        parsed = F.when(
+            F.col("header") == header, parsed_once(column_names(header), columns, _CORRUPT)
+        ).otherwise(parsed)
     if not fit:
-        parsed = F.struct(*(F.lit(None).cast("string").alias(c) for c in columns),
-                          F.lit(None).cast("string").alias(LINE))
+        parsed = F.array(F.struct(*(
+            F.lit(None).cast("string").alias(c) for c in (*columns, _CORRUPT)
+        )))
     unread = F.when(F.col("lacking").isNotNull(), F.col("value"))
-    return found.select(parsed.alias("row"), unread.alias("unread"), "lacking", FILE).select(
+    return found.select(
+        F.explode_outer(parsed).alias("row"), unread.alias("unread"), "lacking", FILE
+    ).select(
         *(F.col("row").getField(c).alias(c) for c in columns), FILE,
-        F.coalesce(F.col("row").getField(LINE), F.col("unread")).alias(LINE),
+        F.coalesce(F.col("row").getField(_CORRUPT), F.col("unread")).alias(LINE),
         F.col("lacking").alias(LACKING),
     )

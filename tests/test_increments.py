@@ -141,6 +141,17 @@ def test_headers_are_found_without_sorting_lines(spark, tmp_path):
     assert rows(found.groupBy("header").count()) == [("Z0,B", 100), ("Z1,B", 100)]
 
 
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """However many fields are taken from it or looked at by the filter of invalid rows."""
+    path = write(named(tmp_path, "01072023"), HEADER + "1,2,2023-07-01\n1,,2023-07-01\n1,2\n")
+    folder = f"{tmp_path}/FD_SALES"
+    found = dropped.dropped_rows(spark, folder, listed(spark, path), REQUIRED)
+    invalid = validate.validate(found, RULES).invalid
+    for df in (invalid, csv.read_raw_csv(spark, folder, mixed_headers=True).filter("SKU = '1'")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    assert rows(invalid, "SKU", "UNITS", dropped.LINE) == [("1", "2", "1,2"), ("1", None, None)]
+
+
 # ---- ledger -------------------------------------------------------------------------------
 
 NEEDED = ("FD_SALES", "FD_STORE_INV")
