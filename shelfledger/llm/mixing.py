@@ -148,69 +148,112 @@ def mix(docs: DataFrame) -> DataFrame:
 
 def mix_sized(sized: DataFrame) -> DataFrame:
     """``mix`` of rows that carry row, doc_id, source, size and key."""
+    return taken_by(
+        sized.select("row", "doc_id", "source", "size", "key"), *source_rules(sized)
+    ).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def source_rules(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What decides how often the mix takes each row, and is small against the rows.
+
+    The rules (source, source_size, target, lam, cut), one a source: a row's rate follows from its
+    size and lam; it is taken as often as the whole part of that, and once more when its place in
+    the source's random order lies in a part up to cut. Then (row, more): the rows that are taken
+    more often than that, those of the part in which the target falls and those that fill what
+    remains.
+    """
     targets = written(source_targets(sized), "targets")
     lam = balance(sized, targets).select(F.col("source").alias("_s"), "lam")
     goals = written(
         targets.join(lam, targets["source"].eqNullSafe(lam["_s"]), "left").drop("_s"), "goals"
     )
-    g = goals.select(*(F.col(c).alias(f"_{c}") for c in goals.columns))
-    rate = F.least(F.lit(float(MOST_COPIES)), _rate(F.coalesce("_lam", F.lit(0.0)), F.col("size")))
+    rated = written(
+        _rated(sized.select("row", "source", "size", "key"), goals).select(
+            "row", "source", "size", "key", "target", "whole", "at", "part"
+        ), "rated",
+    )
+    return _rounded(rated, goals)
+
+
+def _rated(rows: DataFrame, goals: DataFrame) -> DataFrame:
+    """``rows(source, size, key, ...)`` with all columns of their source's goal, rate, whole, and
+    place and part in the source's random order where a further copy is possible."""
+    g = goals.select(F.col("source").alias("_source"), *(
+        c for c in goals.columns if c != "source"
+    ))
+    rate = F.least(F.lit(float(MOST_COPIES)), _rate(F.coalesce("lam", F.lit(0.0)), F.col("size")))
     share = F.col("rate") - F.floor("rate")
     # uniform in (0, 1), over the share: the smallest are rounded up
     u = (F.col("key").bitwiseAND((1 << 52) - 1) + 0.5) / float(1 << 52)
     order = u / F.greatest(share, F.lit(1e-12))
-    rated = written(
-        sized.join(g, sized["source"].eqNullSafe(g["_source"]), "left")
+    return (
+        rows.join(g, rows["source"].eqNullSafe(g["_source"]), "left").drop("_source")
         .withColumn("rate", F.when(F.col("size") > 0, rate).otherwise(F.lit(1.0)))
-        .select(
-            "row", "doc_id", "source", "size", "key", "rate",
-            F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
-            F.when(F.col("size") > 0, F.floor("rate")).otherwise(0).cast("int").alias("whole"),
-            F.when((F.col("size") > 0) & (share > 0), order / (1 + order)).alias("at"),
-        ), "rated",
+        .withColumns({
+            "whole": F.when(F.col("size") > 0, F.floor("rate")).otherwise(0).cast("int"),
+            "at": F.when((F.col("size") > 0) & (share > 0), order / (1 + order)),
+        })
+        .withColumn("part", F.floor(F.col("at") * PARTS).cast("int"))
+    )
+
+
+def taken_by(rows: DataFrame, rules: DataFrame, more: DataFrame) -> DataFrame:
+    """``rows(row, source, size, key, ...)`` with rate, source_size, target and copies.
+
+    Rules and further copies are joined to the rows, so that where sources are few the rows, which
+    may carry texts, stay where they are.
+    """
+    once_more = F.when(F.col("part") <= F.col("cut"), 1).otherwise(0)
+    m = more.select(F.col("row").alias("_row"), F.col("more").alias("_more"))
+    return _rated(rows, rules).join(m, F.col("row") == F.col("_row"), "left").select(
+        *rows.columns, "rate", "source_size", "target",
+        (F.col("whole") + once_more + F.coalesce("_more", F.lit(0))).cast("int").alias("copies"),
     )
-    return _rounded(rated)
 
 
-def _rounded(rated: DataFrame) -> DataFrame:
+def _rounded(rated: DataFrame, goals: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rates to copies: whole parts first, then one more copy each in random order up to the
-    target, then a few documents that fill what remains."""
+    target, then a few documents that fill what remains. Returns what ``source_rules`` does."""
     base = rated.groupBy("source").agg(
         F.max("target").alias("target"), F.sum(F.col("whole") * F.col("size")).alias("whole_words")
-    ).select("source", (F.col("target") - F.col("whole_words")).alias("room"))
-    waiting = rated.where("at is not null").withColumn(
-        "part", F.floor(F.col("at") * PARTS).cast("int")
-    )
+    ).select(F.col("source").alias("_s"), (F.col("target") - F.col("whole_words")).alias("room"))
+    waiting = rated.where("at is not null")
     # sums of parts first: one window over at most PARTS rows a source, however large it is
     parts = waiting.groupBy("source", "part").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("part")
     parts = parts.withColumn("upto", F.sum("words").over(
         upto.rowsBetween(Window.unboundedPreceding, 0)
     ))
-    p = parts.join(
-        base.select(F.col("source").alias("_s"), "room"),
-        F.col("source").eqNullSafe(F.col("_s")),
-    ).select(
-        F.col("source").alias("_source"), F.col("part").alias("_part"),
-        (F.col("room") - F.col("upto") + F.col("words")).alias("left"),
-        (F.col("upto") <= F.col("room")).alias("whole_part"),
-    ).where("left > 0")
-    placed = waiting.join(
-        p, F.col("source").eqNullSafe(F.col("_source")) & (F.col("part") == F.col("_part"))
+    # sizes are at least 1, so sums rise: the parts that fit whole come first, then at most one more
+    cuts = written(
+        parts.join(base, F.col("source").eqNullSafe(F.col("_s"))).groupBy("source").agg(
+            F.max(F.when(F.col("upto") <= F.col("room"), F.col("part"))).alias("cut"),
+            F.min(F.when(
+                (F.col("upto") > F.col("room")) & (F.col("upto") - F.col("words") < F.col("room")),
+                F.struct("part", (F.col("room") - F.col("upto") + F.col("words")).alias("left")),
+            )).alias("last"),
+        ).select(F.col("source").alias("_s"), "cut", F.col("last.part").alias("_part"), "last.left"),
+        "cuts",
+    )
+    rules = written(
+        goals.join(cuts, goals["source"].eqNullSafe(cuts["_s"]), "left").select(
+            *goals.columns, "cut"
+        ), "rules",
     )
-    whole = placed.where("whole_part").select("row")
     # only the part in which the target falls needs the order of its documents
     inner = Window.partitionBy("source", "part").orderBy("at", "key", "row").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    crossing = placed.where("not whole_part").withColumn(
-        "upto", F.sum("size").over(inner)
-    ).where("upto <= left").select("row")
-    extra = whole.union(crossing).select(F.col("row").alias("_row"), F.lit(1).alias("extra"))
+    crossing = written(
+        waiting.join(
+            cuts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("part") == F.col("_part"))
+        ).withColumn("upto", F.sum("size").over(inner)).where("upto <= left").select(
+            "row", F.lit(1).alias("more")
+        ), "crossing",
+    )
     chosen = written(
-        rated.join(extra, F.col("row") == F.col("_row"), "left").select(
-            "row", "doc_id", "source", "size", "key", "rate", "source_size", "target",
-            (F.col("whole") + F.coalesce("extra", F.lit(0))).alias("copies"),
+        taken_by(rated.select("row", "source", "size", "key"), rules, crossing).select(
+            "row", "source", "size", "key", "target", "copies"
         ), "chosen",
     )
     fill = None
@@ -225,13 +268,15 @@ def _rounded(rated: DataFrame) -> DataFrame:
         )
         best = fits.groupBy("source").agg(
             F.max(F.struct("size", "key", F.col("row"))).alias("best")
-        ).select(F.col("best.row").alias("_row"), F.lit(1).alias("more"))
+        ).select("best.row", F.lit(1).alias("more"))
         fill = written(best if fill is None else fill.unionByName(best), "fill")
-    return _with_fill(chosen, fill).withColumn("taken", F.col("copies") * F.col("size"))
+    return rules, written(
+        crossing.unionByName(fill).groupBy("row").agg(F.sum("more").alias("more")), "more"
+    )
 
 
 def _with_fill(chosen: DataFrame, fill: DataFrame) -> DataFrame:
-    more = fill.groupBy("_row").agg(F.sum("more").alias("more"))
+    more = fill.groupBy(F.col("row").alias("_row")).agg(F.sum("more").alias("more"))
     return chosen.join(more, F.col("row") == F.col("_row"), "left").select(
         *(c for c in chosen.columns if c != "copies"),
         (F.col("copies") + F.coalesce("more", F.lit(0))).cast("int").alias("copies"),
@@ -242,13 +287,11 @@ def copies_of(docs: DataFrame) -> DataFrame:
     """Documents repeated as often as the mix takes them, with all columns as they are."""
     t = F.coalesce(F.col("text"), F.lit(""))
     numbered = written(whole_rows(
-        docs, F.monotonically_increasing_id().alias("row"), "doc_id", "source",
+        docs, F.monotonically_increasing_id().alias("row"), "source",
         word_count(t).alias("size"), F.xxhash64("doc_id", t).alias("key"),
     ), "numbered")
-    mixed = mix_sized(numbered.select("row", "doc_id", "source", "size", "key")).where(
-        "copies > 0"
-    ).select(F.col("row").alias("_row"), "copies")
-    taken = numbered.join(mixed, F.col("row") == F.col("_row")).select(
+    rules, more = source_rules(numbered.drop("_whole"))
+    taken = taken_by(numbered, rules, more).where("copies > 0").select(
         "_whole", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     )
     return restored(taken, docs)

@@ -233,6 +233,26 @@ def test_mixing_edges(spark):
     assert copied.count() == sum(r.copies for r in found)
 
 
+def test_texts_stay_in_place_where_sources_are_few(spark):
+    """However many rows there are to be copied, only what sources decide is sent along."""
+    docs = spark.range(20_000, numPartitions=4).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("a b "), (F.col("id") % 9).cast("int")).alias("text"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("source"),
+    )
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "65536")
+    try:
+        copied = mixing.copies_of(docs)
+        plan = copied._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+        found = collections.Counter(r.doc_id for r in copied.collect())
+    finally:
+        spark.conf.set(name, before)
+    assert found == collections.Counter(
+        {r.doc_id: r.copies for r in mixing.mix(docs).where("copies > 0").collect()})
+
+
 # ---- secrets ------------------------------------------------------------------------------
 
 PLAIN = {
