@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Shuffle partitions, which are as many as the texts need, whose ids and counts fill one file.
+PARTITIONS_A_FILE = 32
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -68,6 +70,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few_files(spark: SparkSession) -> int:
+    """In how many files to write ids or counts: in as many as tasks run at once, or more of large
+    inputs. A file per shuffle partition would hold a few rows, and take longer to open than to read.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, partitions // PARTITIONS_A_FILE)
+
+
 def written_by(df: DataFrame, name: str, key: str) -> DataFrame:
     """``written``, dealt into buckets by ``key``: joins on the key don't move its rows again."""
     spark = df.sparkSession

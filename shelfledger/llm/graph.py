@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import cleared, noted, written
+from shelfledger.llm.common import cleared, few_files, noted, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,11 +17,12 @@ def components(links: DataFrame) -> DataFrame:
     of the longest path.
     """
     spark, before = links.sparkSession, []
+    files = few_files(spark)
     with noted(before):
         edges = written(
             links.where("a <> b").select(
                 F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-            ).distinct(), "edges",
+            ).distinct().coalesce(files), "edges",
         )
     mark = None
     while True:
@@ -32,11 +33,12 @@ def components(links: DataFrame) -> DataFrame:
         ).where("u <> v").distinct()
         now_written: list[str] = []
         with noted(now_written):
-            large = written(large, "edges")
+            large = written(large.coalesce(files), "edges")
             low = large.groupBy("u").agg(F.min("v").alias("m"))
             edges = written(
                 large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct(), "edges",
+                .where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
+                .coalesce(files), "edges",
             )
         now = tuple(edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
@@ -48,6 +50,6 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
     found = written(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    ), "labels")
+    ).coalesce(files), "labels")
     cleared(spark, before)
     return found

@@ -32,7 +32,7 @@ from shelfledger.llm.batches import (
     word_hashes,
 )
 from shelfledger.llm.common import (
-    cleared, documents, noted, null_safe, restored, whole_rows, written, written_by,
+    cleared, documents, few_files, noted, null_safe, restored, whole_rows, written, written_by,
 )
 from shelfledger.llm.graph import components
 
@@ -397,24 +397,27 @@ def region_links(
     most of a group of near copies, so what remains is to meet the few others, the open ones. A
     region with many open documents is parted into rings around one of them, and again.
     """
+    files = few_files(shared.sparkSession)
     cells = written(
         shared.where(F.col("held") > REGION).select(
             F.xxhash64("pivot").alias("cell"), "cid"
-        ).distinct(), "cells",
+        ).distinct().coalesce(files), "cells",
     )
     held = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("held"))
-    found = [written(pivot_links(cells.join(held, "cell"), sets, like), "pivot-links")]
+    found = [written(
+        pivot_links(cells.join(held, "cell"), sets, like).repartition(files), "pivot-links"
+    )]
     parts = _with_labels(cells, links.union(found[0])).withColumns({
         "at": F.lit(0.0), "core": F.lit(True)
     })
     for level in range(DEPTH + 1):
-        sized = written(_sized(parts), "sized")
+        sized = written(_sized(parts).repartition(files), "sized")
         fits = (F.col("held") <= BLOCK) | (F.col("open") <= BLOCK)
         if level == DEPTH or sized.where(~fits).isEmpty():
             return [*found, block_links(sized, sets, like)]
         found.append(block_links(sized.where(fits), sets, like))
         deep = sized.where(~fits).select("cell", "pivot", "cid", "label")
-        parts = written(part_around(deep, sets, like), "parts")
+        parts = written(part_around(deep, sets, like).repartition(files), "parts")
     return found
 
 
@@ -536,6 +539,7 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     spark, gone = docs.sparkSession, []
+    files = few_files(spark)  # light work is done in as many tasks; rows of other work are dealt
     signed = written(signatures(docs, like), "signatures")
     classes = written(
         signed.where("n > 0").groupBy("k1", "k2", "n").agg(
@@ -549,20 +553,22 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
             pairs.select("a")
         ).union(pairs.select("b")).distinct()
         needed = written(
-            classes.select("cid", "k1", "k2", "n", "first").join(members, "cid"), "needed"
+            classes.select("cid", "k1", "k2", "n", "first").join(members, "cid").coalesce(files),
+            "needed",
         )
         sets = needed_sets(docs, needed, like)
         links = written(
-            with_common(pairs, sets).where(linked(like)).select("a", "b"), "pair-links"
+            with_common(pairs, sets).where(linked(like)).select("a", "b").repartition(files),
+            "pair-links",
         )
         for more in region_links(shared, sets, like, links):
             links = links.union(more)
-    links = written(links, "links")
+    links = written(links.repartition(files), "links")
     cleared(spark, gone)  # what led to the links has been read
     found = components(links)
     named = written(found.join(
         classes.select(F.col("cid").alias("node"), "first"), "node"
-    ), "named")
+    ).coalesce(files), "named")
     leader = named.groupBy("label").agg(F.min("first").alias("leader"))
     of_class = classes.select("k1", "k2", "n", "cid", "first").join(
         named.join(leader, "label").select(F.col("node").alias("cid"), "leader"), "cid", "left"

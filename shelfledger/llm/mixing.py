@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfledger.llm.common import documents, restored, whole_rows, word_count, written
+from shelfledger.llm.common import documents, few_files, restored, whole_rows, word_count, written
 
 #: Weights of the sources in code point order, repeating; null comes last.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -74,9 +74,10 @@ def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     divided by the source's root mean square size, so that steps are of one order. A source
     whose target is its cap has every document MOST_COPIES times, in the limit.
     """
+    files = few_files(sizes.sparkSession)
     counts = written(
-        sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")),
-        "sizes",
+        sizes.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
+        .coalesce(files), "sizes",
     )
     scale = counts.groupBy(F.col("source").alias("_s")).agg(
         F.sqrt(F.sum(F.col("size").cast("double") * F.col("size") * F.col("n")) / F.sum("n"))
@@ -88,7 +89,7 @@ def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
             "source", "target", "source_size", "scale",
             F.lit(0.0).alias("lam"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"),
             F.lit(1.0).alias("gap"),
-        ), "dual",
+        ).coalesce(files), "dual",
     )
     for _ in range(MOST_STEPS):
         s = state.select(*(F.col(c).alias(f"_{c}") for c in state.columns))
@@ -122,7 +123,7 @@ def balance(sizes: DataFrame, targets: DataFrame) -> DataFrame:
                 .otherwise(bounded).alias("lam"),
                 F.col("low1").alias("low"), F.col("high1").alias("high"),
                 (F.abs(off) / F.col("source_size")).alias("gap"),
-            ), "dual",
+            ).coalesce(files), "dual",
         )
         if (state.agg(F.max("gap")).first()[0] or 0.0) <= TOLERANCE:
             break

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfledger.llm.batches import map_texts
-from shelfledger.llm.common import documents, null_safe, restored, whole_rows, written
+from shelfledger.llm.common import documents, few_files, null_safe, restored, whole_rows, written
 
 #: Kinds in the order of the results.
 KINDS = ("email", "ip", "card", "phone")
@@ -201,7 +201,8 @@ def learn_instances(sighted: DataFrame) -> DataFrame:
         sighted.select("row", F.explode("seen").alias("s"))
         .select("row", "s.kind", "s.instance", F.explode("s.patterns").alias("pattern"))
         .groupBy("pattern", "instance", "kind")
-        .agg(F.count(F.lit(1)).alias("times")), "edges",
+        .agg(F.count(F.lit(1)).alias("times"))
+        .coalesce(few_files(sighted.sparkSession)), "edges",
     )
     seeds = edges.where("kind is not null").select(
         "instance", F.col("kind").alias("of"), F.lit(1.0).alias("score")

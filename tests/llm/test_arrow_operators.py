@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import pathlib
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edge_cases import ROWS, edge_frame, no_rows
-from shelfledger.llm import graph, jaccard, languages, packing, personal, warc
+from shelfledger.llm import common, graph, jaccard, languages, packing, personal, warc
 from shelfledger.llm.common import documents
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -436,6 +437,26 @@ def test_near_copies_of_documents(spark, small):
     assert found == plain_components(docs, jaccard.Likeness())
 
 
+def test_tables_of_links_have_few_files(spark):
+    """Not one of a few rows for each shuffle partition."""
+    was = {k: spark.conf.get(f"spark.sql.{k}") for k in (
+        "shuffle.partitions", "adaptive.coalescePartitions.enabled")}
+    tables, dealt = [], 64
+    try:
+        for k, v in zip(was, (str(dealt), "false"), strict=True):
+            spark.conf.set(f"spark.sql.{k}", v)
+        with common.noted(tables):
+            found = graph.components(spark.range(500).selectExpr("2 * id AS a", "2 * id + 1 AS b"))
+            assert found.where("label = 2 * floor(node / 2)").count() == 1000
+    finally:
+        for k, v in was.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+    files = [
+        len(list(pathlib.Path(path.removeprefix("file://")).glob("part-*"))) for path in tables
+    ]
+    assert files and max(files) <= max(dealt // 32, spark.sparkContext.defaultParallelism), files
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7)]
     found = {r.node: r.label for r in graph.components(
