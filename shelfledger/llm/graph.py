@@ -13,7 +13,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round points every node's greater neighbours, then its smaller ones, at the least
     node among them. A grouped minimum and an equi-join do a round; both combine or split a
-    node with many links. Rounds end when the edges no longer change, after about the logarithm
+    node with many links. The join is by sorting, since labels take few bytes in files however
+    many nodes have them. Rounds end when the edges no longer change, after about the logarithm
     of the longest path.
     """
     spark, before = links.sparkSession, []
@@ -28,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(
+        large = both.join(least.hint("merge"), "u").where("v > u").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         ).where("u <> v").distinct()
         now_written: list[str] = []
@@ -36,8 +37,9 @@ def components(links: DataFrame) -> DataFrame:
             large = written(large.coalesce(files), "edges")
             low = large.groupBy("u").agg(F.min("v").alias("m"))
             edges = written(
-                large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                .where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
+                large.join(low.hint("merge"), "u").select(
+                    F.col("v").alias("u"), F.col("m").alias("v")
+                ).where("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct()
                 .coalesce(files), "edges",
             )
         now = tuple(edges.agg(

@@ -15,6 +15,10 @@
   blocks, the unconnected documents with all.
 
 Every candidate is verified on whole shingle sets, so the result is exact.
+
+Joins have a hint to meet by sorting: ids, labels and the sets of near copies take few bytes in
+files, which is what Spark goes by when it sends a table to all tasks through the driver, and an
+exploded column adds rows that files don't have.
 """
 
 from __future__ import annotations
@@ -39,6 +43,8 @@ from shelfledger.llm.graph import components
 #: The most frequent shingles come last in the order of rarity; so many at most are told apart
 #: from the others, which are in the order of their hashes. Any number gives the same result.
 FREQUENT = 1 << 16
+#: Classes of counts to a doubling; the driver finds the least count of a frequent one from them.
+STEPS = 16
 #: Documents from which on a shingle is frequent.
 LEAST_FREQUENT = 16
 #: Shingles of a document all of which may be in its window.
@@ -56,6 +62,8 @@ DEPTH = 2
 #: The filter that picks the documents whose sets are needed has 2 to the power of so many bits at
 #: most, 32 MB; beyond some 100 million of them more sets than needed leave the scan.
 FILTER_BITS = 28
+#: The filter's pieces, which executors make, have 2 to the power of so many bits at most, 8 kB.
+PIECE_BITS = 16
 
 
 @dataclass(frozen=True)
@@ -104,6 +112,8 @@ def frequent_shingles(docs: DataFrame, like: Likeness) -> np.ndarray:
 
     All documents are counted; a shingle that a stretch of a task meets once only is left out of
     what the task reports, since most are, and only an order is wanted: any gives the same result.
+    How many have which count is looked at first, so the driver gets FREQUENT of them at most, not
+    as many from each task.
     """
     zone = np.uint64(int(min(0.999, 1.3 * like.radius + 0.005) * 2.0**64))
 
@@ -128,12 +138,23 @@ def frequent_shingles(docs: DataFrame, like: Likeness) -> np.ndarray:
         if held:
             yield reported(held)
 
-    small_batches(docs.sparkSession)
-    found = (
-        docs.select("text").mapInArrow(run, "token long, n long")
-        .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT)
-        .orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
-    )
+    spark, gone = docs.sparkSession, []
+    small_batches(spark)
+    with noted(gone):
+        counted = written(
+            docs.select("text").mapInArrow(run, "token long, n long")
+            .groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT)
+            .coalesce(few_files(spark)), "frequent",
+        )
+    step = F.floor(F.log2("n") * STEPS)
+    least, many = None, 0
+    for r in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():
+        many += r["count"]
+        if many > FREQUENT:
+            break
+        least = r["step"]
+    found = counted.where(step >= least).select("token").collect() if least is not None else []
+    cleared(spark, gone)
     return np.sort(np.array([r["token"] for r in found], dtype=np.int64).view(np.uint64))
 
 
@@ -174,25 +195,35 @@ def needed_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame
 
     A filter over keys and ids is made on the executors and sent along, so that of each class
     only the document named ``first`` leaves the scan, with few others; the keys themselves
-    decide after that. The filter has 16 bits per class, 2 ** FILTER_BITS bits at most.
+    decide after that. The filter has 16 bits per class, 2 ** FILTER_BITS bits at most, and comes
+    to the driver as bits, in pieces.
     """
     log = min(FILTER_BITS, max(10, (16 * needed.count()).bit_length()))
+    piece = min(log, PIECE_BITS)
     slot = F.col("k1").bitwiseXOR(F.xxhash64("first")).bitwiseAND((1 << log) - 1)
-    words = needed.select(
-        F.shiftright(slot, 5).alias("word"),
-        F.call_function(
-            "shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int")
-        ).alias("bit"),
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(1 << (log - 5), dtype=np.uint32)
-    bits[words.column("word").to_numpy()] = words.column("bits").to_numpy().astype(np.uint32)
+
+    def filled(table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << piece, dtype=np.uint8)
+        bits[table.column("bit").to_numpy()] = 1
+        return pa.table({
+            "at": table.column("at").slice(0, 1),
+            "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], type=pa.binary()),
+        })
+
+    pieces = needed.select(
+        F.shiftright(slot, piece).alias("at"), slot.bitwiseAND((1 << piece) - 1).alias("bit")
+    ).groupBy("at").applyInArrow(filled, "at long, bits binary").toArrow()
+    bits = np.zeros(1 << (log - 3), dtype=np.uint8)
+    for at, part in zip(pieces.column("at").to_pylist(), pieces.column("bits"), strict=True):
+        start = at << (piece - 3)
+        bits[start:start + (1 << (piece - 3))] = np.frombuffer(part.as_buffer(), dtype=np.uint8)
 
     def passing(batch: pa.RecordBatch) -> pa.RecordBatch:
         tokens, starts = _sets(batch, like.width)
         k1, k2 = _keys(tokens, starts)
         at = (k1 ^ batch.column("id").to_numpy().view(np.uint64)) & np.uint64((1 << log) - 1)
-        hit = (bits[(at >> np.uint64(5)).astype(np.int64)]
-               >> (at & np.uint64(31)).astype(np.uint32)) & 1 > 0
+        hit = (bits[(at >> np.uint64(3)).astype(np.int64)]
+               >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
         n = np.diff(starts)
         doc = np.repeat(np.arange(len(n)), n)
         return pa.RecordBatch.from_arrays(
@@ -207,9 +238,9 @@ def needed_sets(docs: DataFrame, needed: DataFrame, like: Likeness) -> DataFrame
         docs.select("text", F.xxhash64("doc_id").alias("id")), "text", passing,
         "k1 long, k2 long, n int, tokens array<long>",
     )
-    sets = found.join(needed.select("cid", "k1", "k2", "n"), ["k1", "k2", "n"]).groupBy("cid").agg(
-        F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")
-    )
+    sets = found.join(
+        needed.select("cid", "k1", "k2", "n").hint("merge"), ["k1", "k2", "n"]
+    ).groupBy("cid").agg(F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens"))
     return written_by(sets, "sets", "cid")
 
 
@@ -236,11 +267,12 @@ def with_common(
 ) -> DataFrame:
     """``pairs(a, b, ...)`` with na, nb and the size of the intersection as ``common``.
 
-    ``sets`` is dealt by cid and stays where it is. ``sets_a`` may hold those of ``a`` alone, for
-    pairs in which one ``a`` may have many ``b``.
+    ``sets`` is dealt by cid and stays where it is. ``sets_a(a, block, tokens)`` may hold those of
+    ``a`` alone, for pairs in which one ``a`` may have many ``b``: a copy for each block of pairs.
     """
-    a = (sets if sets_a is None else sets_a).select(
-        F.col("cid").alias("a"), F.col("tokens").alias("_ta")
+    by = ["a"] if sets_a is None else ["a", "block"]
+    a = (sets.withColumnRenamed("cid", "a") if sets_a is None else sets_a).select(
+        *by, F.col("tokens").alias("_ta")
     )
     b = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("_tb"))
 
@@ -261,9 +293,9 @@ def with_common(
     small_batches(pairs.sparkSession)
     keep = pairs.columns
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema)
-    return pairs.join(a, "a").join(b, "b").select(*keep, "_ta", "_tb").mapInArrow(
-        counted, f"{schema}, na int, nb int, common int"
-    )
+    return pairs.join(a.hint("merge"), by).join(b.hint("merge"), "b").select(
+        *keep, "_ta", "_tb"
+    ).mapInArrow(counted, f"{schema}, na int, nb int, common int")
 
 
 def linked(like: Likeness) -> Column:
@@ -283,7 +315,7 @@ def regions(classes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("held"),
         F.min(F.struct(F.xxhash64("cid").alias("h"), "cid")).alias("least"),
     ).where("held > 1").select("token", "held", F.col("least.cid").alias("pivot"))
-    return posted.join(shared, "token")
+    return posted.join(shared.hint("merge"), "token")
 
 
 def region_pairs(shared: DataFrame, like: Likeness) -> DataFrame:
@@ -317,16 +349,21 @@ def region_pairs(shared: DataFrame, like: Likeness) -> DataFrame:
 
 
 def part_around(cells: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
-    """Parts ``cells(cell, pivot, cid, label)`` into rings around each cell's pivot.
+    """Parts ``cells(cell, pivot, held, cid, label)`` into rings around each cell's pivot.
 
     Returns the parts (cell, cid, label, at, core): ``at`` is the distance, ``core`` tells the
     documents of a ring from those of the next ring, which are replicated.
     """
-    pivots = written(sets.join(
-        cells.select(F.col("pivot").alias("cid")).distinct(), "cid", "left_semi"
-    ), "pivots")
+    blocks = F.ceil(F.col("held") / BLOCK).cast("int")
+    pivots = written(cells.groupBy(F.col("pivot").alias("cid")).agg(
+        F.max(blocks).alias("blocks")
+    ).join(sets.select("cid", "tokens").hint("merge"), "cid"), "pivots").select(
+        F.col("cid").alias("a"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        "tokens",
+    )
     met = with_common(cells.select(
-        F.col("pivot").alias("a"), F.col("cid").alias("b"), "cell", "label"
+        F.col("pivot").alias("a"), F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("block"),
+        F.col("cid").alias("b"), "cell", "label",
     ), sets, pivots)
     away = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
     ring = F.floor(away / like.radius + 1e-9).cast("int")
@@ -365,7 +402,7 @@ def pivot_links(cells: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 def _with_labels(cells: DataFrame, links: DataFrame) -> DataFrame:
     """``cells`` with the component that ``links`` put a document in, itself if in none."""
     known = components(links).select(F.col("node").alias("cid"), F.col("label").alias("_label"))
-    return cells.join(known, "cid", "left").select(
+    return cells.join(known.hint("merge"), "cid", "left").select(
         *cells.columns, F.coalesce("_label", "cid").alias("label")
     )
 
@@ -384,7 +421,7 @@ def _sized(parts: DataFrame) -> DataFrame:
         "cell", "held", (F.col("held") - F.col("top.n")).alias("open"),
         F.col("top.label").alias("major"), F.col("least.cid").alias("pivot"), "cores",
     ).where("open > 0 and cores > 0").drop("cores")
-    return parts.join(sizes, "cell")
+    return parts.join(sizes.hint("merge"), "cell")
 
 
 def region_links(
@@ -405,7 +442,8 @@ def region_links(
     )
     held = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("held"))
     found = [written(
-        pivot_links(cells.join(held, "cell"), sets, like).repartition(files), "pivot-links"
+        pivot_links(cells.join(held.hint("merge"), "cell"), sets, like).repartition(files),
+        "pivot-links",
     )]
     parts = _with_labels(cells, links.union(found[0])).withColumns({
         "at": F.lit(0.0), "core": F.lit(True)
@@ -416,7 +454,7 @@ def region_links(
         if level == DEPTH or sized.where(~fits).isEmpty():
             return [*found, block_links(sized, sets, like)]
         found.append(block_links(sized.where(fits), sets, like))
-        deep = sized.where(~fits).select("cell", "pivot", "cid", "label")
+        deep = sized.where(~fits).select("cell", "pivot", "held", "cid", "label")
         parts = written(part_around(deep, sets, like).repartition(files), "parts")
     return found
 
@@ -468,7 +506,7 @@ def _met_in_groups(dealt: DataFrame, sets: DataFrame, like: Likeness) -> DataFra
         a, b = _group_links(table, like)
         return pa.table({"a": pa.array(a, type=pa.int64()), "b": pa.array(b, type=pa.int64())})
 
-    return dealt.join(sets.select("cid", "tokens"), "cid").groupBy(
+    return dealt.join(sets.select("cid", "tokens").hint("merge"), "cid").groupBy(
         "cell", "kind", "i", "j"
     ).applyInArrow(met, "a long, b long")
 
@@ -553,8 +591,9 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
             pairs.select("a")
         ).union(pairs.select("b")).distinct()
         needed = written(
-            classes.select("cid", "k1", "k2", "n", "first").join(members, "cid").coalesce(files),
-            "needed",
+            classes.select("cid", "k1", "k2", "n", "first").join(
+                members.hint("merge"), "cid"
+            ).coalesce(files), "needed",
         )
         sets = needed_sets(docs, needed, like)
         links = written(
@@ -567,13 +606,17 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     cleared(spark, gone)  # what led to the links has been read
     found = components(links)
     named = written(found.join(
-        classes.select(F.col("cid").alias("node"), "first"), "node"
+        classes.select(F.col("cid").alias("node"), "first").hint("merge"), "node"
     ).coalesce(files), "named")
     leader = named.groupBy("label").agg(F.min("first").alias("leader"))
     of_class = classes.select("k1", "k2", "n", "cid", "first").join(
-        named.join(leader, "label").select(F.col("node").alias("cid"), "leader"), "cid", "left"
+        named.join(leader.hint("merge"), "label").select(
+            F.col("node").alias("cid"), "leader"
+        ).hint("merge"), "cid", "left",
     ).select("k1", "k2", "n", F.coalesce("leader", "first").alias("component"))
-    return signed.select("doc_id", "k1", "k2", "n").join(of_class, ["k1", "k2", "n"], "left").select(
+    return signed.select("doc_id", "k1", "k2", "n").join(
+        of_class.hint("merge"), ["k1", "k2", "n"], "left"
+    ).select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component", "doc_id").alias("component_id"),
     )

@@ -437,6 +437,37 @@ def test_near_copies_of_documents(spark, small):
     assert found == plain_components(docs, jaccard.Likeness())
 
 
+def runs_of_session(spark):
+    """The session's queries by their number; the oldest are forgotten at some time."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {e.executionId(): e for e in (found.apply(i) for i in range(found.size()))}
+
+
+def test_tables_of_near_copies_are_not_sent_to_all_tasks(spark, monkeypatch):
+    """How many rows they have, or get by exploding, doesn't show in the size of their files."""
+    for name, value in (("REGION", 2), ("BLOCK", 4), ("LEAST_FREQUENT", 5), ("PIECE_BITS", 4)):
+        monkeypatch.setattr(jaccard, name, value)
+    docs = near_copy_corpus(4)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    before = runs_of_session(spark)
+    found = collections.Counter(tuple(r) for r in jaccard.near_copies(frame).collect())
+    assert found == plain_components(docs, jaccard.Likeness())
+    plans = [e.physicalPlanDescription() for k, e in runs_of_session(spark).items() if k not in before]
+    assert sum("SortMergeJoin" in p for p in plans) > 5
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_the_most_frequent_shingles_are_told_apart(spark, monkeypatch):
+    """As many whole classes of counts as stay within the limit, the highest first."""
+    monkeypatch.setattr(jaccard, "LEAST_FREQUENT", 2)
+    texts = [t for i, times in enumerate((9, 9, 5, 5, 5, 2)) for t in [f"only{i}"] * times]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    for limit, many in ((6, 6), (5, 5), (4, 2), (2, 2), (1, 0)):
+        monkeypatch.setattr(jaccard, "FREQUENT", limit)
+        assert len(jaccard.frequent_shingles(frame, jaccard.Likeness())) == many
+
+
 def test_tables_of_links_have_few_files(spark):
     """Not one of a few rows for each shuffle partition."""
     was = {k: spark.conf.get(f"spark.sql.{k}") for k in (
