@@ -331,14 +331,18 @@ def test_merge_stage_by_rows(spark, tmp_path):
 
 def plans_since(spark, start):
     """The final plans of the queries that ran since the session had run ``start``."""
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    found = spark._jsparkSession.sharedState().statusStore().executionsList()
-    return [e.physicalPlanDescription() for e in (found.apply(i) for i in range(start, found.size()))]
+    return [e.physicalPlanDescription() for e in kept_executions(spark) if e.executionId() >= start]
 
 
 def executions(spark):
+    return max((e.executionId() + 1 for e in kept_executions(spark)), default=0)
+
+
+def kept_executions(spark):
+    """The last 1,000 queries or so; the session forgets older ones."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    return spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [found.apply(i) for i in range(found.size())]
 
 
 @pytest.mark.parametrize("n", [1000, 150_000])
